@@ -4,20 +4,33 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed_values as V
 
 
+def _first_group(text: Column, pattern: str) -> Column:
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+
+
 def seed_id(filename: Column) -> Column:
     """Seed id inside a WARC file name; null when there is none."""
-    return F.nullif(F.regexp_extract(filename, V.SEED_PATTERN, 1), F.lit(""))
+    return F.try_element_at(_first_group(filename, V.SEED_PATTERN), F.lit(1))
 
 
 def store_date(store_time: Column) -> Column:
     """Date part of an ISO store time, as text; null when it cannot be read."""
-    return F.nullif(F.regexp_extract(store_time, V.STORE_DATE_PATTERN, 1), F.lit(""))
+    return F.try_element_at(_first_group(store_time, V.STORE_DATE_PATTERN), F.lit(1))
+
+
+def with_first_group(df: DataFrame, name: str, text: str, pattern: str) -> DataFrame:
+    """Add what a pattern finds as a column that later filters do not work out again.
+
+    A filter on an ordinary column is pushed below it and repeats its expression; the output of a generator
+    is computed once per row whatever is done with it.
+    """
+    return df.select("*", F.explode_outer(_first_group(F.col(text), pattern)).alias(name))
 
 
 def check_window(start: str, end: str) -> None:

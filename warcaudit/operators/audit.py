@@ -12,60 +12,60 @@ from ..schemas import COMPLETENESS
 PRESENT, MISSING, UNEXPECTED = "present", "missing", "unexpected"
 
 
-def folder_contents(files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
-    """One row per folder: counts of repeatable reports and WARCs, and whether every file is of a known type.
+def _stored(files: DataFrame) -> DataFrame:
+    """What each stored file counts as. A ``/`` in the name is a subfolder, which is not expected.
 
-    ``files`` has ``folder`` and ``name``; a ``/`` in the name is a subfolder, which is not expected.
-    ``folders`` adds folders that may be empty, which a listing of files cannot show.
+    ``aip_id`` is the id that a once-per-seed report claims to belong to; null for all other files.
     """
     name, direct = F.col("name"), ~F.col("name").contains("/")
+    is_kind = {kind: direct & name.endswith(suffix) for kind, suffix in V.REPORT_SUFFIXES.items()}
+    claimed = F.lit(None).cast("string")
+    for kind in V.ONCE_PER_SEED:
+        claimed = F.when(is_kind[kind], F.expr(f"left(name, length(name) - {len(V.REPORT_SUFFIXES[kind])})")
+                         ).otherwise(claimed)
     known = C.ends_with_any(name, [*V.REPORT_SUFFIXES.values(), V.WARC_SUFFIX])
-    found = files.filter(name.isNotNull()).groupBy("folder").agg(
-        *[F.count_if(direct & name.endswith(V.REPORT_SUFFIXES[kind])).alias(f"{kind}_count")
-          for kind in V.REPEATABLE],
-        F.count_if(direct & name.endswith(V.WARC_SUFFIX)).alias("warc_count"),
-        F.bool_and(direct & known).alias("file_types_expected"))
-    if folders is None:
-        return found
-    counts = [f"{kind}_count" for kind in V.REPEATABLE] + ["warc_count"]
-    return (folders.select("folder").distinct().join(found, "folder", "full")
-            .fillna(0, subset=counts).withColumn(
-                "file_types_expected", F.coalesce("file_types_expected", F.lit(True))))
-
-
-def reports_present(expected: DataFrame, files: DataFrame) -> DataFrame:
-    """Which of the once-per-seed reports each seed has, by exact file name.
-
-    Joined on folder and name together, so that a folder with very many files is spread over all tasks, and
-    only files with one of the report endings are shuffled.
-    """
-    wanted = expected.select("seed_id", F.explode(F.array(*[
-        F.struct(F.lit(kind).alias("kind"), F.concat("aip_id", F.lit(V.REPORT_SUFFIXES[kind])).alias("name"))
-        for kind in V.ONCE_PER_SEED])).alias("report")).select("seed_id", "report.kind", "report.name")
-    reports = (files.filter(C.ends_with_any(F.col("name"), [V.REPORT_SUFFIXES[kind] for kind in V.ONCE_PER_SEED]))
-               .select(F.col("folder").alias("seed_id"), "name"))
-    held = wanted.join(reports, ["seed_id", "name"], "left_semi")
-    return held.groupBy("seed_id").agg(*[
-        F.bool_or(F.col("kind") == kind).alias(f"has_{kind}") for kind in V.ONCE_PER_SEED])
+    return files.filter(name.isNotNull()).select(
+        F.col("folder").alias("seed_id"), claimed.alias("aip_id"), F.lit(True).alias("folder_made"),
+        *[is_kind[kind].alias(f"has_{kind}") for kind in V.ONCE_PER_SEED],
+        *[is_kind[kind].cast("long").alias(f"{kind}_count") for kind in V.REPEATABLE],
+        (direct & name.endswith(V.WARC_SUFFIX)).cast("long").alias("stored_warcs"),
+        (direct & known).alias("file_types_expected"))
 
 
 def audit_completeness(expected: DataFrame, files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
     """One row per expected seed (``seed_id, aip_id, warcs, ord``) with the typed results of every test.
 
-    The tests of a seed without folder are null.
+    ``files`` has ``folder`` and ``name``; ``folders`` adds folders that may be empty, which a listing of
+    files cannot show. The tests of a seed without folder are null.
+
+    Expected seeds and stored files are one table, counted by seed and claimed id and then by seed. Both steps
+    combine on the map side, so neither a folder with most of the files nor a join makes a large task, and
+    the files are read once. A report is the right one if its row meets that of the expected seed.
     """
-    contents = folder_contents(files, folders).withColumnRenamed("folder", "seed_id")
-    joined = (expected.join(contents.withColumn("folder_made", F.lit(True)), "seed_id", "left")
-              .join(reports_present(expected, files), "seed_id", "left")
-              .withColumn("folder_made", F.coalesce("folder_made", F.lit(False))))
+    wanted = expected.select("seed_id", "aip_id", F.lit(True).alias("wanted"), "warcs", "ord")
+    rows = _stored(files).unionByName(wanted, allowMissingColumns=True)
+    if folders is not None:
+        rows = rows.unionByName(folders.select(F.col("folder").alias("seed_id"), F.lit(True).alias("folder_made")),
+                                allowMissingColumns=True)
+    flags = [f"has_{kind}" for kind in V.ONCE_PER_SEED]
+    counts = [*[f"{kind}_count" for kind in V.REPEATABLE], "stored_warcs"]
+    shared = [F.bool_or("folder_made").alias("folder_made"),
+              *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts],
+              F.bool_and("file_types_expected").alias("file_types_expected"),
+              F.bool_or("wanted").alias("wanted"), F.max("warcs").alias("warcs"), F.max("ord").alias("ord")]
+    by_id = rows.groupBy("seed_id", "aip_id").agg(*[F.bool_or(c).alias(c) for c in flags], *shared)
+    here = F.coalesce(F.col("wanted"), F.lit(False))
+    by_seed = by_id.groupBy("seed_id").agg(
+        F.max(F.when(here, F.col("aip_id"))).alias("aip_id"),
+        *[F.bool_or(here & F.coalesce(F.col(c), F.lit(False))).alias(c) for c in flags], *shared
+    ).filter("wanted").withColumn("folder_made", F.coalesce("folder_made", F.lit(False)))
+
     made = F.col("folder_made")
-    return joined.select(
-        "seed_id", "aip_id", "folder_made",
-        *[F.when(made, F.coalesce(F.col(f"has_{kind}"), F.lit(False))).alias(f"has_{kind}")
-          for kind in V.ONCE_PER_SEED],
-        *[F.col(f"{kind}_count") for kind in V.REPEATABLE],
-        F.when(made, F.col("warc_count") == F.col("warcs")).alias("warc_count_correct"),
-        F.when(made, F.col("file_types_expected")).alias("file_types_expected"),
+    return by_seed.select(
+        "seed_id", "aip_id", "folder_made", *[F.when(made, F.col(c)).alias(c) for c in flags],
+        *[F.when(made, F.col(f"{kind}_count")).alias(f"{kind}_count") for kind in V.REPEATABLE],
+        F.when(made, F.col("stored_warcs") == F.col("warcs")).alias("warc_count_correct"),
+        F.when(made, F.coalesce("file_types_expected", F.lit(True))).alias("file_types_expected"),
         F.when(made, PRESENT).otherwise(MISSING).alias("state"), "ord")
 
 

@@ -17,8 +17,8 @@ _LISTS = ("AIT_Collection", "Job_ID", "WARC_Filenames")
 
 def with_ids(listing: DataFrame) -> DataFrame:
     """Add ``seed_id`` and ``store_date``; null where the name or the time cannot be read."""
-    return (listing.withColumn("seed_id", C.seed_id(F.col("filename")))
-            .withColumn("store_date", C.store_date(F.col("store_time"))))
+    return C.with_first_group(C.with_first_group(listing, "seed_id", "filename", V.SEED_PATTERN),
+                              "store_date", "store_time", V.STORE_DATE_PATTERN)
 
 
 def rejected_rows(listing: DataFrame) -> DataFrame:
@@ -47,8 +47,7 @@ def rows_in_window(listing: DataFrame, start: str, end: str) -> DataFrame:
     """
     C.check_window(start, end)
     near = listing.filter((F.col("store_time") >= start) & (F.col("store_time") < end))
-    rows = with_ids(near).filter(F.col("seed_id").isNotNull())
-    return rows.filter(C.in_window(F.col("store_date"), start, end))
+    return with_ids(near).filter(F.col("seed_id").isNotNull() & C.in_window(F.col("store_date"), start, end))
 
 
 def seed_warcs(listing: DataFrame, start: str, end: str) -> DataFrame:

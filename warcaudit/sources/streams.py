@@ -95,14 +95,14 @@ def check_file(path: str, target: str | None = None, md5: str | None = None):
     target_fs = None
     try:
         source_fs, source_path = open_path(path)
-        with source_fs.open_input_stream(source_path) as source:
+        with source_fs.open_input_stream(source_path, compression=None) as source:
             if target is not None:
                 target_fs, target_path = open_path(target)
                 folder, name = posixpath.split(target_path)
                 target_fs.create_dir(folder, recursive=True)
                 # Hidden names are left out of file listings, so an abandoned part is never counted.
                 part = posixpath.join(folder, f".{name}.{uuid.uuid4().hex}")
-                sink = target_fs.open_output_stream(part)
+                sink = target_fs.open_output_stream(part, compression=None)
             while chunk := source.read(_CHUNK):
                 digest.update(chunk)
                 size += len(chunk)
@@ -138,6 +138,25 @@ def write_file(path: str, content: bytes) -> None:
     folder, name = posixpath.split(target_path)
     target_fs.create_dir(folder, recursive=True)
     part = posixpath.join(folder, f".{name}.{uuid.uuid4().hex}")
-    with target_fs.open_output_stream(part) as sink:
+    with target_fs.open_output_stream(part, compression=None) as sink:
         sink.write(content)
     target_fs.move(part, target_path)
+
+
+def remove_folder(root: str, name: str) -> bool:
+    """Delete one folder directly below a root, if it is there."""
+    if not name or "/" in name or name in (".", ".."):
+        raise ValueError(f"'{name}' is not the name of a seed folder")
+    root_fs, root_path = open_path(root)
+    folder = posixpath.join(root_path, name)
+    if root_fs.get_file_info(folder).type != fs.FileType.Directory:
+        return False
+    root_fs.delete_dir(folder)
+    return True
+
+
+def child_names(path: str) -> list[str]:
+    """Names directly below a folder; none if it does not exist."""
+    path_fs, inner = open_path(path)
+    found = path_fs.get_file_info(fs.FileSelector(inner, allow_not_found=True))
+    return sorted(info.base_name for info in found)
