@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 CELL_CHARS = 16 * 1024 * 1024
 # Rows a single group may have before it is numbered in pieces.
 GROUP_ROWS = 2_000_000
+# Text of a list of keys that is still sent to every executor; a longer list is joined by shuffling.
+BROADCAST_CHARS = 16 * 1024 * 1024
 # Upper bound of text that one repeated row may stand for in a piece.
 _COPY_CHARS = 64 * 1024
 
@@ -49,12 +51,15 @@ def split_by_size(rows: DataFrame, keys: Sequence[str], weight, limit: int | Non
     if limit is None:
         return rows, None, 0
     over = groups_over(rows, keys, weight, limit)
-    total = over.agg(F.sum("_weight")).first()[0]
+    names = F.length(F.concat_ws("", *[F.col(k).cast("string") for k in keys]))
+    total, chars = over.agg(F.sum("_weight"), F.sum(names + 64)).first()
     if total is None:
         return rows, None, 0
     # The list of large groups is read twice below and must not be worked out again.
     use_checkpoints(rows.sparkSession)
     over = over.select(*keys).checkpoint()
+    if chars <= BROADCAST_CHARS:
+        over = F.broadcast(over)
     return rows.join(over, list(keys), "left_anti"), rows.join(over, list(keys), "left_semi"), total
 
 

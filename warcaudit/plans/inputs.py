@@ -139,19 +139,21 @@ from {customer}""",
 # Columns that tell the rows of a table apart well enough to deal them out.
 _ROW_KEYS = {"lineitem": ("l_orderkey", "l_partkey"), "orders": ("o_orderkey",), "part": ("p_partkey",),
              "customer": ("c_custkey",), "events": ("event_id",), "pages": ("page_id",)}
-_DEAL_BYTES = 2_500_000
+# Smaller tables are not worth a shuffle, larger ones have enough splits or are too much to move.
+_DEAL_BYTES = (2_500_000, 500_000_000)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables.
 
     A file of a few megabytes is a single split and would keep all but one core idle, so its rows are dealt
-    out. A table with at least as many splits as cores is read as it lies, without a shuffle.
+    out. A table that is large or has at least as many splits as cores is read as it lies, without a shuffle.
     """
     rows = spark.read.parquet(f"{folder}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
     if name in _ROW_KEYS and rows._jdf.rdd().getNumPartitions() < cores:
-        if int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) > _DEAL_BYTES:
+        size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if _DEAL_BYTES[0] < size < _DEAL_BYTES[1]:
             rows = rows.repartition(cores, *_ROW_KEYS[name])
     return rows
 

@@ -15,7 +15,7 @@ from ..functions import columns as C
 from ..functions import fixed_values as V
 from ..operators import audit, grouping, identifiers, inventory, reports, status, warcs
 from ..sources import readers, writers
-from .inputs import CHECKED_AT, END, LISTING_ORDER, START, derive, listing_between, load, table
+from .inputs import CHECKED_AT, END, INPUTS, LISTING_ORDER, START, derive, listing_between, load
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -41,7 +41,7 @@ def listing_scan(spark, folder):
             named_struct('filename', concat('second-', filename), 'collection', cast(collection as int), 'crawl', crawl,
                          'size', size + 1, 'store-time', store_time, 'locations', cast(array() as array<string>),
                          'checksums', map('sha1', crawl, 'md5', cast(null as string)))))) as body
-        from (""" + _text("warc_listing") + ") w")
+        from (""" + INPUTS["warc_listing"] + ") w")
     return readers.parse_listing(pages)
 
 
@@ -53,7 +53,7 @@ def seed_report_scan(spark, folder):
             'Relation', case when relation is not null
                              then array(named_struct('value', relation), named_struct('value', concat('See ', seed_id))) end,
             'Title', case when title is not null then array(named_struct('value', title)) else array() end)))) end as body
-        from (""" + _text("seed_reports") + ") r")
+        from (""" + INPUTS["seed_reports"] + ") r")
     return readers.parse_seed_reports(responses)
 
 
@@ -151,9 +151,9 @@ def expected_seeds(spark, folder):
 
 @_query
 def reconcile(spark, folder):
-    listing = load(spark, folder, "warc_listing")
-    declared = table(spark, folder, "lineitem").agg(F.count(F.lit(1)).alias("declared"))
-    return inventory.reconcile(listing.crossJoin(F.broadcast(declared)), load(spark, folder, "audit_log"), START, END)
+    listing = derive(spark, folder, "select *, (select count(*) from {lineitem}) as declared from ("
+                     + INPUTS["warc_listing"] + ") w")
+    return inventory.reconcile(listing, load(spark, folder, "audit_log"), START, END)
 
 
 # ---- identifiers --------------------------------------------------------------------------------
@@ -316,11 +316,14 @@ def _audit(spark, folder) -> DataFrame:
     return audit.audit_completeness(expected, load(spark, folder, "stored_files"))
 
 
-@_query
-def audit_typed(spark, folder):
+def _typed_audit(spark, folder):
     return _audit(spark, folder).drop("ord")
 
 
+# The module of the audit operators has the name that its query has to have.
+_QUERIES["audit"] = _typed_audit
+
+
 @_query
 def extra_folders(spark, folder):
     return audit.extra_folders(load(spark, folder, "audit_log"), load(spark, folder, "stored_files"))
@@ -335,11 +338,3 @@ def audit_csv(spark, folder):
 def qa_review(spark, folder):
     rows = audit.with_extras(_audit(spark, folder), extra_folders(spark, folder))
     return audit.qa_failures(audit.qa_review(load(spark, folder, "audit_log"), rows))
-
-
-_QUERIES["audit"] = _QUERIES.pop("audit_typed")
-
-
-def _text(name: str) -> str:
-    from .inputs import INPUTS
-    return INPUTS[name]

@@ -8,8 +8,8 @@ Landed data, below one folder:
   the collection, the job or the crawl definition that the report is about
 * ``warcs/`` the gzip WARC files
 
-Results, below another: ``preservation_download/<seed>/…``, and ``metadata``, ``seeds_log``, ``events``,
-``warc_results`` and ``completeness_check`` with one folder per run.
+Results, below another: ``preservation_download/<seed>/…``, ``listing`` (the pages as one table), and
+``metadata``, ``seeds_log``, ``events``, ``warc_results`` and ``completeness_check`` with one folder per run.
 """
 
 from __future__ import annotations
@@ -43,6 +43,10 @@ class Batch:
     def store(self) -> str:
         return f"{self.results}/preservation_download"
 
+    @property
+    def listing(self) -> str:
+        return f"{self.results}/listing"
+
     def place(self, table: str, run: str) -> str:
         return f"{self.results}/{table}/{run}"
 
@@ -65,14 +69,15 @@ def _place(step: int, page="", position=0, part: int = 0):
 
 def prepare_log(spark: SparkSession, batch: Batch, run: str) -> None:
     """Write the metadata file and the first seed log, with AIP ids and nothing done yet."""
-    listing = readers.read_listing(spark, f"{batch.landed}/listing")
-    seeds = inventory.seed_inventory(listing, batch.start, batch.end)
+    writers.write_listing(readers.read_listing(spark, f"{batch.landed}/listing"), batch.listing)
+    listing = readers.read_listing_table(spark, batch.listing)
+    seeds = inventory.seed_inventory(listing, batch.start, batch.end, with_part=True)
     landed = readers.read_seed_reports(spark, f"{batch.landed}/seed_reports")
     answers = (seed_lines(seeds).select(F.col("Seed_ID").alias("seed_id")).join(landed, "seed_id", "left")
                .withColumn("status", F.coalesce("status", F.lit(404))))
     writers.write_metadata(identifiers.aip_metadata(answers, batch.end), batch.place("metadata", run))
     ids = readers.read_report(spark, batch.place("metadata", run))
-    writers.write_log(inventory.enrich(seeds, ids), batch.place("seeds_log", run))
+    writers.write_log(inventory.enrich(seeds, ids).orderBy("Seed_ID", "Part"), batch.place("seeds_log", run))
 
 
 def process_reports(spark: SparkSession, batch: Batch, seeds: DataFrame, rows: DataFrame) -> DataFrame:
@@ -126,7 +131,7 @@ def process_warcs(spark: SparkSession, batch: Batch, rows: DataFrame, run: str)
 
     The results of the file work are written down before they are used, so that no file is read twice.
     """
-    listing = readers.read_listing(spark, f"{batch.landed}/listing")
+    listing = readers.read_listing_table(spark, batch.listing)
     names = rows.select("seed_id", "filename", F.struct("page", "position").alias("ord"))
     located = warcs.warc_locations(names, listing)
     files = readers.warc_files(readers.list_files(spark, f"{batch.landed}/warcs")).groupBy("filename").agg(
@@ -163,7 +168,7 @@ def run_batch(spark: SparkSession, batch: Batch, size: int | None = None) -> str
     seeds = chosen.select(F.col("Seed_ID").alias("seed_id"), F.coalesce("AIP_ID", F.lit(V.TBD)).alias("aip_id"))
     writers.drop_seed_folders(seeds, batch.store).write.mode("overwrite").format("noop").save()
 
-    listing = readers.read_listing(spark, f"{batch.landed}/listing")
+    listing = readers.read_listing_table(spark, batch.listing)
     rows = inventory.rows_in_window(listing, batch.start, batch.end).join(
         seeds.select("seed_id"), "seed_id", "left_semi").drop("seed_id", "store_date")
     named = inventory.rows_in_window(rows, batch.start, batch.end)
@@ -186,7 +191,10 @@ def run_batch(spark: SparkSession, batch: Batch, size: int | None = None) -> str
 
 
 def write_audit(spark: SparkSession, batch: Batch, run: str) -> DataFrame:
-    """Compare the store with the whole listing, write the completeness report and return its typed form."""
+    """Compare the store with the whole listing, write the completeness report and return its typed form.
+
+    Reads the landed pages themselves, so that the check does not rest on what the run made of them.
+    """
     log = seed_lines(readers.read_log(spark, batch.place("seeds_log", run)))
     listing = readers.read_listing(spark, f"{batch.landed}/listing")
     files = readers.list_files(spark, batch.store)
