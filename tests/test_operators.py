@@ -290,8 +290,7 @@ def audit_tables(spark):
 
 def test_completeness_report(spark):
     expected, files, log = audit_tables(spark)
-    typed = audit.audit_completeness(expected, files)
-    report = audit.completeness_report(typed, audit.extra_folders(log, files))
+    report = audit.completeness_report(audit.audit_store(expected, log, files))
     assert tuple(report.columns) == V.COMPLETENESS_HEADER
     assert values(report) == [
         ("3", "aip-3", "True", "False", "False", "False", "False", "0", "0", "True", "True"),
@@ -301,6 +300,9 @@ def test_completeness_report(spark):
         ("5", "aip-5", "True", "True", "True", "True", "True", "1", "1", "True", "False"),
         ("6", "aip-6", "False", *["missing"] * 8),
         ("extra1", *["Not expected"] * 10), ("stray.txt", *["Not expected"] * 10)]
+    alone = audit.audit_completeness(expected, files)
+    assert values(audit.completeness_report(alone)) == values(report)[:6]
+    assert sorted(values(audit.extra_folders(log, files))) == [("extra1",), ("stray.txt",)]
 
 
 def test_empty_folders_come_from_their_own_table(spark):
@@ -310,11 +312,13 @@ def test_empty_folders_come_from_their_own_table(spark):
     assert (row.folder_made, row.has_coll, row.crawldef_count, row.warc_count_correct, row.file_types_expected) == (True, False, 0, False, True)
     assert "empty-extra" in [r.folder for r in audit.extra_folders(log, files, folders).collect()]
     assert audit.audit_completeness(expected, files, folders).filter("seed_id = '1'").first().warc_count_correct
+    states = {r.seed_id: r.state for r in audit.audit_store(expected, log, files, folders).collect()}
+    assert (states["6"], states["empty-extra"], states["extra1"], "8" in states) == ("present", "unexpected", "unexpected", False)
 
 
 def test_qa_review(spark):
     expected, files, log = audit_tables(spark)
-    typed = audit.with_extras(audit.audit_completeness(expected, files), audit.extra_folders(log, files))
+    typed = audit.audit_store(expected, log, files)
     two, one = "Successfully a; Successfully b", "Successfully a"
     empty = {"2": "aip-2_seedscope.csv", "3": "aip-3_seedscope.csv; aip-3_collscope.csv; aip-3_coll.csv"}
     lines = [(f"aip-{s}", s, n, V.ALL_REPORTS_SAVED if s != "5" else "x API Error 1", empty.get(s, V.NO_EMPTY_REPORTS),

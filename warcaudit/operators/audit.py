@@ -32,41 +32,73 @@ def _stored(files: DataFrame) -> DataFrame:
         (direct & known).alias("file_types_expected"))
 
 
-def audit_completeness(expected: DataFrame, files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
-    """One row per expected seed (``seed_id, aip_id, warcs, ord``) with the typed results of every test.
+def _stray(files: DataFrame) -> DataFrame:
+    """Files that lie beside the seed folders and should not."""
+    return files.filter(F.col("name").isNull() & ~F.col("folder").isin(list(V.FOLDER_LEVEL_FILES)))
 
-    ``files`` has ``folder`` and ``name``; ``folders`` adds folders that may be empty, which a listing of
-    files cannot show. The tests of a seed without folder are null.
 
-    Expected seeds and stored files are one table, counted by seed and claimed id and then by seed. Both steps
-    combine on the map side, so neither a folder with most of the files nor a join makes a large task, and
-    the files are read once. A report is the right one if its row meets that of the expected seed.
+def _by_seed(expected: DataFrame, files: DataFrame, folders: DataFrame | None, log: DataFrame | None) -> DataFrame:
+    """Everything that is known of a seed or folder in one row, without a join.
+
+    Expected seeds, stored files and log lines are one table, counted by seed and claimed id and then by seed.
+    Both steps combine on the map side, so a folder with most of the files is no large task, and the files
+    are read once. A report is the right one if it claims the id that the expected seed has.
     """
-    wanted = expected.select("seed_id", "aip_id", F.lit(True).alias("wanted"), "warcs", "ord")
-    rows = _stored(files).unionByName(wanted, allowMissingColumns=True)
-    if folders is not None:
-        rows = rows.unionByName(folders.select(F.col("folder").alias("seed_id"), F.lit(True).alias("folder_made")),
-                                allowMissingColumns=True)
+    def marked(df: DataFrame, seed: str, mark: str, *more: str) -> DataFrame:
+        return df.select(F.col(seed).alias("seed_id"), F.lit(True).alias(mark), *more)
+
+    rows = _stored(files).unionByName(
+        marked(expected, "seed_id", "wanted", "aip_id", "warcs", "ord"), allowMissingColumns=True)
+    others = [] if folders is None else [marked(folders, "folder", "folder_made")]
+    if log is not None:
+        others += [marked(_stray(files), "folder", "stray"), marked(log, "Seed_ID", "logged")]
+    for df in others:
+        rows = rows.unionByName(df, allowMissingColumns=True)
+
+    marks = [m for m in ("folder_made", "wanted", "stray", "logged") if m in rows.columns]
     flags = [f"has_{kind}" for kind in V.ONCE_PER_SEED]
-    counts = [*[f"{kind}_count" for kind in V.REPEATABLE], "stored_warcs"]
-    shared = [F.bool_or("folder_made").alias("folder_made"),
-              *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts],
+    shared = [*[F.bool_or(m).alias(m) for m in marks],
+              *[F.coalesce(F.sum(c), F.lit(0)).alias(c)
+                for c in [*[f"{kind}_count" for kind in V.REPEATABLE], "stored_warcs"]],
               F.bool_and("file_types_expected").alias("file_types_expected"),
-              F.bool_or("wanted").alias("wanted"), F.max("warcs").alias("warcs"), F.max("ord").alias("ord")]
+              F.max("warcs").alias("warcs"), F.max("ord").alias("ord")]
     by_id = rows.groupBy("seed_id", "aip_id").agg(*[F.bool_or(c).alias(c) for c in flags], *shared)
     here = F.coalesce(F.col("wanted"), F.lit(False))
     by_seed = by_id.groupBy("seed_id").agg(
         F.max(F.when(here, F.col("aip_id"))).alias("aip_id"),
-        *[F.bool_or(here & F.coalesce(F.col(c), F.lit(False))).alias(c) for c in flags], *shared
-    ).filter("wanted").withColumn("folder_made", F.coalesce("folder_made", F.lit(False)))
+        *[F.bool_or(here & F.coalesce(F.col(c), F.lit(False))).alias(c) for c in flags], *shared)
+    return by_seed.withColumns({m: F.coalesce(F.col(m), F.lit(False)) for m in marks})
+
+
+def _typed(by_seed: DataFrame) -> DataFrame:
+    """The completeness table, and ``ord`` for its order. Tests that could not be made are null."""
+    tested = F.col("wanted") & F.col("folder_made")
+
+    def test(value, name: str):
+        return F.when(tested, value).alias(name)
 
-    made = F.col("folder_made")
     return by_seed.select(
-        "seed_id", "aip_id", "folder_made", *[F.when(made, F.col(c)).alias(c) for c in flags],
-        *[F.when(made, F.col(f"{kind}_count")).alias(f"{kind}_count") for kind in V.REPEATABLE],
-        F.when(made, F.col("stored_warcs") == F.col("warcs")).alias("warc_count_correct"),
-        F.when(made, F.coalesce("file_types_expected", F.lit(True))).alias("file_types_expected"),
-        F.when(made, PRESENT).otherwise(MISSING).alias("state"), "ord")
+        "seed_id", "aip_id", F.when(F.col("wanted"), F.col("folder_made")).alias("folder_made"),
+        *[test(F.col(f"has_{kind}"), f"has_{kind}") for kind in V.ONCE_PER_SEED],
+        *[test(F.col(f"{kind}_count"), f"{kind}_count") for kind in V.REPEATABLE],
+        test(F.col("stored_warcs") == F.col("warcs"), "warc_count_correct"),
+        test(F.coalesce("file_types_expected", F.lit(True)), "file_types_expected"),
+        F.when(tested, PRESENT).when(F.col("wanted"), MISSING).otherwise(UNEXPECTED).alias("state"), "ord")
+
+
+def audit_completeness(expected: DataFrame, files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
+    """One row per expected seed (``seed_id, aip_id, warcs, ord``) with the typed results of every test.
+
+    ``files`` has ``folder`` and ``name``; ``folders`` adds folders that may be empty, which a listing of
+    files cannot show.
+    """
+    return _typed(_by_seed(expected, files, folders, None).filter("wanted"))
+
+
+def audit_store(expected: DataFrame, log: DataFrame, files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
+    """The same and, in state ``unexpected``, every folder or file beside them that no log line accounts for."""
+    extra = (F.col("folder_made") | F.col("stray")) & ~F.col("logged")
+    return _typed(_by_seed(expected, files, folders, log).filter(F.col("wanted") | extra))
 
 
 def extra_folders(log: DataFrame, files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
@@ -78,19 +110,11 @@ def extra_folders(log: DataFrame, files: DataFrame, folders: DataFrame | None =
             .join(log.select(F.col("Seed_ID").alias("folder")), "folder", "left_anti"))
 
 
-def with_extras(audit: DataFrame, extras: DataFrame) -> DataFrame:
-    """Audit rows and the unexpected folders in one typed table."""
-    known = {"seed_id": F.col("folder"), "state": F.lit(UNEXPECTED)}
-    rows = extras.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in COMPLETENESS])
-    return audit.unionByName(rows, allowMissingColumns=True)
-
-
-def completeness_report(audit: DataFrame, extras: DataFrame) -> DataFrame:
+def completeness_report(audit: DataFrame) -> DataFrame:
     """The completeness report as text, with its words for tests that could not be made.
 
     Seeds come in listing order, then the unexpected folders by name.
     """
-    rows = with_extras(audit, extras)
     unexpected, missing = F.col("state") == UNEXPECTED, F.col("state") == MISSING
     fields = [f for f in COMPLETENESS if f.name not in ("seed_id", "state")]
     shown = [F.col("seed_id").alias(V.COMPLETENESS_HEADER[0])]
@@ -101,7 +125,7 @@ def completeness_report(audit: DataFrame, extras: DataFrame) -> DataFrame:
         if field.name not in ("aip_id", "folder_made"):
             text = F.when(missing, V.MISSING).otherwise(text)
         shown.append(F.when(unexpected, V.NOT_EXPECTED).otherwise(text).alias(header))
-    return rows.orderBy(unexpected, "ord", "seed_id").select(*shown)
+    return audit.orderBy(unexpected, "ord", "seed_id").select(*shown)
 
 
 def qa_review(log: DataFrame, audit: DataFrame) -> DataFrame:

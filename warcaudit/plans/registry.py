@@ -145,8 +145,7 @@ def explode_lists(spark, folder):
 
 @_query
 def expected_seeds(spark, folder):
-    return inventory.expected_seeds(load(spark, folder, "warc_listing"), load(spark, folder, "audit_log"),
-                                    START, END, LISTING_ORDER).drop("ord")
+    return _expected(spark, folder).drop("ord")
 
 
 @_query
@@ -310,14 +309,13 @@ def success_tally(spark, folder):
 
 
 # ---- audit --------------------------------------------------------------------------------------
-def _audit(spark, folder) -> DataFrame:
-    expected = inventory.expected_seeds(load(spark, folder, "warc_listing"), load(spark, folder, "audit_log"),
-                                        START, END, LISTING_ORDER)
-    return audit.audit_completeness(expected, load(spark, folder, "stored_files"))
+def _expected(spark, folder) -> DataFrame:
+    return inventory.expected_seeds(load(spark, folder, "warc_listing"), load(spark, folder, "audit_log"),
+                                    START, END, LISTING_ORDER)
 
 
 def _typed_audit(spark, folder):
-    return _audit(spark, folder).drop("ord")
+    return audit.audit_completeness(_expected(spark, folder), load(spark, folder, "stored_files")).drop("ord")
 
 
 # The module of the audit operators has the name that its query has to have.
@@ -329,12 +327,16 @@ def extra_folders(spark, folder):
     return audit.extra_folders(load(spark, folder, "audit_log"), load(spark, folder, "stored_files"))
 
 
+def _audited_store(spark, folder) -> DataFrame:
+    return audit.audit_store(_expected(spark, folder), load(spark, folder, "audit_log"),
+                             load(spark, folder, "stored_files"))
+
+
 @_query
 def audit_csv(spark, folder):
-    return audit.completeness_report(_audit(spark, folder), extra_folders(spark, folder))
+    return audit.completeness_report(_audited_store(spark, folder))
 
 
 @_query
 def qa_review(spark, folder):
-    rows = audit.with_extras(_audit(spark, folder), extra_folders(spark, folder))
-    return audit.qa_failures(audit.qa_review(load(spark, folder, "audit_log"), rows))
+    return audit.qa_failures(audit.qa_review(load(spark, folder, "audit_log"), _audited_store(spark, folder)))

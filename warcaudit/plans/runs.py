@@ -9,7 +9,8 @@ Landed data, below one folder:
 * ``warcs/`` the gzip WARC files
 
 Results, below another: ``preservation_download/<seed>/…``, ``listing`` (the pages as one table), and
-``metadata``, ``seeds_log``, ``events``, ``warc_results`` and ``completeness_check`` with one folder per run.
+``metadata``, ``seeds_log``, ``reports``, ``events``, ``warc_results`` and ``completeness_check`` with one
+folder per run.
 """
 
 from __future__ import annotations
@@ -80,10 +81,14 @@ def prepare_log(spark: SparkSession, batch: Batch, run: str) -> None:
     writers.write_log(inventory.enrich(seeds, ids).orderBy("Seed_ID", "Part"), batch.place("seeds_log", run))
 
 
-def process_reports(spark: SparkSession, batch: Batch, seeds: DataFrame, rows: DataFrame) -> DataFrame:
-    """Save and redact the metadata reports of seeds (``seed_id, aip_id``); returns the log events."""
+def process_reports(spark: SparkSession, batch: Batch, seeds: DataFrame, rows: DataFrame, run: str) -> DataFrame:
+    """Save and redact the metadata reports of seeds (``seed_id, aip_id``); returns the log events.
+
+    The classified responses are written down once; files and events are both made from that table.
+    """
     landed = spark.read.schema(RESPONSE).json(f"{batch.landed}/responses")
     columns = ["seed_id", "aip_id", "report_type", "entity_id", "ord"]
+    table = batch.place("reports", run)
 
     def calls(df: DataFrame, report_type: str, entity: str, place) -> DataFrame:
         return df.select("seed_id", "aip_id", F.lit(report_type).alias("report_type"),
@@ -113,7 +118,8 @@ def process_reports(spark: SparkSession, batch: Batch, seeds: DataFrame, rows: D
     no_report = needed.filter(F.col("kind") == "error").select(
         "seed_id", F.col("place").alias("ord"), F.lit(V.METADATA_ERRORS).alias("log_column"), "message")
 
-    everything = classified.unionByName(definitions)
+    classified.unionByName(definitions).write.mode("overwrite").parquet(table)
+    everything = spark.read.parquet(table)
     saved = reports.saved_reports(everything).select("seed_id", "report_type", "report_name", "body")
     is_seed = F.col("report_type") == "seed"
     redacted = reports.redact_bodies(saved.filter(is_seed), ["seed_id", "report_name"])
@@ -173,7 +179,7 @@ def run_batch(spark: SparkSession, batch: Batch, size: int | None = None) -> str
         seeds.select("seed_id"), "seed_id", "left_semi").drop("seed_id", "store_date")
     named = inventory.rows_in_window(rows, batch.start, batch.end)
     places = [batch.place("events", f"{run}-{part}") for part in ("reports", "warcs")]
-    process_reports(spark, batch, seeds, named).write.mode("overwrite").parquet(places[0])
+    process_reports(spark, batch, seeds, named, run).write.mode("overwrite").parquet(places[0])
     process_warcs(spark, batch, named, run).write.mode("overwrite").parquet(places[1])
     events = spark.read.parquet(*places)
 
@@ -198,7 +204,7 @@ def write_audit(spark: SparkSession, batch: Batch, run: str) -> DataFrame:
     log = seed_lines(readers.read_log(spark, batch.place("seeds_log", run)))
     listing = readers.read_listing(spark, f"{batch.landed}/listing")
     files = readers.list_files(spark, batch.store)
-    typed = audit.audit_completeness(inventory.expected_seeds(listing, log, batch.start, batch.end), files)
-    extras = audit.extra_folders(log, files)
-    writers.write_completeness(audit.completeness_report(typed, extras), batch.place("completeness_check", run))
-    return audit.with_extras(typed, extras)
+    expected = inventory.expected_seeds(listing, log, batch.start, batch.end)
+    store = audit.audit_store(expected, log, files)
+    writers.write_completeness(audit.completeness_report(store), batch.place("completeness_check", run))
+    return store
