@@ -5,85 +5,85 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import columns as C
 from ..functions import fixed_values as V
 from ..schemas import COMPLETENESS
 
 PRESENT, MISSING, UNEXPECTED = "present", "missing", "unexpected"
 
 
+# What a row of the joint table of ``_by_seed`` stands for, besides the report types.
+_WARC, _OTHER, _FOLDER, _STRAY, _WANTED, _LOGGED = "warc", "other", "folder", "stray", "wanted", "logged"
+_FILES = (*V.ONCE_PER_SEED, *V.REPEATABLE, _WARC, _OTHER)
+
+
 def _stored(files: DataFrame) -> DataFrame:
-    """What each stored file counts as. A ``/`` in the name is a subfolder, which is not expected.
+    """What each stored file is, and for a once-per-seed report the id that it claims to belong to.
 
-    ``aip_id`` is the id that a once-per-seed report claims to belong to; null for all other files.
+    A ``/`` in the name is a subfolder and a file without name lies beside the seed folders; neither is expected.
     """
-    name, direct = F.col("name"), ~F.col("name").contains("/")
-    is_kind = {kind: direct & name.endswith(suffix) for kind, suffix in V.REPORT_SUFFIXES.items()}
-    claimed = F.lit(None).cast("string")
-    for kind in V.ONCE_PER_SEED:
-        claimed = F.when(is_kind[kind], F.expr(f"left(name, length(name) - {len(V.REPORT_SUFFIXES[kind])})")
-                         ).otherwise(claimed)
-    known = C.ends_with_any(name, [*V.REPORT_SUFFIXES.values(), V.WARC_SUFFIX])
-    return files.filter(name.isNotNull()).select(
-        F.col("folder").alias("seed_id"), claimed.alias("aip_id"), F.lit(True).alias("folder_made"),
-        *[is_kind[kind].alias(f"has_{kind}") for kind in V.ONCE_PER_SEED],
-        *[is_kind[kind].cast("long").alias(f"{kind}_count") for kind in V.REPEATABLE],
-        (direct & name.endswith(V.WARC_SUFFIX)).cast("long").alias("stored_warcs"),
-        (direct & known).alias("file_types_expected"))
-
-
-def _stray(files: DataFrame) -> DataFrame:
-    """Files that lie beside the seed folders and should not."""
-    return files.filter(F.col("name").isNull() & ~F.col("folder").isin(list(V.FOLDER_LEVEL_FILES)))
+    name = F.col("name")
+    ending = F.regexp_extract(name, r"_([a-z]+)\.csv$", 1)
+    kind = (F.when(name.isNull(), F.when(F.col("folder").isin(list(V.FOLDER_LEVEL_FILES)), None).otherwise(_STRAY))
+            .when(name.contains("/"), _OTHER).when(name.endswith(V.WARC_SUFFIX), _WARC)
+            .when(~name.endswith(".csv"), _OTHER)
+            .when(ending.isin(list(V.REPORT_SUFFIXES)), ending).otherwise(_OTHER))
+    kinds = files.select(F.col("folder").alias("seed_id"), "name", kind.alias("kind"))
+    claimed = F.when(F.col("kind").isin(list(V.ONCE_PER_SEED)),
+                     F.expr("left(name, length(name) - length(kind) - length('_.csv'))"))
+    return kinds.select("seed_id", claimed.alias("aip_id"), "kind")
 
 
 def _by_seed(expected: DataFrame, files: DataFrame, folders: DataFrame | None, log: DataFrame | None) -> DataFrame:
     """Everything that is known of a seed or folder in one row, without a join.
 
-    Expected seeds, stored files and log lines are one table, counted by seed and claimed id and then by seed.
-    Both steps combine on the map side, so a folder with most of the files is no large task, and the files
-    are read once. A report is the right one if it claims the id that the expected seed has.
+    Files are counted by kind first. The counts, expected seeds and log lines are then one table, summed by
+    seed and claimed id and then by seed. Every step combines on the map side, so a folder with most of the
+    files is no large task, and the files are read once. A report is the right one if it claims the id that
+    the expected seed has.
     """
     def marked(df: DataFrame, seed: str, mark: str, *more: str) -> DataFrame:
-        return df.select(F.col(seed).alias("seed_id"), F.lit(True).alias(mark), *more)
+        return df.select(F.col(seed).alias("seed_id"), F.lit(1).cast("long").alias(mark), *more)
 
-    rows = _stored(files).unionByName(
-        marked(expected, "seed_id", "wanted", "aip_id", "warcs", "ord"), allowMissingColumns=True)
-    others = [] if folders is None else [marked(folders, "folder", "folder_made")]
+    # Nothing but counts here: with numbers only, Spark aggregates by hash in generated code.
+    rows = _stored(files).groupBy("seed_id", "aip_id").agg(
+        *[F.count_if(F.col("kind") == kind).alias(kind) for kind in (*_FILES, _STRAY)])
+    rows = rows.unionByName(marked(expected, "seed_id", _WANTED, "aip_id", "warcs", "ord"), allowMissingColumns=True)
+    if folders is not None:
+        rows = rows.unionByName(marked(folders, "folder", _FOLDER), allowMissingColumns=True)
     if log is not None:
-        others += [marked(_stray(files), "folder", "stray"), marked(log, "Seed_ID", "logged")]
-    for df in others:
-        rows = rows.unionByName(df, allowMissingColumns=True)
-
-    marks = [m for m in ("folder_made", "wanted", "stray", "logged") if m in rows.columns]
-    flags = [f"has_{kind}" for kind in V.ONCE_PER_SEED]
-    shared = [*[F.bool_or(m).alias(m) for m in marks],
-              *[F.coalesce(F.sum(c), F.lit(0)).alias(c)
-                for c in [*[f"{kind}_count" for kind in V.REPEATABLE], "stored_warcs"]],
-              F.bool_and("file_types_expected").alias("file_types_expected"),
+        rows = rows.unionByName(marked(log, "Seed_ID", _LOGGED), allowMissingColumns=True)
+
+    counts = [c for c in (*_FILES, _STRAY, _FOLDER, _WANTED, _LOGGED) if c in rows.columns]
+    shared = [*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts],
               F.max("warcs").alias("warcs"), F.max("ord").alias("ord")]
-    by_id = rows.groupBy("seed_id", "aip_id").agg(*[F.bool_or(c).alias(c) for c in flags], *shared)
-    here = F.coalesce(F.col("wanted"), F.lit(False))
+    by_id = rows.groupBy("seed_id", "aip_id").agg(*shared)
+    # Only the once-per-seed reports have to be in the row of the wanted id.
+    here = F.col(_WANTED) > 0
     by_seed = by_id.groupBy("seed_id").agg(
         F.max(F.when(here, F.col("aip_id"))).alias("aip_id"),
-        *[F.bool_or(here & F.coalesce(F.col(c), F.lit(False))).alias(c) for c in flags], *shared)
-    return by_seed.withColumns({m: F.coalesce(F.col(m), F.lit(False)) for m in marks})
+        *[F.sum(F.when(here, F.col(k)).otherwise(0)).alias(f"right_{k}") for k in V.ONCE_PER_SEED], *shared)
+    made = F.lit(False)
+    for count in (*_FILES, _FOLDER):
+        if count in counts:
+            made = made | (F.col(count) > 0)
+    return by_seed.withColumn("folder_made", made)
 
 
 def _typed(by_seed: DataFrame) -> DataFrame:
     """The completeness table, and ``ord`` for its order. Tests that could not be made are null."""
-    tested = F.col("wanted") & F.col("folder_made")
+    wanted = F.col(_WANTED) > 0
+    tested = wanted & F.col("folder_made")
 
     def test(value, name: str):
         return F.when(tested, value).alias(name)
 
     return by_seed.select(
-        "seed_id", "aip_id", F.when(F.col("wanted"), F.col("folder_made")).alias("folder_made"),
-        *[test(F.col(f"has_{kind}"), f"has_{kind}") for kind in V.ONCE_PER_SEED],
-        *[test(F.col(f"{kind}_count"), f"{kind}_count") for kind in V.REPEATABLE],
-        test(F.col("stored_warcs") == F.col("warcs"), "warc_count_correct"),
-        test(F.coalesce("file_types_expected", F.lit(True)), "file_types_expected"),
-        F.when(tested, PRESENT).when(F.col("wanted"), MISSING).otherwise(UNEXPECTED).alias("state"), "ord")
+        "seed_id", "aip_id", F.when(wanted, F.col("folder_made")).alias("folder_made"),
+        *[test(F.col(f"right_{kind}") > 0, f"has_{kind}") for kind in V.ONCE_PER_SEED],
+        *[test(F.col(kind), f"{kind}_count") for kind in V.REPEATABLE],
+        test(F.col(_WARC) == F.col("warcs"), "warc_count_correct"),
+        test(F.col(_OTHER) == 0, "file_types_expected"),
+        F.when(tested, PRESENT).when(wanted, MISSING).otherwise(UNEXPECTED).alias("state"), "ord")
 
 
 def audit_completeness(expected: DataFrame, files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
@@ -92,13 +92,13 @@ def audit_completeness(expected: DataFrame, files: DataFrame, folders: DataFrame
     ``files`` has ``folder`` and ``name``; ``folders`` adds folders that may be empty, which a listing of
     files cannot show.
     """
-    return _typed(_by_seed(expected, files, folders, None).filter("wanted"))
+    return _typed(_by_seed(expected, files, folders, None).filter(F.col(_WANTED) > 0))
 
 
 def audit_store(expected: DataFrame, log: DataFrame, files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
     """The same and, in state ``unexpected``, every folder or file beside them that no log line accounts for."""
-    extra = (F.col("folder_made") | F.col("stray")) & ~F.col("logged")
-    return _typed(_by_seed(expected, files, folders, log).filter(F.col("wanted") | extra))
+    extra = (F.col("folder_made") | (F.col(_STRAY) > 0)) & (F.col(_LOGGED) == 0)
+    return _typed(_by_seed(expected, files, folders, log).filter((F.col(_WANTED) > 0) | extra))
 
 
 def extra_folders(log: DataFrame, files: DataFrame, folders: DataFrame | None = None) -> DataFrame:

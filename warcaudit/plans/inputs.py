@@ -91,7 +91,7 @@ select cast(l_partkey as string) as folder,
        concat('AIT-', l_suppkey, '-TEST-JOB', l_orderkey, '-SEED', l_partkey, '-',
               replace({_DAY}, '-', ''), '000000-0000', l_linenumber, '-h3.warc') as name
 from {{lineitem}} where l_quantity <> 13 and l_orderkey % 400 <> 0 and l_partkey % 9 <> 0
-  and {_DAY} >= '{START}' and {_DAY} < '{END}'
+  and l_shipdate >= date '{START}' and l_shipdate < date '{END}'
 union all select cast(p_partkey as string), concat('aip-', p_partkey, '_coll.csv') from {{part}} where p_size <> 7 and p_partkey % 9 <> 0
 union all select cast(p_partkey as string), concat('aip-', p_partkey, '_seed.csv') from {{part}} where p_size <> 8 and p_partkey % 9 <> 0
 union all select cast(p_partkey as string), concat('aip-', p_partkey, '_seedscope.csv') from {{part}} where p_size % 4 = 0 and p_partkey % 9 <> 0
