@@ -119,7 +119,7 @@ def _word(column: str) -> str:
 
 
 def _successes(column: str) -> str:
-    return f"(length({column}) - length(replace(lower({column}), 'successfully', ''))) // 12"
+    return f"((length({column}) - length(replace(lower({column}), 'successfully', ''))) // 12)::integer"
 
 
 _WARC_COLUMNS = ("WARC_Download_Errors", "WARC_Fixity_Errors", "WARC_Unzip_Errors")
@@ -133,7 +133,7 @@ def all_oracles() -> dict[str, str]:
     listing = with_clause("warc_listing")
     return {
         "listing_scan": f"""{listing}
-select filename as page, 0 as position, 2 as declared, filename, collection, crawl, size, store_time,
+select filename as page, 0 as position, 2::bigint as declared, filename, collection, crawl, size, store_time,
        'https://example.org/' || filename as url, md5(filename) as md5 from warc_listing
 union all
 select filename, 1, 2, 'second-' || filename, collection, crawl, size + 1, store_time, null, null from warc_listing""",
@@ -143,7 +143,7 @@ select seed_id, status, collector, relation as relation_first,
        case when relation is not null then 'See ' || seed_id end as relation_last, title from seed_reports""",
 
         "report_scan": """
-select o_orderkey, 0 as row, unnest(['id', 'crawl_definition', 'note']) as name,
+select o_orderkey, 0::bigint as row, unnest(['id', 'crawl_definition', 'note']) as name,
        unnest([o_orderkey::varchar, o_custkey::varchar, 'a, "b"' || chr(10) || 'next']) as value
 from orders where o_orderkey % 2 = 0
 union all
@@ -168,7 +168,7 @@ select *, {_gb('bytes')} as size_gb from sums""",
         "seed_inventory": f"{listing}, {_INVENTORY} select * from seeds",
         "explode_lists": f"""{listing}, {_LISTED},
 jobs as (select seed_id, crawl, min(store_time || ' ' || filename) as o from inside group by all)
-select seed_id as Seed_ID, row_number() over (partition by seed_id order by o) - 1 as position, crawl as job_id from jobs""",
+select seed_id as Seed_ID, (row_number() over (partition by seed_id order by o) - 1)::integer as position, crawl as job_id from jobs""",
         "expected_seeds": f"{with_clause('warc_listing', 'audit_log')}, {_EXPECTED} select seed_id, aip_id, warcs from expected",
         "reconcile": f"""{with_clause('warc_listing', 'audit_log')}, {_EXPECTED},
 numbers as (select (select count(*) from lineitem) as declared,
@@ -179,7 +179,7 @@ select declared, included, placed_rows - included as excluded, rejected, declare
         "departments": f"{with_clause('seed_reports')}, {_DEPARTMENTS} select seed_id, department, aip_title from coll",
         "collections": f"{with_clause('seed_reports')}, {_DEPARTMENTS} select seed_id, archival_collection from coll",
         "sequence": f"""{with_clause('seed_reports')}, {_DEPARTMENTS}
-select seed_id, archival_collection, n as sequence,
+select seed_id, archival_collection, n::integer as sequence,
        case when n < 10000 then lpad(n::varchar, 4, '0') else n::varchar end as sequence_text
 from numbered where department in ('hargrett', 'russell')""",
         "aip_metadata": f"{with_clause('seed_reports')}, {_METADATA} select * from meta",
@@ -225,7 +225,7 @@ from judged""",
 tried as (select *, case when page_id % 13 = 0 then 'unexpected end of file'
                          when page_id % 17 = 0 then 'not in gzip format' end as reason from payloads)
 select filename, case when reason is null then md5(content) end as unzipped_md5,
-       case when reason is null then strlen(content) end as unzipped_size,
+       case when reason is null then strlen(content)::integer end as unzipped_size,
        case when reason is null then 'Successfully unzipped ' || filename
             else 'Error unzipping ' || filename || ': ' || reason end as message from tried""",
         "warc_stage_outcomes": f"""{with_clause('payloads')},

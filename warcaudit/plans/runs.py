@@ -9,8 +9,8 @@ Landed data, below one folder:
 * ``warcs/`` the gzip WARC files
 
 Results, below another: ``preservation_download/<seed>/…``, ``listing`` (the pages as one table), and
-``metadata``, ``seeds_log``, ``reports``, ``events``, ``warc_results`` and ``completeness_check`` with one
-folder per run.
+``metadata``, ``seeds_log``, ``pending``, ``reports``, ``events``, ``warc_results`` and ``completeness_check``
+with one folder per run.
 """
 
 from __future__ import annotations
@@ -171,20 +171,22 @@ def run_batch(spark: SparkSession, batch: Batch, size: int | None = None) -> str
     log = readers.read_log(spark, batch.place("seeds_log", earlier[-1]))
     lines = seed_lines(log)
     chosen = status.pending_seeds(lines) if size is None else status.pending_batch(lines, size)
-    seeds = chosen.select(F.col("Seed_ID").alias("seed_id"), F.coalesce("AIP_ID", F.lit(V.TBD)).alias("aip_id"))
+    # Written down: the choice is used many times, and the log it comes from can be large.
+    chosen.select(F.col("Seed_ID").alias("seed_id"), F.coalesce("AIP_ID", F.lit(V.TBD)).alias("aip_id")).write.mode(
+        "overwrite").parquet(batch.place("pending", run))
+    seeds = spark.read.parquet(batch.place("pending", run))
     writers.drop_seed_folders(seeds, batch.store).write.mode("overwrite").format("noop").save()
 
     listing = readers.read_listing_table(spark, batch.listing)
-    rows = inventory.rows_in_window(listing, batch.start, batch.end).join(
-        seeds.select("seed_id"), "seed_id", "left_semi").drop("seed_id", "store_date")
-    named = inventory.rows_in_window(rows, batch.start, batch.end)
+    named = inventory.rows_in_window(listing, batch.start, batch.end).join(
+        seeds.select("seed_id"), "seed_id", "left_semi")
     places = [batch.place("events", f"{run}-{part}") for part in ("reports", "warcs")]
     process_reports(spark, batch, seeds, named, run).write.mode("overwrite").parquet(places[0])
     process_warcs(spark, batch, named, run).write.mode("overwrite").parquet(places[1])
     events = spark.read.parquet(*places)
 
     # Very large seeds have several lines, so facts and messages meet by seed and part.
-    facts = inventory.seed_inventory(rows, batch.start, batch.end, with_part=True).drop(*V.STATUS_COLUMNS)
+    facts = inventory.seed_inventory(named.drop("seed_id", "store_date"), batch.start, batch.end, with_part=True).drop(*V.STATUS_COLUMNS)
     folded = status.finish_report_columns(status.fold_log(events, seeds.select("seed_id"), with_part=True))
     judged = status.completeness_of_events(events)
     done = (facts.join(folded, ["Seed_ID", "Part"], "full").join(judged, "Seed_ID", "left")
