@@ -1,0 +1,127 @@
+"""Secrets in texts, found and linked with built-in functions only.
+
+Three kinds stand for themselves: ``assign`` (a value given to a password-like name), ``access`` (an access key id)
+and ``hex`` (a long lower-case hexadecimal run). Parts that prove nothing alone are reported only beside what they
+belong to: the candidates of a text are interval-joined, and a pair is linked when at most ``SCOPE`` characters lie
+between its spans.
+
+* ``identifier``, an upper-case identifier with a digit, and ``key``, a mixed run of 32 to 128 characters, need each
+  other or the strong part they lack: an identifier needs a key, an assigned or a hexadecimal secret; a key needs an
+  identifier, an access key id or an endpoint.
+* ``endpoint``, an address, needs both an identifier or access key id and a secret or key.
+
+Offsets are code points, the end is exclusive. No row leaves its task: nothing is shuffled.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .store import free_name, require
+
+SCOPE = 200
+MASK = "[REDACTED]"
+
+# The patterns of the base kinds, the group that is measured, and its least length.
+BASE = {
+    "assign": (r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 12),
+    # A run is matched whole from its start, so asking for its least length at once finds the same spans.
+    "access": (r"AKIA[A-Z0-9]{14,}", 0, 18),
+    "hex": (r"[0-9a-f]{16,}", 0, 16),
+}
+WEAK = {
+    "identifier": (r"(?<![A-Za-z0-9+/=_-])(?=[A-Z]*[0-9])[A-Z][A-Z0-9]{15,31}(?![A-Za-z0-9+/=_-])", 0, 16),
+    "key": (r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])"
+            r"[A-Za-z0-9+/_-]{32,128}={0,2}(?![A-Za-z0-9+/=_-])", 0, 32),
+    "endpoint": (r"(?<![A-Za-z0-9])(?:https?|ftp|jdbc|amqp|redis|mongodb|postgres(?:ql)?|mysql|s3)://[^\s\"'<>]{4,}", 0, 4),
+}
+KINDS = [*BASE, *WEAK]
+SPAN = "array<struct<start: int, rank: int, end: int>>"
+
+
+def _spans(text: Column, kind: str) -> Column:
+    """Spans of all matches of a kind, left to right: matches and the pieces between them, summed up by length."""
+    pattern, group, least = {**BASE, **WEAK}[kind]
+    zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"),
+                          F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("whole"),
+                          F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("part"))
+    none = F.array().cast("array<struct<start: int, rank: int, end: int, size: int>>")
+
+    def step(done: Column, x: Column) -> Column:
+        start = done["at"] + F.length(x["gap"])
+        end = start + F.length(x["whole"])
+        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"),
+                        F.length(x["part"]).alias("size"))
+        return F.when(x["whole"].isNull(), done).otherwise(
+            F.struct(end.alias("at"), F.concat(done["found"], F.array(span)).alias("found")))
+
+    found = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda done: done["found"])
+    kept = F.filter(found, lambda s: s["size"] >= least)
+    return F.when(text.rlike(pattern), F.transform(kept, lambda s: F.struct(s["start"], s["rank"], s["end"]))
+                  .cast(SPAN)).otherwise(F.array().cast(SPAN))
+
+
+def _near(span: Column, others: Column) -> Column:
+    """Whether one of the other spans is within the scope of a span and is not the same text."""
+    return F.exists(others, lambda o: (F.greatest(o["start"], span["start"]) - F.least(o["end"], span["end"])).between(0, SCOPE))
+
+
+def _linked(found: Column) -> Column:
+    """Weak spans that have their other parts in scope, as a struct of arrays by kind."""
+    of = {k: found[k] for k in KINDS}
+    who = F.concat(of["access"], of["identifier"])
+    what = F.concat(of["assign"], of["hex"], of["key"])
+    needed = {"identifier": [what], "key": [F.concat(who, of["endpoint"])], "endpoint": [who, what]}
+    def kept(kind: str) -> Column:
+        return F.filter(of[kind], lambda span: reduce(lambda a, b: a & b, [_near(span, o) for o in needed[kind]]))
+
+    return F.concat(*[kept(k) for k in needed])
+
+
+def scan(docs: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame:
+    """All rows and columns of a table, and a struct ``base, spans`` of the spans in each whole text.
+
+    ``base`` has the spans of the kinds that stand for themselves, ``spans`` those and the linked ones; each span is
+    ``start, rank, end`` with the kind's place in ``KINDS``, ordered by start, then kind. Null and empty texts have
+    none; rows are worked on alone, so repeated rows and rows without id are nothing special. A column named ``out``
+    is replaced.
+    """
+    require(docs, text)
+    found, body = free_name(docs, "_found"), F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    parts = docs.withColumn(found, F.struct(*[_spans(body, k).alias(k) for k in KINDS]))
+    base = F.array_sort(F.concat(*[F.col(found)[k] for k in BASE]))
+    every = F.array_sort(F.concat(*[F.col(found)[k] for k in BASE], _linked(F.col(found))))
+    return parts.withColumn(out, F.struct(base.alias("base"), every.alias("spans"))).drop(found)
+
+
+def count_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["rank"] == KINDS.index(kind))).cast("long")
+
+
+def listed(spans: Column) -> Column:
+    """``kind:start:end`` of every span, comma-joined."""
+    names = F.array(*[F.lit(k) for k in KINDS])
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", F.get(names, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def redacted(text: Column, spans: Column) -> Column:
+    """The text with a mask in place of every run of spans; a text without spans, or null, as it is."""
+    def step(done: Column, s: Column) -> Column:
+        fresh = s["start"] >= done["at"]
+        between = F.when(fresh & ((s["start"] > done["at"]) | (done["at"] == 0)), F.concat(
+            F.substring(text, done["at"] + 1, s["start"] - done["at"]), F.lit(MASK))).otherwise(F.lit(""))
+        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), F.concat(done["out"], between).alias("out"))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    rest = lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+
+
+def redact(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The same rows with every found span masked in the text; nothing else changes."""
+    out = free_name(docs, "_secrets")
+    return scan(docs, text, out).withColumn(text, redacted(F.col(f"`{text}`"), F.col(out)["spans"])).drop(out)
