@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, jaccard, pieces, quality, secrets, tiling
+from . import caps, counts, jaccard, pieces, quality, secrets, suffixes, tiling
 from .store import shared_folder
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -24,6 +24,13 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
+def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every text when 100-byte strings that start earlier are removed."""
+    found = suffixes.remove_repeats(documents(spark, folder))
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text with begin and end, and what they decode to, as digests."""
     found = pieces.encode(documents(spark, folder).select("doc_id", "text"), PIECES)
@@ -65,8 +72,15 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(spans).alias("spans"))
 
 
+def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of vectors with a cosine of 0.9 or more."""
+    return caps.near(table(spark, folder, "embeddings"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_pieces, op3_token_counts, op4_ngram_join, op6_decontamination, op7_quality, op8_secrets)}
+    return {f.__name__: f for f in (
+        op1_suffix_dedup, op2_pieces, op3_token_counts, op4_ngram_join, op6_decontamination, op7_quality, op8_secrets,
+        op10_near_vectors)}
 
 
 def all_oracles() -> dict[str, str]:
