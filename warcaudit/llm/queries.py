@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import caps, counts, jaccard, pieces, quality, secrets, suffixes, tiling
+from . import caps, counts, credentials, jaccard, passages, pieces, quality, seating, suffixes, tiling
 from .store import shared_folder
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -50,6 +50,11 @@ def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.classes(documents(spark, folder), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
+def op5_near_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of 50 words or more that nearly repeat one of another document."""
+    return passages.near_passages(documents(spark, folder))
+
+
 def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold a benchmark item, with the share of its words that tiles cover."""
     found = tiling.contaminated(documents(spark, folder), table(spark, folder, "benchmark"))
@@ -66,10 +71,16 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Spans of secrets and of linked parts in every text."""
-    found = secrets.scan(documents(spark, folder).select("doc_id", "text"))
+    found = credentials.scan(documents(spark, folder).select("doc_id", "text"))
     base, spans = F.col("secrets.base"), F.col("secrets.spans")
-    return found.select("doc_id", *[secrets.count_of(base, k).alias(f"n_{k}") for k in secrets.BASE],
-                        F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(spans).alias("spans"))
+    return found.select("doc_id", *[credentials.count_of(base, k).alias(f"n_{k}") for k in credentials.BASE],
+                        F.sha2(credentials.listed(base), 256).alias("base_sha256"), credentials.listed(spans).alias("spans"))
+
+
+def op9_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    """Add-one and Pitman-Yor scores of every text, learnt from six sevenths of them."""
+    held = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    return seating.score(documents(spark, folder), held)
 
 
 def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,8 +90,8 @@ def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_suffix_dedup, op2_pieces, op3_token_counts, op4_ngram_join, op6_decontamination, op7_quality, op8_secrets,
-        op10_near_vectors)}
+        op1_suffix_dedup, op2_pieces, op3_token_counts, op4_ngram_join, op5_near_passages, op6_decontamination, op7_quality,
+        op8_secrets, op9_pitman_yor, op10_near_vectors)}
 
 
 def all_oracles() -> dict[str, str]:
