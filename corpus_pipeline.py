@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from warcaudit.llm import jaccard, pieces, quality, secrets, tiling
+from warcaudit.llm import credentials, jaccard, pieces, quality, tiling
 from warcaudit.llm.queries import PIECES, documents, table
 from warcaudit.llm.store import shared_folder
 
@@ -31,7 +31,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts masked and ``n_chars`` as the text now is."""
-    return secrets.redact(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return credentials.redact(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
