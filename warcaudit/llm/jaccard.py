@@ -270,19 +270,30 @@ def _check(pairs: DataFrame, bodies: DataFrame, width: int, percent: int) -> Dat
 
 
 def _beside_centres(stars: DataFrame, percent: int) -> DataFrame:
-    """Pairs beside the same centre that can still be linked though one of them is not linked with the centre."""
+    """Pairs beside the same centre that can still be linked though one of them is not linked with the centre.
+
+    Where the shared element is one that the centre has, both prefixes have all elements that it lacks, and none of
+    those is shared: then two nodes share no more than the smaller number of elements that they miss.
+    """
     share = (100 - percent) / (100 + percent)
     apart = F.size("more") + F.size("less")
-    differences = F.concat("more", "less")
+    differences = F.concat(F.transform("more", lambda e: F.struct(e.alias("element"), F.lit(True).alias("extra"))),
+                           F.transform("less", lambda e: F.struct(e.alias("element"), F.lit(False).alias("extra"))))
     # What x, not linked with the centre, must share with any y is more than this half.
     half = F.floor((apart + share * (F.col("n_a") - F.col("n_b"))) / 2 - F.lit(1e-9))
-    y = stars.select("a", F.col("b").alias("y"), F.col("n_b").alias("n_y"), F.explode(
-        F.slice(differences, F.lit(1), F.greatest(F.lit(0), F.least(apart, apart - half)).cast("int"))).alias("element"))
     most = F.floor(share * F.col("n_b") * (1 + 100 / percent)) + 1
-    x = stars.filter("not linked").select("a", F.col("b").alias("x"), F.col("n_b").alias("n_x"), F.explode(
-        F.slice(differences, F.lit(1), F.least(apart, most).cast("int"))).alias("element"))
-    close = ((100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (F.col("x") != F.col("y")))
-    return x.join(y, ["a", "element"]).filter(close).select(
+
+    def first(rows: DataFrame, name: str, length) -> DataFrame:
+        kept = F.slice(differences, F.lit(1), F.greatest(F.lit(0), F.least(apart, length)).cast("int"))
+        return rows.select("a", F.col("b").alias(name), F.col("n_b").alias(f"n_{name}"), apart.alias(f"apart_{name}"),
+                           F.size("less").alias(f"less_{name}"), F.explode(kept).alias("d")).select("*", "d.element", "d.extra").drop("d")
+
+    x, y = first(stars.filter("not linked"), "x", most), first(stars, "y", apart - half)
+    allowed = F.floor(share * (F.col("n_x") + F.col("n_y")) + F.lit(1e-9))
+    possible = ((100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (F.col("x") != F.col("y"))
+                & (F.col("x.extra") | (2 * F.least("less_x", "less_y") >= F.col("apart_x") + F.col("apart_y") - allowed)))
+    same = (F.col("x.a") == F.col("y.a")) & (F.col("x.element") == F.col("y.element"))
+    return x.alias("x").join(y.alias("y"), same & possible).select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
