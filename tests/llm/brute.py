@@ -1,0 +1,98 @@
+"""Plain single-process versions of what the operators compute, for small tables."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import defaultdict
+
+import numpy as np
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def shingle_set(text, width):
+    w = words(text)
+    if len(w) < width:
+        return frozenset([tuple(w)] if w else [])
+    return frozenset(tuple(w[k: k + width]) for k in range(len(w) - width + 1))
+
+
+def roots(ids, links):
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {i: find(i) for i in ids}
+
+
+def jaccard_components(rows, width, percent):
+    """Set size and component of each (id, text), all pairs compared that share a shingle."""
+    sets = {i: shingle_set(t, width) for i, t in rows}
+    places = defaultdict(list)
+    links = []
+    for i in sorted(sets):
+        shared = defaultdict(int)
+        for s in sets[i]:
+            for j in places[s]:
+                shared[j] += 1
+            places[s].append(i)
+        links += [(i, j) for j, n in shared.items() if 100 * n >= percent * (len(sets[i]) + len(sets[j]) - n)]
+    root = roots(sets, links)
+    return {i: (len(sets[i]), root[i]) for i in sets}
+
+
+def without_repeats(rows, length=100):
+    """Bytes, removed bytes, removed runs and digest of the rest of each (id, text), in order of id."""
+    seen, out = set(), {}
+    for i, text in sorted(rows, key=lambda r: r[0]):
+        body = (text or "").encode()
+        cover = np.zeros(len(body) + 1, int)
+        for k in range(len(body) - length + 1):
+            window = body[k: k + length]
+            if window in seen:
+                cover[k] += 1
+                cover[k + length] -= 1
+            seen.add(window)
+        gone = np.cumsum(cover)[:-1] > 0
+        kept = bytes(np.frombuffer(body, np.uint8)[~gone])
+        runs = int((gone & ~np.append(False, gone[:-1])).sum()) if len(body) else 0
+        out[i] = (len(body), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest())
+    return out
+
+
+KINDS = [("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 12),
+         ("access", re.compile("AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile("[0-9a-f]+"), 0, 16)]
+
+
+def base_spans(text):
+    found = [(m.start(), k, m.end(), kind) for k, (kind, pattern, group, least) in enumerate(KINDS)
+             for m in pattern.finditer(text or "") if len(m[group]) >= least]
+    return ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in sorted(found))
+
+
+def cosine_links(ids, vectors, least=0.9):
+    """Links counted and component of each id; vectors without direction have none."""
+    ok = {}
+    for i, v in zip(ids, vectors):
+        if v is not None and len(v) and all(x is not None for x in v):
+            x = np.array(v, float)
+            if np.isfinite(x).all() and x.any():
+                ok[i] = x / np.linalg.norm(x)
+    links = [(i, j) for i in ok for j in ok if i < j and len(ok[i]) == len(ok[j]) and ok[i] @ ok[j] >= least]
+    n = defaultdict(int)
+    for i, j in links:
+        n[i] += 1
+        n[j] += 1
+    root = roots(ids, links)
+    return {i: (n[i], root[i], root[i] == i) for i in ids}

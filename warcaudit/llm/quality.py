@@ -29,7 +29,7 @@ from .text import NOT_ALNUM, Words, buffers, distinct_by_row, slices
 SAMPLE = 20_000
 BUCKETS = 1 << 18
 CLASSES = ("low", "toxic")
-Z = 4.0
+Z = 3.0
 TOP = 1_000
 TOP_CONCENTRATION = 1e6
 _UPPER = np.zeros(256, bool)
