@@ -41,56 +41,49 @@ def expected_lists(rows):
     return seeds
 
 
-@pytest.mark.parametrize("cell_chars", [None, 10_000_000, 3000, 200])
-def test_inventory_is_the_same_for_every_cell_size(spark, cell_chars):
+def test_one_row_for_each_seed_in_listing_order(spark):
+    """Also for the seed that has most of the rows, on many pages and as many copies of one row."""
     rows = listing_rows()
     random.shuffle(shuffled := list(rows))
-    result = inventory.seed_inventory(spark.createDataFrame(shuffled, COLUMNS).repartition(7), START, END,
-                                      cell_chars=cell_chars, with_part=True).collect()
+    result = inventory.seed_inventory(spark.createDataFrame(shuffled, COLUMNS).repartition(7), START, END)
+    got = {r.Seed_ID: r for r in result.collect()}
     want = expected_lists(rows)
-    got = {}
-    for row in sorted(result, key=lambda r: (r.Seed_ID, r.Part)):
-        got.setdefault(row.Seed_ID, []).append(row)
-    assert got.keys() == want.keys()
+    assert got.keys() == want.keys() and result.count() == len(want)
     for seed, (collections, jobs, names, sizes) in want.items():
-        parts = got[seed]
-        assert [p.Part for p in parts] == list(range(1, len(parts) + 1))
-        for column, values in (("AIT_Collection", collections), ("Job_ID", jobs), ("WARC_Filenames", names)):
-            assert "|".join(p[column] for p in parts if p[column] is not None) == "|".join(values)
-        assert sum(p.WARCs or 0 for p in parts) == len(names)
-        assert parts[0].Size_GB == round(sum(sizes) / 1e9, 3) and all(p.Size_GB is None for p in parts[1:])
-        if cell_chars and cell_chars < 10_000:
-            # No piece is longer than the limit and the row that crosses it.
-            assert max(len(p.WARC_Filenames or "") for p in parts) <= cell_chars + 64 * 1024
-    parts_of_seven = len(got["7"])
-    assert parts_of_seven > 1 if cell_chars in (3000, 200) else parts_of_seven == 1
-
-
-def test_a_run_of_copies_is_split(spark, monkeypatch):
-    """One row repeated many times does not end up in one piece."""
-    monkeypatch.setattr(grouping, "_COPY_CHARS", 100)
-    rows = spark.createDataFrame([("s", 1, "cell", "text")] * 500, "k string, o int, cell string, text string")
-    parts = grouping.pack_large_groups(rows, "k", ["o"], ["cell"], "|", 2500, 250).orderBy("Part").collect()
-    assert "|".join(p.cell for p in parts) == "|".join(["text"] * 500)
-    assert len(parts) >= 10 and max(len(p.cell) for p in parts) <= 350
-
-
-@pytest.mark.parametrize("cell_chars", [None, 10_000_000, 400])
-def test_fold_log_is_the_same_for_every_cell_size(spark, cell_chars):
+        assert got[seed].AIT_Collection == "|".join(collections) and got[seed].Job_ID == "|".join(jobs)
+        assert got[seed].WARC_Filenames == "|".join(names) and got[seed].WARCs == len(names)
+        assert got[seed].Size_GB == round(sum(sizes) / 1e9, 3)
+    places = inventory.explode_list(result.filter("Seed_ID = '7'").select("Seed_ID", "Job_ID"), "Job_ID", "job_id").collect()
+    assert [(r.position, r.job_id) for r in sorted(places, key=lambda r: r.position)] == list(enumerate(want["7"][1]))
+
+
+def test_messages_fold_to_one_row(spark, monkeypatch):
+    monkeypatch.setattr(grouping, "STEP", 7)
     events = [("1" if i % 4 else "2", i, V.STATUS_COLUMNS[i % 3], f"Error: {i}" if i == 77 else f"message {i}") for i in range(400)]
+    events.append(("2", 500, V.STATUS_COLUMNS[0], None))
     seeds = spark.createDataFrame([("1",), ("2",), ("3",)], "seed_id string")
     frame = spark.createDataFrame(events, "seed_id string, ord int, log_column string, message string").repartition(5)
-    parts = status.fold_log(frame, seeds, cell_chars=cell_chars, with_part=True).orderBy("Seed_ID", "Part").collect()
-    for seed in ("1", "2", "3"):
-        own = [p for p in parts if p.Seed_ID == seed]
-        for column in V.PROGRESS_COLUMNS:
-            messages = [m for s, _, c, m in events if s == seed and c == column]
-            assert "; ".join(p[column] for p in own if p[column] is not None) == ("; ".join(messages) or "TBD")
-    assert len([p for p in parts if p.Seed_ID == "1"]) > 1 if cell_chars == 400 else len(parts) == 3
+    placed = frame.withColumn("ord", F.struct(F.lit(1).alias("step"), (F.col("ord") / 50).cast("int").alias("page"), F.col("ord").alias("position")))
+    for log in (status.fold_log(frame, seeds), status.fold_log(placed, seeds)):
+        got = {r.Seed_ID: r for r in log.collect()}
+        assert set(got) == {"1", "2", "3"} and log.count() == 3
+        for seed, row in got.items():
+            for column in V.PROGRESS_COLUMNS:
+                messages = [m for s, _, c, m in events if s == seed and c == column and m is not None]
+                assert row[column] == ("; ".join(messages) or "TBD")
     judged = {r.Seed_ID: r.Complete for r in status.completeness_of_events(frame).collect()}
     assert judged == {"1": V.STATUS_COLUMNS[77 % 3] if V.STATUS_COLUMNS[77 % 3] in V.ERROR_COLUMNS else V.COMPLETED, "2": V.COMPLETED}
 
 
+def test_a_cell_that_no_value_can_hold_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(grouping, "CELL_LIMIT", 100)
+    rows = spark.createDataFrame([("s", i, "cell", "text") for i in range(60)], "k string, o int, cell string, text string")
+    with pytest.raises(Exception, match="too long"):
+        grouping.join_texts(rows, "k", ["o"], ["cell"], "|").collect()
+    assert grouping.join_texts(rows.limit(5), "k", ["o"], ["cell", "other"], "|").first().asDict() == {
+        "k": "s", "cell": "text|text|text|text|text", "other": None}
+
+
 @pytest.mark.parametrize("group_rows", [None, 10_000, 50])
 def test_numbers_are_the_same_for_every_group_size(spark, group_rows):
     rows = [("big" if i % 3 else f"small{i % 5}", f"{i * 7919 % 1000:04d}") for i in range(1000)]

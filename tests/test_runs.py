@@ -9,6 +9,7 @@ import os
 
 import pytest
 
+from warcaudit.operators import inventory, warcs
 from warcaudit.plans import runs
 from warcaudit.sources import readers
 
@@ -128,6 +129,52 @@ def test_whole_run(spark, landed, tmp_path):
     assert [tuple(r)[2:4] for r in metadata] == [("11", "magil-ggp-11-2023-05"), ("22", "rbrl-123-web-202305-0001"), ("33", "TBD")]
 
 
+def test_nothing_is_kept_or_lost_silently(spark, landed, tmp_path):
+    """No password in any result; doubled answers and listing rows change nothing; unplaceable rows are a table."""
+    with open(f"{landed}/responses/part.json") as lines:
+        first = lines.readline()
+    with open(f"{landed}/responses/part.json", "a") as lines:
+        lines.write(first)
+    with open(f"{landed}/listing/page-0000.json") as page:
+        pages = json.load(page)
+    odd = [{**pages["files"][0]}, {**pages["files"][0], "filename": "AIT-77-no-seed.warc.gz"}]
+    with open(f"{landed}/listing/page-0002.json", "w") as page:
+        json.dump({"count": pages["count"], "files": odd}, page)
+    batch = runs.Batch(landed, str(tmp_path / "out"), "2023-04-01", "2023-05-02")
+    run = runs.run_batch(spark, batch)
+    for folder, _, names in os.walk(tmp_path / "out"):
+        for name in names:
+            with open(os.path.join(folder, name), "rb") as file:
+                assert b"PASS" not in file.read(), name
+    # Parquet may hide a text from a search of the bytes, so the tables are searched as well.
+    bodies = [r.body or "" for r in spark.read.parquet(batch.place("reports", run)).collect()]
+    assert any("REDACTED" in b for b in bodies) and not any("PASS" in b for b in bodies)
+    assert stored(batch)["11"][:2] == sorted([warc(11, 501, 1)[:-3], warc(11, 502, 2)[:-3]])
+    table = {t: spark.read.parquet(batch.place(t, run)).collect() for t in ("rejects", "reconcile", "success_tally", "qa_review")}
+    assert [(r.filename, r.reason) for r in table["rejects"]] == [("AIT-77-no-seed.warc.gz", "no seed id in file name")]
+    assert table["reconcile"][0].rejected == 1 and {r.Seed_ID for r in table["success_tally"]} == {"11", "22", "33"}
+    assert {r.seed_id for r in table["qa_review"]} >= {"22"}
+    log = sorted(by_seed(spark, batch.place("seeds_log", run)).items())
+    again = runs.run_batch(spark, batch)
+    assert again != run and sorted(by_seed(spark, batch.place("seeds_log", again)).items()) == log
+
+
+def test_a_damaged_landed_line_stops_the_run(spark, landed, tmp_path):
+    with open(f"{landed}/responses/part.json", "a") as lines:
+        lines.write('{"report_type": "seed", "entity')
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        runs.run_batch(spark, runs.Batch(landed, str(tmp_path / "out"), "2023-04-01", "2023-05-02"))
+
+
+def test_a_run_reads_only_its_window(spark, landed, tmp_path):
+    """URL and MD5 come with the rows of the window; the whole listing is not shuffled for them."""
+    listing = readers.read_listing(spark, f"{landed}/listing")
+    rows = inventory.rows_in_window(listing, "2023-04-01", "2023-05-02")
+    names = rows.select("seed_id", "filename")
+    text = warcs.warc_locations(names, rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("store_time") and text.count("2023-04-01") >= 2
+
+
 def test_small_batches_and_interruption(spark, landed, tmp_path):
     """One seed at a time, with what an interrupted run left behind, ends like one run over everything."""
     batch = runs.Batch(landed, str(tmp_path / "out"), "2023-04-01", "2023-05-02")

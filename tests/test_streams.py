@@ -25,12 +25,7 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("content, unzipped, reason", CASES)
-def test_unzip_bytes(content, unzipped, reason):
-    assert streams.unzip_bytes(content) == (unzipped, reason)
-
-
-@pytest.mark.parametrize("size", [1, 2, 3, 7, 64])
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 64, 1 << 20])
 @pytest.mark.parametrize("content, unzipped, reason", CASES)
 def test_any_chunking_gives_the_same(content, unzipped, reason, size):
     gunzip = streams.Gunzip()
@@ -67,3 +62,11 @@ def test_only_seed_folders_are_removed(tmp_path):
         with pytest.raises(ValueError):
             streams.remove_folder(str(tmp_path), name)
     assert streams.remove_folder(str(tmp_path), "1234") and not streams.remove_folder(str(tmp_path), "1234")
+
+
+def test_paths_are_taken_as_they_are(tmp_path):
+    name = str(tmp_path / "a #b%20" / "c d.gz")
+    for path in (name, f"file:{name}", f"file://{name}"):
+        streams.write_file(path, b"x")
+        assert streams.open_path(path)[1] == name and streams.check_file(path)[1] == 1
+    assert streams.check_file("nowhere://host/x")[3] is not None

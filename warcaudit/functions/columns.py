@@ -79,14 +79,6 @@ def has_error(message: Column) -> Column:
     return F.coalesce(message.contains("Error"), F.lit(False))
 
 
-def ends_with_any(name: Column, suffixes) -> Column:
-    """True when the name ends with one of the suffixes."""
-    test = F.lit(False)
-    for suffix in suffixes:
-        test = test | name.endswith(suffix)
-    return test
-
-
 # ---- message templates (fixed values) -----------------------------------------------------------
 def _text(*parts) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])

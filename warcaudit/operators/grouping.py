@@ -1,8 +1,10 @@
 """Ordered work inside groups of any size.
 
-Two things here need the rows of a group in order: joining texts into one cell, and numbering rows. Both
-have a one-shuffle form that is used when the largest group is known to fit a task, and a range-partitioned
-form for the groups that do not, so that a key holding most of the rows is spread over many tasks.
+Two things here need the rows of a group in order: joining texts into one cell, and numbering rows. A cell is
+always made in two steps, whatever its size: the rows of a group are joined within coarse steps of their order,
+which spreads a key holding most of the rows over many tasks, and then the pieces of the group are joined.
+Numbering has a one-shuffle form that is used when the largest group is known to fit a task, and a
+range-partitioned form for the groups that do not; both number alike.
 """
 
 from __future__ import annotations
@@ -10,17 +12,18 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Joined text a single group may have before it is split into several rows.
-CELL_CHARS = 16 * 1024 * 1024
+# Joined text that one cell may have. Beyond it the job stops with an error; no cell is cut.
+CELL_LIMIT = 1_000_000_000
+# Steps of a whole-number order that are joined together first.
+STEP = 10_000
 # Rows a single group may have before it is numbered in pieces.
 GROUP_ROWS = 2_000_000
 # Text of a list of keys that is still sent to every executor; a longer list is joined by shuffling.
 BROADCAST_CHARS = 16 * 1024 * 1024
-# Upper bound of text that one repeated row may stand for in a piece.
-_COPY_CHARS = 64 * 1024
 
 
 def use_checkpoints(spark: SparkSession) -> None:
@@ -67,47 +70,37 @@ def _pieces_wanted(spark: SparkSession, total: int, size: int) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-total // size))
 
 
-def pack_large_groups(items: DataFrame, key: str, order: Sequence[str], cells: Sequence[str], separator: str,
-                      total: int, piece_chars: int = CELL_CHARS) -> DataFrame:
-    """Join texts of very large groups, in order, as several rows per key.
+def coarse(rows: DataFrame, order: Sequence[str]) -> Column:
+    """A coarser value in the same order: the first fields of a place, or a stretch of numbers."""
+    kind = rows.schema[order[0]].dataType
+    if isinstance(kind, T.StructType):
+        return F.struct(*[F.col(order[0])[f].alias(f) for f in kind.fieldNames()[:2]])
+    if isinstance(kind, T.IntegralType):
+        return F.floor(F.col(order[0]) / STEP)
+    return F.col(order[0])
 
-    ``items`` has the key, the order columns, ``cell`` (the name of the result column a text belongs to) and
-    ``text``. Returns the key, ``Part`` (1, 2, …) and one column per cell. Joining the non-null pieces of a
-    cell in ``Part`` order with the separator gives the whole text. No task holds more than about
-    ``piece_chars`` of one group.
+
+def joined(texts: Column, separator: str, what: str) -> Column:
+    """One text of an array of texts; an error if it is longer than a value may be."""
+    chars = F.aggregate(texts, F.lit(0).cast("long"), lambda n, x: n + F.length(x) + len(separator))
+    return F.when(chars > CELL_LIMIT, F.raise_error(F.lit(f"{what} of one group is too long for a value"))).otherwise(
+        F.array_join(texts, separator))
+
+
+def join_texts(items: DataFrame, key: str, order: Sequence[str], cells: Sequence[str], separator: str) -> DataFrame:
+    """Texts of each key joined in order, one row per key with a column for each cell, null where it has no text.
+
+    ``items`` has the key, the order columns, ``cell`` (the name of the result column a text belongs to) and ``text``.
     """
-    use_checkpoints(items.sparkSession)
-    group = [key, "cell"]
-    ordering = [*order, "text", "_sub"]
-    extra = len(separator)
-
-    # Copies are counted before the shuffle; a long run of copies becomes several rows of a bounded size.
-    copies = items.groupBy(*group, *order, "text").agg(F.count(F.lit(1)).alias("_copies"))
-    per_row = F.greatest(F.lit(1), F.call_function("div", F.lit(_COPY_CHARS), F.length("text") + extra))
-    spread = (copies
-              .withColumn("_per_row", per_row)
-              .withColumn("_sub", F.explode(F.sequence(
-                  F.lit(0).cast("long"), F.call_function("div", F.col("_copies") - 1, F.col("_per_row")))))
-              .withColumn("_n", F.least(F.col("_per_row"), F.col("_copies") - F.col("_sub") * F.col("_per_row")))
-              .drop("_per_row", "_copies"))
-
-    # Range partitions cut through a large group; a running size cuts each range into pieces.
-    ranged = (spread.repartitionByRange(_pieces_wanted(items.sparkSession, total, piece_chars), *group, *ordering)
-              .withColumn("_range", F.spark_partition_id()))
-    before = Window.partitionBy(*group, "_range").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, -1)
-    chars = (F.length("text") + extra) * F.col("_n")
-    cut = ranged.withColumn("_cut", F.call_function(
-        "div", F.coalesce(F.sum(chars).over(before), F.lit(0)), F.lit(piece_chars)))
-    run = F.sort_array(F.collect_list(F.struct(*ordering, "_n")))
-    texts = F.flatten(F.transform(run, lambda x: F.array_repeat(x["text"], x["_n"].cast("int"))))
-    pieces = (cut.groupBy(*group, "_range", "_cut").agg(F.array_join(texts, separator).alias("_text"))
-              .checkpoint())
-
-    # The numbers need only the short columns, so no text passes through the per-key window.
-    numbers = pieces.select(*group, "_range", "_cut").withColumn(
-        "Part", F.row_number().over(Window.partitionBy(*group).orderBy("_range", "_cut")))
-    columns = [F.max(F.when(F.col("cell") == name, F.col("_text"))).alias(name) for name in cells]
-    return pieces.join(numbers, [*group, "_range", "_cut"]).groupBy(key, "Part").agg(*columns)
+    run = F.sort_array(F.collect_list(F.struct(*order, "text")))
+    pieces = items.groupBy(key, "cell", coarse(items, order).alias("_step")).agg(
+        joined(F.transform(run, lambda x: x["text"]), separator, "a piece").alias("_text"))
+
+    def whole(name: str) -> Column:
+        found = F.sort_array(F.collect_list(F.when(F.col("cell") == name, F.struct("_step", "_text"))))
+        return F.when(F.size(found) > 0, joined(F.transform(found, lambda x: x["_text"]), separator, name)).alias(name)
+
+    return pieces.groupBy(key).agg(*[whole(name) for name in cells])
 
 
 def number_rows(rows: DataFrame, key: str, order: Sequence[str], name: str,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -12,7 +12,6 @@ from ..functions import fixed_values as V
 from . import grouping
 
 LISTING_ORDER = ("page", "position")
-_LISTS = ("AIT_Collection", "Job_ID", "WARC_Filenames")
 
 
 def with_ids(listing: DataFrame) -> DataFrame:
@@ -50,11 +49,6 @@ def rows_in_window(listing: DataFrame, start: str, end: str) -> DataFrame:
     return with_ids(near).filter(F.col("seed_id").isNotNull() & C.in_window(F.col("store_date"), start, end))
 
 
-def seed_warcs(listing: DataFrame, start: str, end: str) -> DataFrame:
-    """The long form of the inventory: one row per WARC. Jobs on single WARCs start from this."""
-    return rows_in_window(listing, start, end)
-
-
 def seed_jobs(rows: DataFrame, order: Sequence[str] = LISTING_ORDER) -> DataFrame:
     """Each job of each seed once, with the place where it is first listed."""
     return (rows.groupBy("seed_id", F.col("crawl").alias("job_id"))
@@ -79,58 +73,36 @@ def explode_list(df: DataFrame, column: str, value: str, position: str = "positi
     return df.select(*others, F.posexplode(entries).alias(position, value))
 
 
-def seed_inventory(listing: DataFrame, start: str, end: str, order: Sequence[str] = LISTING_ORDER,
-                   cell_chars: int | None = grouping.CELL_CHARS, with_part: bool = False) -> DataFrame:
+def seed_inventory(listing: DataFrame, start: str, end: str, order: Sequence[str] = LISTING_ORDER) -> DataFrame:
     """One row per seed: collections, jobs, GB, WARC count, WARC names and the status columns.
 
-    Lists keep the order in which entries are first listed. A seed whose names do not fit ``cell_chars`` is
-    continued on further rows (``Part`` 2, 3, …), which carry only more of the lists; its totals are on the
-    first row. ``cell_chars=None`` promises that no seed is that large and saves the pass that checks it.
+    Lists keep the order in which entries are first listed. Rows are not sorted.
     """
-    rows = (rows_in_window(listing, start, end)
-            .select("seed_id", *order, "filename", "crawl", "collection", "size"))
-    small, large, total = grouping.split_by_size(
-        rows, ["seed_id"], F.length("filename") + len(V.LIST_SEPARATOR), cell_chars)
-    result = _one_row_per_seed(small, order)
-    if large is not None:
-        result = result.unionByName(_continued_rows(large, order, total, cell_chars))
-    result = result.select(
-        F.col("seed_id").alias("Seed_ID"), *_LISTS[:2], C.gigabytes(F.col("bytes")).alias("Size_GB"), "WARCs", _LISTS[2],
-        *[F.lit(V.TBD).alias(name) for name in V.STATUS_COLUMNS], "Part").orderBy("Seed_ID", "Part")
-    return result if with_part else result.drop("Part")
-
-
-def _one_row_per_seed(rows: DataFrame, order: Sequence[str]) -> DataFrame:
-    """One shuffle on the seed id; sums are combined on the map side."""
+    rows = rows_in_window(listing, start, end)
     fields = [*order, *[c for c in ("filename", "crawl", "collection") if c not in order]]
-    grouped = rows.groupBy("seed_id").agg(
-        F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("WARCs"),
+    step = grouping.coarse(rows, order).alias("_step")
+    pieces = rows.groupBy("seed_id", step).agg(
+        F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("warcs"),
         F.sort_array(F.collect_list(F.struct(*fields))).alias("listed"))
 
-    def joined(field: str, distinct: bool):
-        values = F.transform("listed", lambda x: x[field])
-        return F.array_join(F.array_distinct(values) if distinct else values, V.LIST_SEPARATOR)
-
-    return grouped.select("seed_id", joined("collection", True).alias("AIT_Collection"),
-                          joined("crawl", True).alias("Job_ID"), "bytes", "WARCs",
-                          joined("filename", False).alias("WARC_Filenames"), F.lit(1).alias("Part"))
-
-
-def _continued_rows(rows: DataFrame, order: Sequence[str], total: int, cell_chars: int) -> DataFrame:
-    """The same for seeds too large for one cell: distinct lists first, then texts joined in pieces."""
-    place = F.struct(*order).alias("ord")
-    lists = (rows.select("seed_id", F.lit("WARC_Filenames").alias("cell"), place, F.col("filename").alias("text"))
-             .unionByName(seed_jobs(rows, order)
-                          .select("seed_id", F.lit("Job_ID").alias("cell"), "ord", F.col("job_id").alias("text")))
-             .unionByName(seed_collections(rows, order)
-                          .select("seed_id", F.lit("AIT_Collection").alias("cell"), "ord",
-                                  F.col("collection").alias("text"))))
-    packed = grouping.pack_large_groups(lists, "seed_id", ["ord"], _LISTS, V.LIST_SEPARATOR, total, cell_chars)
-    totals = rows.groupBy("seed_id").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("WARCs"))
-    first = F.col("Part") == 1
-    return packed.join(totals, "seed_id").select(
-        "seed_id", "AIT_Collection", "Job_ID", F.when(first, F.col("bytes")).alias("bytes"),
-        F.when(first, F.col("WARCs")).alias("WARCs"), "WARC_Filenames", "Part")
+    def each(field: str) -> Column:
+        return F.transform("listed", lambda x: x[field])
+
+    runs = pieces.select("seed_id", "bytes", "warcs", F.struct(
+        "_step", grouping.joined(each("filename"), V.LIST_SEPARATOR, "a piece of the WARC names").alias("names"),
+        F.array_distinct(each("crawl")).alias("jobs"), F.array_distinct(each("collection")).alias("collections")).alias("run"))
+    seeds = runs.groupBy("seed_id").agg(
+        F.sum("bytes").alias("bytes"), F.sum("warcs").alias("WARCs"), F.sort_array(F.collect_list("run")).alias("runs"))
+
+    def distinct(field: str) -> Column:
+        values = F.array_distinct(F.flatten(F.transform("runs", lambda x: x[field])))
+        return grouping.joined(values, V.LIST_SEPARATOR, field)
+
+    names = grouping.joined(F.transform("runs", lambda x: x["names"]), V.LIST_SEPARATOR, "WARC_Filenames")
+    return seeds.select(
+        F.col("seed_id").alias("Seed_ID"), distinct("collections").alias("AIT_Collection"), distinct("jobs").alias("Job_ID"),
+        C.gigabytes(F.col("bytes")).alias("Size_GB"), "WARCs", names.alias("WARC_Filenames"),
+        *[F.lit(V.TBD).alias(name) for name in V.STATUS_COLUMNS])
 
 
 def enrich(inventory: DataFrame, aip: DataFrame) -> DataFrame:

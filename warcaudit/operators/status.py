@@ -13,31 +13,19 @@ from . import grouping
 
 
 def fold_log(events: DataFrame, seeds: DataFrame | None = None, order: Sequence[str] = ("ord",),
-             columns: Sequence[str] = V.PROGRESS_COLUMNS, cell_chars: int | None = grouping.CELL_CHARS,
-             with_part: bool = False) -> DataFrame:
+             columns: Sequence[str] = V.PROGRESS_COLUMNS) -> DataFrame:
     """Messages of each seed joined per log column, in order; the placeholder where there are none.
 
     ``events`` has ``seed_id``, the order columns, ``log_column`` and ``message``. ``seeds`` adds seeds
-    without events. A seed whose messages do not fit ``cell_chars`` is continued on rows with ``Part`` 2, 3, ….
+    without events. One row per seed.
     """
-    rows = events.filter(F.col("log_column").isin(list(columns))).select("seed_id", *order, "log_column", "message")
-    small, large, total = grouping.split_by_size(
-        rows, ["seed_id"], F.length("message") + len(V.MESSAGE_SEPARATOR), cell_chars)
-    within = ", ".join(f"`{name}`" for name in order)
-    cells = [F.expr(f"listagg(CASE WHEN log_column = '{name}' THEN message END, '{V.MESSAGE_SEPARATOR}') "
-                    f"WITHIN GROUP (ORDER BY {within})").alias(name) for name in columns]
-    folded = small.groupBy("seed_id").agg(*cells).withColumn("Part", F.lit(1))
-    if large is not None:
-        items = large.select("seed_id", *order, F.col("log_column").alias("cell"), F.col("message").alias("text"))
-        folded = folded.unionByName(grouping.pack_large_groups(
-            items, "seed_id", order, columns, V.MESSAGE_SEPARATOR, total, cell_chars))
+    rows = events.filter(F.col("log_column").isin(list(columns)) & F.col("message").isNotNull()).select(
+        "seed_id", *order, F.col("log_column").alias("cell"), F.col("message").alias("text"))
+    folded = grouping.join_texts(rows, "seed_id", order, columns, V.MESSAGE_SEPARATOR)
     if seeds is not None:
-        folded = (seeds.select("seed_id").distinct().join(folded, "seed_id", "left")
-                  .withColumn("Part", F.coalesce("Part", F.lit(1))))
-    # Rows that continue a seed hold nothing for columns that are already complete.
-    texts = [F.coalesce(F.col(name), F.when(F.col("Part") == 1, V.TBD)).alias(name) for name in columns]
-    result = folded.select(F.col("seed_id").alias("Seed_ID"), *texts, "Part")
-    return result if with_part else result.drop("Part")
+        folded = seeds.select("seed_id").distinct().join(folded, "seed_id", "left")
+    texts = [F.coalesce(F.col(name), F.lit(V.TBD)).alias(name) for name in columns]
+    return folded.select(F.col("seed_id").alias("Seed_ID"), *texts)
 
 
 def append_message(cell: Column, message: Column) -> Column:
@@ -79,11 +67,6 @@ def pending_seeds(log: DataFrame) -> DataFrame:
     return log.filter(C.is_open(F.col(V.COMPLETE)))
 
 
-def pending_count(log: DataFrame) -> int:
-    """How many seeds are still to be processed."""
-    return pending_seeds(log).count()
-
-
 def pending_batch(log: DataFrame, size: int) -> DataFrame:
     """The next few pending seeds, by seed id, for a run in small batches."""
     return pending_seeds(log).orderBy("Seed_ID").limit(size)

@@ -54,16 +54,11 @@ def verify_fixity(locations: DataFrame, files: DataFrame, checked_at: Column | N
     return compared.withColumn("message", message)
 
 
-def content_md5(files: DataFrame, content: str = "content") -> DataFrame:
-    """MD5 of files held in a column, inside the JVM. For files far below the 2 GB of a single value."""
-    return files.withColumn("actual_md5", F.md5(F.col(content))).drop(content)
-
-
 _CHECKED = "path string, filename string, actual_md5 string, size long, unzipped_size long, reason string"
 
 
 def _spread(files: DataFrame, task_bytes: int) -> DataFrame:
-    """Files dealt out to tasks evenly, as many tasks as their total size needs. Files are never split."""
+    """Files dealt out in turn to as many tasks as their total size needs. Files are never split."""
     total, count = files.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
     wanted = max(-(-total // task_bytes), files.sparkSession.sparkContext.defaultParallelism)
     return files.repartition(max(1, min(wanted, count)))
@@ -95,17 +90,6 @@ def verify_and_unzip(files: DataFrame, task_bytes: int = TASK_BYTES) -> DataFram
     return _spread(files.select("path", "filename", "length", "md5", "target"), task_bytes).mapInPandas(run, _CHECKED)
 
 
-def unzip_content(files: DataFrame) -> DataFrame:
-    """Unzip small gzip files held in a column (``filename, content``): unzipped content, or the reason why not."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            done = [streams.unzip_bytes(content) for content in batch["content"]]
-            yield pd.DataFrame({"filename": batch["filename"], "content": [d[0] for d in done],
-                                "reason": [d[1] for d in done]})
-
-    return files.select("filename", "content").mapInPandas(run, "filename string, content binary, reason string")
-
-
 def with_unzip_message(files: DataFrame) -> DataFrame:
     """Add the log message of unzipping; ``reason`` is null on success."""
     name = F.col("filename")

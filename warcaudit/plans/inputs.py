@@ -55,8 +55,9 @@ from {part}""",
     # Responses of report calls with failures and empty bodies.
     "report_responses": """
 select cast(o_custkey as string) as seed_id, concat('aip-', o_custkey) as aip_id,
+       case when o_orderkey % 6 = 0 then 'crawldef' else
        case substr(o_orderpriority, 1, 1) when '1' then 'seed' when '2' then 'seedscope' when '3' then 'collscope'
-            when '4' then 'coll' else 'crawljob' end as report_type,
+            when '4' then 'coll' else 'crawljob' end end as report_type,
        cast(o_orderkey as string) as entity_id, o_orderkey as ord,
        case when o_orderkey % 17 = 0 then 500 else 200 end as status,
        case when o_orderstatus = 'P' then '' else concat('id,', o_orderkey) end as body
@@ -129,33 +130,29 @@ select concat('P', page_id, '.warc.gz') as filename, page_id, html as content,
             when page_id % 11 = 0 then null else md5(html) end as listed_md5
 from {pages}""",
 
-    # A report with both login columns.
-    "login_report": """
-select c_custkey as id, c_name as login_username, c_mktsegment as login_password, c_nationkey as collection
+    # Seed reports: none, only a user name, no login columns, both login columns.
+    "seed_responses": """
+select cast(c_custkey as string) as seed_id, concat('aip-', c_custkey) as aip_id, 'seed' as report_type,
+       cast(c_custkey as string) as entity_id, c_custkey as ord, case when c_custkey % 4 = 0 then 404 else 200 end as status,
+       case c_custkey % 4 when 0 then concat('login_password', chr(10), c_name)
+            when 1 then concat('id,login_username', chr(10), c_custkey, ',', c_name, chr(10))
+            when 2 then concat('id,collection', chr(10), c_custkey, ',', c_nationkey, chr(10))
+            else concat('id,login_username,login_password,collection', chr(10), c_custkey, ',', c_name, ',', c_mktsegment, ',',
+                        c_nationkey, chr(10)) end as body
 from {customer}""",
-}
-
 
-# Columns that tell the rows of a table apart well enough to deal them out.
-_ROW_KEYS = {"lineitem": ("l_orderkey", "l_partkey"), "orders": ("o_orderkey",), "part": ("p_partkey",),
-             "customer": ("c_custkey",), "events": ("event_id",), "pages": ("page_id",)}
-# Smaller tables are not worth a shuffle, larger ones have enough splits or are too much to move.
-_DEAL_BYTES = (2_500_000, 500_000_000)
+    # Paths of a store: files of seeds, files deeper down, files beside the seeds.
+    "store_paths": """
+select concat('file:/stores/2001/', folder, '/', name) as path, folder, name from (
+    select cast(p_partkey as string) as folder, concat('aip-', p_partkey, case when p_size % 2 = 0 then '_coll.csv' else ' #1%.csv' end) as name from {part}
+    union all select cast(p_partkey as string), concat('more/', p_partkey, '.txt') from {part} where p_size = 3) f
+union all select concat('file:/stores/2001/', p_partkey, '.csv'), concat(p_partkey, '.csv'), null from {part} where p_size = 5""",
+}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the given tables.
-
-    A file of a few megabytes is a single split and would keep all but one core idle, so its rows are dealt
-    out. A table that is large or has at least as many splits as cores is read as it lies, without a shuffle.
-    """
-    rows = spark.read.parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in _ROW_KEYS and rows._jdf.rdd().getNumPartitions() < cores:
-        size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        if _DEAL_BYTES[0] < size < _DEAL_BYTES[1]:
-            rows = rows.repartition(cores, *_ROW_KEYS[name])
-    return rows
+    """One of the given tables, read as it lies."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def derive(spark: SparkSession, folder: str, text: str, **given: DataFrame) -> DataFrame:

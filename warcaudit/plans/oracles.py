@@ -125,7 +125,8 @@ def _successes(column: str) -> str:
 _WARC_COLUMNS = ("WARC_Download_Errors", "WARC_Fixity_Errors", "WARC_Unzip_Errors")
 _ALL_SUCCESSFUL = " and ".join(f"{_successes(c)} = WARCs" for c in _WARC_COLUMNS)
 
-_REPORT_NAME = """case report_type when 'crawljob' then aip_id || '_' || entity_id || '_crawljob.csv'
+# File names of reports.
+_REPORT_NAME = """case when report_type in ('crawljob', 'crawldef') then aip_id || '_' || entity_id || '_' || report_type || '.csv'
     else aip_id || '_' || report_type || '.csv' end"""
 
 
@@ -157,6 +158,11 @@ from orders where o_orderkey % 2 = 1""",
         "log_sink": f"""{with_clause('seed_events')}, {_EVENT_LOG}
 select * replace (Size_GB::varchar as Size_GB, WARCs::varchar as WARCs) from log""",
 
+        "file_listing": f"{with_clause('store_paths')} select folder, name from store_paths",
+        "metadata_sink": f"{with_clause('seed_reports')}, {_METADATA} select * from meta",
+        "report_sink": f"""{with_clause('report_responses')}
+select seed_id as folder, {_REPORT_NAME} as name, strlen(body) as length from report_responses where status = 200 and body <> ''""",
+
         "seed_id_extract": f"{listing} select filename, {_SEED} as seed_id from warc_listing",
         "store_date": f"{listing} select filename, split_part(store_time, 'T', 1) as store_date from warc_listing",
         "date_window": f"{listing}, {_LISTED} select filename, seed_id, store_date from inside",
@@ -167,7 +173,7 @@ sums as (select seed_id, sum(size)::bigint as bytes, count(*) as warcs from plac
 select *, {_gb('bytes')} as size_gb from sums""",
         "seed_inventory": f"{listing}, {_INVENTORY} select * from seeds",
         "explode_lists": f"""{listing}, {_LISTED},
-jobs as (select seed_id, crawl, min(store_time || ' ' || filename) as o from inside group by all)
+jobs as (select seed_id, crawl, min(store_time || ' ' || filename) as o from placed group by all)
 select seed_id as Seed_ID, (row_number() over (partition by seed_id order by o) - 1)::integer as position, crawl as job_id from jobs""",
         "expected_seeds": f"{with_clause('warc_listing', 'audit_log')}, {_EXPECTED} select seed_id, aip_id, warcs from expected",
         "reconcile": f"""{with_clause('warc_listing', 'audit_log')}, {_EXPECTED},
@@ -195,7 +201,7 @@ from named""",
         "report_names": f"""{with_clause('report_responses')}
 select entity_id, report_type, {_REPORT_NAME} as report_name from report_responses""",
         "crawl_definitions": f"""{with_clause('warc_listing', 'crawl_jobs', 'held_definitions')}, {_LISTED},
-needed as (select distinct seed_id, crawl as job_id from inside),
+needed as (select distinct seed_id, crawl as job_id from placed),
 linked as (select n.seed_id, n.job_id, j.crawl_definition from needed n
            left join (select * from crawl_jobs where row = 0) j using (job_id))
 select seed_id, 'definition' as kind, crawl_definition, null::varchar as job_id, null::varchar as message
@@ -205,9 +211,12 @@ union all
 select seed_id, 'error', null, job_id,
        'Error: crawl job ' || job_id || ' was not downloaded so can''t get crawl definition id'
 from linked where crawl_definition is null""",
-        "redact": f"""{with_clause('login_report')}
-select id, 'REDACTED' as login_username, 'REDACTED' as login_password, collection, 'Successfully redacted' as message
-from login_report""",
+        "redact": f"""{with_clause('seed_responses')}
+select seed_id, aip_id || '_seed.csv' as report_name,
+       case c when 0 then null when 3 then 'id,login_username,login_password,collection' || chr(10) || seed_id
+           || ',REDACTED,REDACTED,' || split_part(split_part(body, chr(10), 2), ',', 4) || chr(10) else body end as body,
+       case c when 0 then 'No seeds.csv to redact' when 3 then 'Successfully redacted' else 'No login columns to redact' end as message
+from (select *, seed_id::bigint % 4 as c from seed_responses) r""",
 
         "warc_locations": f"""{with_clause('warc_listing', 'warc_index')}
 select l.filename, i.url, i.md5,
@@ -222,12 +231,12 @@ select *, case outcome when 'verified' then 'Successfully verified ' || filename
     when 'not computable' then 'Error: fixity for ' || filename || ' cannot be extracted from md5deep output: b''''' end as message
 from judged""",
         "decompress": f"""{with_clause('payloads')},
-tried as (select *, case when page_id % 13 = 0 then 'unexpected end of file'
-                         when page_id % 17 = 0 then 'not in gzip format' end as reason from payloads)
-select filename, case when reason is null then md5(content) end as unzipped_md5,
-       case when reason is null then strlen(content)::integer end as unzipped_size,
-       case when reason is null then 'Successfully unzipped ' || filename
-            else 'Error unzipping ' || filename || ': ' || reason end as message from tried""",
+tried as (select *, case when page_id % 13 = 0 then 'unexpected end of file' when page_id % 17 = 0 then 'not in gzip format' end as reason,
+                 page_id % 7 <> 0 and page_id % 19 <> 0 as same from payloads)
+select filename, case when same and reason is null then md5(content) end as unzipped_md5,
+       case when same and reason is null then strlen(content) end as unzipped_size,
+       case when same and reason is null then 'Successfully unzipped ' || filename
+            when same then 'Error unzipping ' || filename || ': ' || reason end as message from tried""",
         "warc_stage_outcomes": f"""{with_clause('payloads')},
 a as (select *, md5(content) as actual, case when page_id % 23 = 0 then 'not located' when listed_md5 is null then 'not located'
         when page_id % 13 = 0 then 'not downloaded' when page_id % 17 = 0 then 'fixity unknown'
@@ -271,6 +280,10 @@ select distinct folder from stored_files where folder <> 'metadata.csv' and fold
         "audit_csv": f"""{with_clause('warc_listing', 'audit_log', 'stored_files')}, {_AUDIT}
 select seed_id as "Seed", aip_id as "AIP", {", ".join(f'{_word(c)} as "{h}"' for h, c in _HEADERS)} from audit
 union all
+select folder, {", ".join(["'Not expected'"] * 10)} from extras""",
+        "completeness_sink": f"""{with_clause('warc_listing', 'audit_log', 'stored_files')}, {_AUDIT}
+select seed_id as "Seed", aip_id as "AIP", {", ".join(f'{_word(c)} as "{h}"' for h, c in _HEADERS)} from audit
+union all
 select folder, {", ".join(["'Not expected'"] * 10)} from extras""",
         "qa_review": f"""{with_clause('warc_listing', 'audit_log', 'stored_files')}, {_AUDIT},
 both_kinds as (select * from audit union all by name select folder as seed_id, 'unexpected' as state from extras),

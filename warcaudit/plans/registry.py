@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gzip
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +14,7 @@ from pyspark.sql.types import BinaryType
 from ..functions import columns as C
 from ..functions import fixed_values as V
 from ..operators import audit, grouping, identifiers, inventory, reports, status, warcs
-from ..sources import readers, writers
+from ..sources import readers, streams, writers
 from .inputs import CHECKED_AT, END, INPUTS, LISTING_ORDER, START, derive, listing_between, load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,10 +80,15 @@ def _event_log(spark, folder) -> DataFrame:
         "Job_ID": F.lit(None).cast("string"), "WARC_Filenames": F.lit("a|b")})
 
 
+def _place(spark, name: str) -> str:
+    """A new folder below the session's shared one."""
+    grouping.use_checkpoints(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def _saved_log(spark, folder) -> str:
     """Write the log to the shared folder and return its place."""
-    grouping.use_checkpoints(spark)
-    place = f"{spark.sparkContext.getCheckpointDir()}/seed-log-{uuid.uuid4().hex}"
+    place = _place(spark, "seed-log")
     writers.write_log(_event_log(spark, folder), place)
     return place
 
@@ -100,7 +105,32 @@ def log_scan(spark, folder):
 
 @_query
 def file_listing(spark, folder):
-    return readers.list_files(spark, folder).select("folder", "name", "length")
+    paths = load(spark, folder, "store_paths").select("path")
+    return readers.below_root(paths, "file:///stores/2001/").select("folder", "name")
+
+
+@_query
+def metadata_sink(spark, folder):
+    place = _place(spark, "metadata")
+    writers.write_metadata(aip_metadata(spark, folder), place)
+    return readers.read_report(spark, place)
+
+
+@_query
+def completeness_sink(spark, folder):
+    place = _place(spark, "completeness")
+    writers.write_completeness(audit_csv(spark, folder), place)
+    return readers.read_report(spark, place)
+
+
+@_query
+def report_sink(spark, folder):
+    place = _place(spark, "store")
+    saved = reports.saved_reports(reports.classify_reports(load(spark, folder, "report_responses")))
+    writers.write_report_files(saved.withColumnRenamed("report_name", "kept").withColumn(
+        "report_name", F.concat("ord", F.lit(" #"), "kept")), place).write.format("noop").mode("overwrite").save()
+    files = readers.list_files(spark, place)
+    return files.select("folder", F.substring_index("name", "#", -1).alias("name"), "length")
 
 
 # ---- listing rows -------------------------------------------------------------------------------
@@ -139,7 +169,8 @@ def seed_inventory(spark, folder):
 
 @_query
 def explode_lists(spark, folder):
-    seeds = seed_inventory(spark, folder).select("Seed_ID", "Job_ID")
+    every = inventory.seed_inventory(load(spark, folder, "warc_listing"), "0001-01-01", "9999-12-31", LISTING_ORDER)
+    seeds = every.select("Seed_ID", "Job_ID")
     return inventory.explode_list(seeds, "Job_ID", "job_id")
 
 
@@ -204,7 +235,7 @@ def report_names(spark, folder):
 
 @_query
 def crawl_definitions(spark, folder):
-    listed = inventory.rows_in_window(listing_between(spark, folder, START, END), START, END)
+    listed = inventory.accepted_rows(load(spark, folder, "warc_listing"))
     return reports.crawl_definitions(
         inventory.seed_jobs(listed, LISTING_ORDER), load(spark, folder, "crawl_jobs"),
         load(spark, folder, "held_definitions")).drop("ord")
@@ -212,8 +243,10 @@ def crawl_definitions(spark, folder):
 
 @_query
 def redact(spark, folder):
-    report, message = reports.redact_report(load(spark, folder, "login_report"))
-    return report.withColumn("message", F.lit(message))
+    responses = load(spark, folder, "seed_responses")
+    safe = reports.redact_seed_reports(reports.classify_reports(responses))
+    events = reports.redaction_events(responses, safe)
+    return events.join(safe.select("seed_id", "report_name", "body"), "seed_id").select("seed_id", "report_name", "body", "message")
 
 
 # ---- WARCs --------------------------------------------------------------------------------------
@@ -223,29 +256,65 @@ def warc_locations(spark, folder):
     return warcs.warc_locations(names, load(spark, folder, "warc_index"), ("url",))
 
 
+def _files(rows: DataFrame, root: str) -> DataFrame:
+    """Write ``content`` (bytes) of each ``filename`` below the root; adds ``path`` and ``length``. Null is no file."""
+    kept = [f for f in rows.schema if f.name != "content"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            paths = [f"{root}/some files #1/{name}" for name in batch["filename"]]
+            for path, content in zip(paths, batch["content"]):
+                if content is not None:
+                    streams.write_file(path, bytes(content))
+            lengths = [len(c) if c is not None else 0 for c in batch["content"]]
+            yield batch.drop(columns="content").assign(path=paths, length=lengths)
+
+    place = f"{root}/table"
+    rows.mapInPandas(run, f"{schema}, path string, length long").write.parquet(place)
+    return rows.sparkSession.read.parquet(place)
+
+
 @_query
 def fixity(spark, folder):
     payloads = load(spark, folder, "payloads")
-    stored = warcs.content_md5(payloads.filter("page_id % 10 <> 3").select("filename", "content"))
+    content = F.when(F.col("page_id") % 10 != 3, F.col("content").cast("binary"))
+    stored = _files(payloads.select("filename", content.alias("content")), _place(spark, "payloads"))
     listed = payloads.select("filename", F.col("listed_md5").alias("md5"))
-    checked = warcs.verify_fixity(listed, stored, F.lit(CHECKED_AT).cast("timestamp_ntz"))
+    checked = warcs.verify_fixity(listed, warcs.hash_files(stored), F.lit(CHECKED_AT).cast("timestamp_ntz"))
     return checked.select("filename", "md5", "actual_md5", "outcome", "message")
 
 
 @F.pandas_udf(BinaryType())
 def _zipped(content: pd.Series) -> pd.Series:
-    return content.map(lambda text: gzip.compress(text.encode("utf-8"), mtime=0))
+    """As gzip, long contents in two members."""
+    def members(text: bytes) -> bytes:
+        parts = [text[:1000], text[1000:]] if len(text) > 1000 else [text]
+        return b"".join(gzip.compress(part, mtime=0) for part in parts)
+
+    return content.map(lambda text: members(bytes(text)))
 
 
 @_query
 def decompress(spark, folder):
-    zipped = F.col("zipped")
-    files = (load(spark, folder, "payloads").withColumn("zipped", _zipped("content"))
-             .withColumn("content", F.when(F.col("page_id") % 13 == 0, zipped.substr(F.lit(1), F.length(zipped) - 5))
-                         .when(F.col("page_id") % 17 == 0, F.col("content").cast("binary")).otherwise(zipped)))
-    done = warcs.with_unzip_message(warcs.unzip_content(files))
-    return done.select("filename", F.md5("content").alias("unzipped_md5"), F.length("content").alias("unzipped_size"),
-                       "message")
+    root, number = _place(spark, "warcs"), F.col("page_id")
+    rows = load(spark, folder, "payloads").select("filename", "page_id", F.col("content").cast("binary").alias("content"))
+    zipped = rows.withColumn("zipped", _zipped("content"))
+    stored = (F.when(number % 19 == 0, F.lit(None))
+              .when(number % 13 == 0, F.col("zipped").substr(F.lit(1), F.length("zipped") - 5))
+              .when(number % 17 == 0, F.col("content")).otherwise(F.col("zipped")))
+    todo = zipped.withColumn("content", stored).drop("zipped").withColumn(
+        "md5", F.when(number % 7 == 0, F.repeat(F.lit("x"), F.lit(32))).otherwise(F.md5("content")))
+    files = _files(todo, root).withColumn("target", F.concat(F.lit(f"{root}/unzipped #2/"), "filename"))
+    place = f"{root}/results"
+    warcs.verify_and_unzip(files).write.parquet(place)
+    done = spark.read.parquet(place).join(files.select("filename", "md5", "target"), "filename")
+    made = warcs.hash_files(done.filter(F.col("unzipped_size").isNotNull()).select(
+        F.col("target").alias("path"), "filename", F.col("unzipped_size").alias("length")))
+    tried = warcs.with_unzip_message(done.filter(F.col("actual_md5") == F.col("md5")).select("filename", "reason"))
+    return (done.select("filename", "unzipped_size").join(made.select("filename", F.col("actual_md5").alias("unzipped_md5")), "filename", "left")
+            .join(tried.select("filename", "message"), "filename", "left")
+            .select("filename", "unzipped_md5", "unzipped_size", "message"))
 
 
 @_query

@@ -9,13 +9,14 @@ Landed data, below one folder:
 * ``warcs/`` the gzip WARC files
 
 Results, below another: ``preservation_download/<seed>/…``, ``listing`` (the pages as one table), and
-``metadata``, ``seeds_log``, ``pending``, ``reports``, ``events``, ``warc_results`` and ``completeness_check``
-with one folder per run.
+``metadata``, ``seeds_log``, ``pending``, ``reports``, ``events``, ``warc_work``, ``warc_results``,
+``completeness_check``, ``rejects``, ``reconcile``, ``success_tally`` and ``qa_review`` with one folder per run.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import os
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,8 @@ from ..operators import audit, identifiers, inventory, reports, status, warcs
 from ..sources import readers, streams, writers
 
 RESPONSE = "report_type string, entity_id string, status int, body string"
+# Over how many tasks the answers of one collection are dealt.
+DEALS = 16
 
 
 @dataclass(frozen=True)
@@ -57,11 +60,6 @@ class Batch:
         return [name for name in streams.child_names(logs) if "_SUCCESS" in streams.child_names(f"{logs}/{name}")]
 
 
-def seed_lines(log: DataFrame) -> DataFrame:
-    """The line of each seed that has its totals; lines that continue a very large seed have none."""
-    return log.filter(F.col("WARCs").isNotNull())
-
-
 def _place(step: int, page="", position=0, part: int = 0):
     """Where a message goes in its cell: by step, then by listing place."""
     page, position = (F.lit(v) if isinstance(v, (str, int)) else v for v in (page, position))
@@ -72,21 +70,24 @@ def prepare_log(spark: SparkSession, batch: Batch, run: str) -> None:
     """Write the metadata file and the first seed log, with AIP ids and nothing done yet."""
     writers.write_listing(readers.read_listing(spark, f"{batch.landed}/listing"), batch.listing)
     listing = readers.read_listing_table(spark, batch.listing)
-    seeds = inventory.seed_inventory(listing, batch.start, batch.end, with_part=True)
+    names = inventory.rows_in_window(listing, batch.start, batch.end).select("seed_id").distinct()
     landed = readers.read_seed_reports(spark, f"{batch.landed}/seed_reports")
-    answers = (seed_lines(seeds).select(F.col("Seed_ID").alias("seed_id")).join(landed, "seed_id", "left")
-               .withColumn("status", F.coalesce("status", F.lit(404))))
+    answers = names.join(landed, "seed_id", "left").withColumn("status", F.coalesce("status", F.lit(404)))
     writers.write_metadata(identifiers.aip_metadata(answers, batch.end), batch.place("metadata", run))
     ids = readers.read_report(spark, batch.place("metadata", run))
-    writers.write_log(inventory.enrich(seeds, ids).orderBy("Seed_ID", "Part"), batch.place("seeds_log", run))
+    seeds = inventory.seed_inventory(listing, batch.start, batch.end)
+    writers.write_log(inventory.enrich(seeds, ids).orderBy("Seed_ID"), batch.place("seeds_log", run))
 
 
 def process_reports(spark: SparkSession, batch: Batch, seeds: DataFrame, rows: DataFrame, run: str) -> DataFrame:
     """Save and redact the metadata reports of seeds (``seed_id, aip_id``); returns the log events.
 
-    The classified responses are written down once; files and events are both made from that table.
+    The classified responses are written down once, seed reports already redacted; files and events are both made
+    from that table. A collection is shared by many seeds, so its answers are dealt out by seed as well.
     """
-    landed = spark.read.schema(RESPONSE).json(f"{batch.landed}/responses")
+    landed = readers.read_answers(spark, f"{batch.landed}/responses", RESPONSE, ["report_type", "entity_id"])
+    shared = F.col("report_type").isin("coll", "collscope")
+    dealt = landed.withColumn("deal", F.explode(F.when(shared, F.sequence(F.lit(0), F.lit(DEALS - 1))).otherwise(F.array(F.lit(0)))))
     columns = ["seed_id", "aip_id", "report_type", "entity_id", "ord"]
     table = batch.place("reports", run)
 
@@ -95,7 +96,9 @@ def process_reports(spark: SparkSession, batch: Batch, seeds: DataFrame, rows: D
                          F.col(entity).alias("entity_id"), place.alias("ord"))
 
     def answered(wanted: DataFrame) -> DataFrame:
-        joined = wanted.select(columns).join(landed, ["report_type", "entity_id"], "left")
+        deal = F.when(shared, F.pmod(F.xxhash64("seed_id"), F.lit(DEALS)).cast("int")).otherwise(0)
+        joined = wanted.select(*columns, deal.alias("deal")).join(
+            dealt, ["report_type", "entity_id", "deal"], "left").drop("deal")
         return reports.classify_reports(joined.withColumn("status", F.coalesce("status", F.lit(404))))
 
     collections = inventory.seed_collections(rows).join(seeds, "seed_id")
@@ -108,8 +111,9 @@ def process_reports(spark: SparkSession, batch: Batch, seeds: DataFrame, rows: D
         .unionByName(calls(jobs.join(seeds, "seed_id"), "crawljob", "job_id", _place(5, *in_listing, part=0))))
 
     # A job has one report, whichever seed asks for it.
-    job_reports = landed.filter((F.col("report_type") == "crawljob") & (F.col("status") == 200))
-    job_rows = readers.parse_reports(job_reports.withColumnRenamed("entity_id", "job_id"), ["job_id"]).select(
+    job_reports = (landed.filter((F.col("report_type") == "crawljob") & (F.col("status") == 200))
+                   .withColumnRenamed("entity_id", "job_id").join(jobs.select("job_id").distinct(), "job_id", "left_semi"))
+    job_rows = readers.parse_reports(job_reports, ["job_id"], first=1).select(
         "job_id", "row", F.try_element_at("fields", F.lit("crawl_definition")).alias("crawl_definition"))
     needed = reports.crawl_definitions(jobs, job_rows).join(seeds, "seed_id").withColumn(
         "place", _place(5, *in_listing, part=1))
@@ -118,17 +122,10 @@ def process_reports(spark: SparkSession, batch: Batch, seeds: DataFrame, rows: D
     no_report = needed.filter(F.col("kind") == "error").select(
         "seed_id", F.col("place").alias("ord"), F.lit(V.METADATA_ERRORS).alias("log_column"), "message")
 
-    classified.unionByName(definitions).write.mode("overwrite").parquet(table)
+    reports.redact_seed_reports(classified.unionByName(definitions)).write.mode("overwrite").parquet(table)
     everything = spark.read.parquet(table)
-    saved = reports.saved_reports(everything).select("seed_id", "report_type", "report_name", "body")
-    is_seed = F.col("report_type") == "seed"
-    redacted = reports.redact_bodies(saved.filter(is_seed), ["seed_id", "report_name"])
-    writers.write_report_files(
-        saved.filter(~is_seed).drop("report_type").unionByName(redacted.drop("message")), batch.store
-    ).write.mode("overwrite").format("noop").save()
-    redaction = seeds.join(redacted.select("seed_id", "message"), "seed_id", "left").select(
-        "seed_id", _place(4, part=1).alias("ord"), F.lit(V.REDACTION).alias("log_column"),
-        F.coalesce("message", F.lit(V.REDACTION_NO_REPORT)).alias("message"))
+    writers.write_report_files(reports.saved_reports(everything), batch.store).write.mode("overwrite").format("noop").save()
+    redaction = reports.redaction_events(seeds, everything).select("seed_id", _place(4, part=1).alias("ord"), "log_column", "message")
     return reports.report_events(everything).unionByName(no_report).unionByName(redaction)
 
 
@@ -137,15 +134,16 @@ def process_warcs(spark: SparkSession, batch: Batch, rows: DataFrame, run: str)
 
     The results of the file work are written down before they are used, so that no file is read twice.
     """
-    listing = readers.read_listing_table(spark, batch.listing)
-    names = rows.select("seed_id", "filename", F.struct("page", "position").alias("ord"))
-    located = warcs.warc_locations(names, listing)
+    # A name that is listed twice is one file; the rows themselves say where it is.
+    names = rows.groupBy("filename").agg(F.min(F.struct("page", "position")).alias("ord"), F.first("seed_id").alias("seed_id"))
+    located = warcs.warc_locations(names, rows)
     files = readers.warc_files(readers.list_files(spark, f"{batch.landed}/warcs")).groupBy("filename").agg(
         F.min_by(F.struct("path", "length"), "path").alias("file")).select("filename", "file.path", "file.length")
     target = F.concat(F.lit(f"{batch.store}/"), "seed_id", F.lit("/"), F.expr("left(filename, length(filename) - 3)"))
     todo = located.filter(F.col("md5").isNotNull()).join(files, "filename").withColumn("target", target)
-    results = batch.place("warc_results", run)
-    warcs.verify_and_unzip(todo).write.mode("overwrite").parquet(results)
+    work, results = batch.place("warc_work", run), batch.place("warc_results", run)
+    todo.write.mode("overwrite").parquet(work)
+    warcs.verify_and_unzip(spark.read.parquet(work)).write.mode("overwrite").parquet(results)
 
     done = (spark.read.parquet(results).groupBy("filename")
             .agg(F.min_by(F.struct("actual_md5", "reason"), "path").alias("result"))
@@ -164,13 +162,13 @@ def run_batch(spark: SparkSession, batch: Batch, size: int | None = None) -> str
     seed is dropped and made again; finished seeds are left alone, also those that finished with errors.
     Returns the name of the run.
     """
+    batch = _qualified(spark, batch)
     if not batch.saved_logs():
         prepare_log(spark, batch, "run-0000")
     earlier = batch.saved_logs()
     run = f"run-{int(earlier[-1][4:]) + 1:04d}"
     log = readers.read_log(spark, batch.place("seeds_log", earlier[-1]))
-    lines = seed_lines(log)
-    chosen = status.pending_seeds(lines) if size is None else status.pending_batch(lines, size)
+    chosen = status.pending_seeds(log) if size is None else status.pending_batch(log, size)
     # Written down: the choice is used many times, and the log it comes from can be large.
     chosen.select(F.col("Seed_ID").alias("seed_id"), F.coalesce("AIP_ID", F.lit(V.TBD)).alias("aip_id")).write.mode(
         "overwrite").parquet(batch.place("pending", run))
@@ -185,28 +183,46 @@ def run_batch(spark: SparkSession, batch: Batch, size: int | None = None) -> str
     process_warcs(spark, batch, named, run).write.mode("overwrite").parquet(places[1])
     events = spark.read.parquet(*places)
 
-    # Very large seeds have several lines, so facts and messages meet by seed and part.
-    facts = inventory.seed_inventory(named.drop("seed_id", "store_date"), batch.start, batch.end, with_part=True).drop(*V.STATUS_COLUMNS)
-    folded = status.finish_report_columns(status.fold_log(events, seeds.select("seed_id"), with_part=True))
+    facts = inventory.seed_inventory(named.drop("seed_id", "store_date"), batch.start, batch.end).drop(*V.STATUS_COLUMNS)
+    folded = status.finish_report_columns(status.fold_log(events, seeds.select("seed_id")))
     judged = status.completeness_of_events(events)
-    done = (facts.join(folded, ["Seed_ID", "Part"], "full").join(judged, "Seed_ID", "left")
+    done = (facts.join(folded, "Seed_ID", "full").join(judged, "Seed_ID", "left")
             .withColumn(V.COMPLETE, F.coalesce(V.COMPLETE, F.lit(V.COMPLETED)))
             .join(seeds.select(F.col("seed_id").alias("Seed_ID"), F.col("aip_id").alias("AIP_ID")), "Seed_ID", "left"))
-    others = log.join(seeds.select(F.col("seed_id").alias("Seed_ID")), "Seed_ID", "left_anti").withColumn("Part", F.lit(1))
-    writers.write_log(others.unionByName(done).orderBy("Seed_ID", "Part"), batch.place("seeds_log", run))
+    others = log.join(seeds.select(F.col("seed_id").alias("Seed_ID")), "Seed_ID", "left_anti")
+    writers.write_log(others.unionByName(done).orderBy("Seed_ID"), batch.place("seeds_log", run))
     write_audit(spark, batch, run)
     return run
 
 
+def _qualified(spark: SparkSession, batch: Batch) -> Batch:
+    """The batch with paths that driver, executors and Spark's readers take for the same place."""
+    def place(path: str) -> str:
+        if "://" in path or path.startswith("file:"):
+            return path
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"'{path}' has no scheme, so every executor would use its own disk")
+        return f"file:{os.path.abspath(path)}"
+
+    return replace(batch, landed=place(batch.landed), results=place(batch.results))
+
+
 def write_audit(spark: SparkSession, batch: Batch, run: str) -> DataFrame:
-    """Compare the store with the whole listing, write the completeness report and return its typed form.
+    """Compare the store with the whole listing, write what was found and return the typed completeness table.
 
-    Reads the landed pages themselves, so that the check does not rest on what the run made of them.
+    Reads the landed pages themselves, so that the check does not rest on what the run made of them. Also written, one
+    folder per run: rows that could not be placed (``rejects``), whether the listing's own total is met
+    (``reconcile``), successes by WARC (``success_tally``) and seeds to look at (``qa_review``).
     """
-    log = seed_lines(readers.read_log(spark, batch.place("seeds_log", run)))
+    log = readers.read_log(spark, batch.place("seeds_log", run))
     listing = readers.read_listing(spark, f"{batch.landed}/listing")
     files = readers.list_files(spark, batch.store)
     expected = inventory.expected_seeds(listing, log, batch.start, batch.end)
     store = audit.audit_store(expected, log, files)
     writers.write_completeness(audit.completeness_report(store), batch.place("completeness_check", run))
+    for table, rows in (("rejects", inventory.rejected_rows(listing)),
+                        ("reconcile", inventory.reconcile(listing, log, batch.start, batch.end)),
+                        ("success_tally", status.success_tally(log).drop("WARC_Filenames", *V.PROGRESS_COLUMNS)),
+                        ("qa_review", audit.qa_failures(audit.qa_review(log, store)))):
+        rows.write.mode("overwrite").parquet(batch.place(table, run))
     return store

@@ -18,8 +18,18 @@ TRAILING = "decompression OK, trailing garbage ignored"
 
 
 def open_path(path: str) -> tuple[fs.FileSystem, str]:
-    """Filesystem and path of a URI or a plain local path."""
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    """Filesystem and plain path of a URI or a local path.
+
+    Only the root of a URI is parsed: what follows is a path as Spark gives it, with spaces, ``#`` and ``%`` as they are.
+    """
+    scheme, colon, rest = path.partition(":")
+    if not colon or "/" in scheme or len(scheme) < 2:
+        return fs.LocalFileSystem(), path
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    authority, _, inner = rest.removeprefix("//").partition("/")
+    found, root = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return found, f"{root.rstrip('/')}/{inner}"
 
 
 class Gunzip:
@@ -77,14 +87,6 @@ class Gunzip:
             self.reason = TRAILING
 
 
-def unzip_bytes(content: bytes) -> tuple[bytes | None, str | None]:
-    """Unzipped bytes, or None and the reason."""
-    gunzip = Gunzip()
-    out = b"".join(gunzip.feed(bytes(content)))
-    gunzip.close()
-    return (out if gunzip.reason in (None, TRAILING) else None), gunzip.reason
-
-
 def check_file(path: str, target: str | None = None, md5: str | None = None):
     """MD5 and size of a file and, with a target, the unzipped file.
 
@@ -111,7 +113,7 @@ def check_file(path: str, target: str | None = None, md5: str | None = None):
                         written += sink.write(out) or len(out)
     except FileNotFoundError:
         return None, None, None, "No such file or directory"
-    except OSError as error:
+    except (OSError, ValueError) as error:
         _drop(target_fs, part, sink)
         return None, None, None, str(error)
     actual = digest.hexdigest()
