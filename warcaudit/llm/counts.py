@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .store import free_name, require
 
 CACHE = "content_digest binary, tokenizer_digest binary, n_tokens bigint"
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 """Parts of texts whose counts each Python worker keeps; twice as many at most."""
 BATCH = 4_000
 """Parts handed to the tokenizer at once."""

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED = 250_000
+REMEMBERED = 120_000
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 RESULT = "struct<ids: binary, n_tokens: bigint, decoded: string>"
@@ -231,13 +231,15 @@ def encoded(text: Column, path: str) -> Column:
 
     Null and empty texts have only begin and end. Whole texts are encoded, however long.
     """
-    def run(column: pa.Array) -> pa.Array:
-        m = model(path)
-        rows = [m.encode_decode(t or "") for t in column.to_pylist()]
-        ids = pa.array([r[0] for r in rows], pa.binary())
+    def part(column: pa.Array) -> pa.Array:
+        rows = [model(path).encode_decode(t or "") for t in column.to_pylist()]
         return pa.StructArray.from_arrays(
-            [ids, pa.array([len(r[0]) // 4 for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())],
-            names=["ids", "n_tokens", "decoded"])
+            [pa.array([r[0] for r in rows], pa.binary()), pa.array([len(r[0]) // 4 for r in rows], pa.int64()),
+             pa.array([r[1] for r in rows], pa.string())], names=["ids", "n_tokens", "decoded"])
+
+    def run(column: pa.Array) -> pa.Array:
+        # In small steps, so that only Arrow buffers and no Python texts pile up.
+        return pa.concat_arrays([part(column.slice(k, 256)) for k in range(0, max(len(column), 1), 256)])
 
     return F.arrow_udf(run, RESULT)(text)
 

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 """Bytes of text that are worked on at once; a longer text is a slice of its own."""
 
 _U = np.uint64
