@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED = 120_000
+REMEMBERED = 200_000
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 RESULT = "struct<ids: binary, n_tokens: bigint, decoded: string>"
@@ -210,7 +210,8 @@ class _Parts(dict):
         value = self.older.get(part)
         if value is None:
             ids = self.model.encode_part(part.replace(" ", SPACE))
-            value = struct.pack(f"<{len(ids)}I", *ids), self.model.decode_behind(ids)
+            text = self.model.decode_behind(ids)
+            value = struct.pack(f"<{len(ids)}I", *ids), part if text == part else text
             if len(part) > 64:
                 return value
         if len(self) >= REMEMBERED:
