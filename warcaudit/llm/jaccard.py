@@ -7,12 +7,12 @@ for every partition and every subset of its sub-partitions that must agree in at
 similar enough share a signature, whatever the data; a partition that is empty in a set is no signature of it while
 other partitions suffice.
 
-Equal sets are one node from the start. Buckets of up to ``SMALL`` nodes give all their pairs to the exact check. In a
-larger bucket each node is checked against one centre, the node that is in most large buckets. Where both of two
-nodes are linked with the centre they are in one component. Else one of them, x, differs from the centre by more than
-a link allows, so to be linked with x any y must share with it more than about half of y's own differences from the
-centre. Differences are ordered, those that the centre lacks first, and by the prefix rule both must share one of
-their first ones; they are joined on that. So no bucket is expanded into its pairs and no link is lost.
+Equal sets are one node from the start. Buckets of up to ``SMALL`` nodes give all their pairs to the exact check. A
+larger bucket goes to the member that is in most large buckets, its centre, so that the many buckets of one group of
+near copies become one group. A group is dealt out as pairs of blocks of at most ``BLOCK`` nodes; a task compares the
+sets of two blocks with each other, exactly, and hands on one link from each node to the smallest of its component
+there. So every two nodes that share a signature are compared, no pair is ever a row, and what leaves a task is linear
+in what came in. The comparisons themselves still grow with the square of a group's size.
 
 Node ids and shingles are 64-bit hashes of sets and of words.
 """
@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 
 from .graph import components
 from .store import free_name, require, written
-from .text import SLICE_BYTES, Words, buffers, distinct_by_row, mix, shingles, signed, slices
+from .text import Words, buffers, distinct_by_row, mix, shingles, signed, slices
 
 SMALL = 3
+BLOCK = 256
 BITS = 1 << 23
 """Bits of the table that tells which texts the exact check needs; its size does not depend on the data."""
 
@@ -190,11 +191,11 @@ def _buckets(texts: DataFrame, width: int, percent: int) -> DataFrame:
     return signed_rows.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(group, "sig long, a long, b long")
 
 
-def _centres(members: DataFrame) -> DataFrame:
-    """Every member of a large bucket beside the bucket's centre, the member that is in most large buckets."""
+def _groups(members: DataFrame) -> DataFrame:
+    """``centre, node``: the members of all buckets that have the same centre, the centre among them."""
     degree = members.groupBy("node").agg(F.count("*").alias("degree"))
     centre = members.join(degree, "node").groupBy("sig").agg(F.max(F.struct("degree", "node"))["node"].alias("centre"))
-    return members.join(centre, "sig").filter("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    return members.join(centre, "sig").select("centre", "node").distinct()
 
 
 def _bodies(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -222,94 +223,116 @@ def _bodies(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                    .groupBy("node").agg(F.first("body").alias("body")))
 
 
-CHECKED = "a long, b long, n_a long, n_b long, n_both long, linked boolean, centred boolean, more array<bigint>, less array<bigint>"
+def _opened(bodies: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sets of compressed texts: values, where each begins, and sizes."""
+    expand = zstandard.ZstdDecompressor().decompress
+    texts = [expand(b) for b in bodies]
+    offsets = np.append(0, np.cumsum([len(t) for t in texts]))
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    found = [_sets(offsets[x: y + 1] - offsets[x], data[offsets[x]: offsets[y]], width) for x, y in slices(offsets)]
+    sizes = np.concatenate([f[2] for f in found])
+    return np.concatenate([f[0] for f in found]), np.append(0, np.cumsum(sizes)), sizes
 
 
-def _check(pairs: DataFrame, bodies: DataFrame, width: int, percent: int) -> DataFrame:
-    """The exact sizes of both sets and of what they share; for centred pairs what b has more and less than a."""
+def _checked(pairs: DataFrame, bodies: DataFrame, width: int, percent: int) -> DataFrame:
+    """Those of some pairs ``a, b`` that are linked."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        expand = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            begin = 0
-            while begin < batch.num_rows:
-                texts: list[bytes] = []
-                end, size = begin, 0
-                while end < batch.num_rows and size < SLICE_BYTES:
-                    texts += [expand(batch.column(k)[end].as_py()) for k in (3, 4)]
-                    size += len(texts[-1]) + len(texts[-2])
-                    end += 1
-                part = batch.slice(begin, end - begin)
-                begin = end
-                offsets = np.append(0, np.cumsum([len(t) for t in texts]))
-                values, first, sizes, _ = _sets(offsets, np.frombuffer(b"".join(texts), np.uint8), width)
-                a, b, star = (part.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2))
+        for whole in batches:
+            for begin in range(0, whole.num_rows, 256):
+                batch = whole.slice(begin, 256)
+                texts = [b for pair in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()) for b in pair]
+                values, _, sizes = _opened(texts, width)
                 pair = np.repeat(np.arange(len(sizes)) // 2, sizes)
-                side = np.repeat(np.arange(len(sizes)) % 2, sizes)
-                order = np.lexsort((side, values, pair))
-                v, p, q = values[order], pair[order], side[order]
-                twice = np.zeros(len(v) + 1, bool)
-                twice[1:-1] = (v[1:] == v[:-1]) & (p[1:] == p[:-1])
-                both = np.bincount(p[twice[:-1]], minlength=len(a))
-                alone = ~(twice[1:] | twice[:-1])
-                more, less = ([None] * len(a) for _ in range(2))
-                for k in np.flatnonzero(star):
-                    x, y = np.searchsorted(p, [k, k + 1])
-                    here = alone[x:y]
-                    more[k] = signed(v[x:y][here & (q[x:y] == 1)])
-                    less[k] = signed(v[x:y][here & (q[x:y] == 0)])
-                n_a, n_b = sizes[0::2], sizes[1::2]
-                linked = 100 * both >= percent * (n_a + n_b - both)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a), pa.array(b), pa.array(n_a), pa.array(n_b), pa.array(both), pa.array(linked), pa.array(star),
-                     pa.array(more, pa.list_(pa.int64())), pa.array(less, pa.list_(pa.int64()))],
-                    names=["a", "b", "n_a", "n_b", "n_both", "linked", "centred", "more", "less"])
+                order = np.lexsort((values, pair))
+                twice = (values[order][1:] == values[order][:-1]) & (pair[order][1:] == pair[order][:-1])
+                both = np.bincount(pair[order][1:][twice], minlength=batch.num_rows)
+                linked = 100 * both >= percent * (sizes[0::2] + sizes[1::2] - both)
+                yield batch.select(["a", "b"]).filter(pa.array(linked))
 
     left, right = (bodies.select(F.col("node").alias(c), F.col("body").alias(f"body_{c}")) for c in "ab")
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "centred", "body_a", "body_b")
-    return written(joined.select("a", "b", "centred", "body_a", "body_b").mapInArrow(run, CHECKED))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "body_a", "body_b").mapInArrow(run, "a long, b long")
+
+
+def _similar(values: np.ndarray, sizes: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a left and a right row whose sets are similar enough."""
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    _, place, count = np.unique(values, return_inverse=True, return_counts=True)
+    shared = count > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[place]
+    row, place = row[keep], number[place[keep]]
+    order = np.argsort(place, kind="stable")
+    row, place = row[order], place[order]
+    both = np.zeros((len(left), len(right)), np.float32)
+    wide = int(shared.sum())
+    for begin in range(0, wide, 4096):
+        x, y = np.searchsorted(place, [begin, begin + 4096])
+        table = np.zeros((len(sizes), min(4096, wide - begin)), np.float32)
+        table[row[x:y], place[x:y] - begin] = 1
+        both += table[left] @ table[right].T
+    return np.nonzero(100 * both >= percent * (sizes[left][:, None] + sizes[right][None, :] - both))
+
+
+def _joined(groups: DataFrame, bodies: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links ``a, b`` that join all similar nodes of each group."""
+    def work(nodes: list[int], sides: list[int], texts: list[bytes], same: bool) -> Iterator[tuple[int, int]]:
+        side = np.array(sides)
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if same else 1))
+        if len(nodes) < 2 or not len(left) or not len(right):
+            return
+        values, _, sizes = _opened(texts, width)
+        i, j = _similar(values, sizes, left, right, percent)
+        i, j = left[i], right[j]
+        rank = np.argsort(np.argsort(nodes))
+        root = rank.copy()
+        while True:  # every row takes the smallest root around it until none changes
+            before = root.copy()
+            np.minimum.at(root, i, before[j])
+            np.minimum.at(root, j, before[i])
+            if (root == before).all():
+                break
+        ordered = sorted(nodes)
+        yield from ((nodes[k], ordered[root[k]]) for k in np.flatnonzero(root != rank))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, group = None, ([], [], [])
 
-def _beside_centres(stars: DataFrame, percent: int) -> DataFrame:
-    """Pairs beside the same centre that can still be linked though one of them is not linked with the centre.
+        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
-    Where the shared element is one that the centre has, both prefixes have all elements that it lacks, and none of
-    those is shared: then two nodes share no more than the smaller number of elements that they miss.
-    """
-    share = (100 - percent) / (100 + percent)
-    apart = F.size("more") + F.size("less")
-    differences = F.concat(F.transform("more", lambda e: F.struct(e.alias("element"), F.lit(True).alias("extra"))),
-                           F.transform("less", lambda e: F.struct(e.alias("element"), F.lit(False).alias("extra"))))
-    # What x, not linked with the centre, must share with any y is more than this half.
-    half = F.floor((apart + share * (F.col("n_a") - F.col("n_b"))) / 2 - F.lit(1e-9))
-    most = F.floor(share * F.col("n_b") * (1 + 100 / percent)) + 1
-
-    def first(rows: DataFrame, name: str, length) -> DataFrame:
-        kept = F.slice(differences, F.lit(1), F.greatest(F.lit(0), F.least(apart, length)).cast("int"))
-        return rows.select("a", F.col("b").alias(name), F.col("n_b").alias(f"n_{name}"), apart.alias(f"apart_{name}"),
-                           F.size("less").alias(f"less_{name}"), F.explode(kept).alias("d")).select("*", "d.element", "d.extra").drop("d")
-
-    x, y = first(stars.filter("not linked"), "x", most), first(stars, "y", apart - half)
-    allowed = F.floor(share * (F.col("n_x") + F.col("n_y")) + F.lit(1e-9))
-    possible = ((100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y")) & (F.col("x") != F.col("y"))
-                & (F.col("x.extra") | (2 * F.least("less_x", "less_y") >= F.col("apart_x") + F.col("apart_y") - allowed)))
-    same = (F.col("x.a") == F.col("y.a")) & (F.col("x.element") == F.col("y.element"))
-    return x.alias("x").join(y.alias("y"), same & possible).select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for k in range(batch.num_rows):
+                own = tuple(batch.column(c)[k].as_py() for c in range(3))
+                if own != key:
+                    if key is not None:
+                        found += work(*group, key[1] == key[2])
+                    key, group = own, ([], [], [])
+                for held, c in zip(group, (4, 3, 5)):
+                    held.append(batch.column(c)[k].as_py())
+            if found:
+                yield out(found)
+        found = list(work(*group, key[1] == key[2])) if key is not None else []
+        if found:
+            yield out(found)
+
+    sizes = groups.groupBy("centre").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = (groups.join(sizes, "centre").withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select("centre", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+                     F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "node"))
+    return (dealt.join(bodies, "node").select("centre", "x", "y", "side", "node", "body").repartition("centre", "x", "y")
+            .sortWithinPartitions("centre", "x", "y").mapInArrow(run, "a long, b long"))
 
 
 def links(texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Exact links ``a, b`` between nodes that join all similar ones, for a table with one text column."""
     found = written(_buckets(texts, width, percent))
-    small = found.filter(F.col("b").isNotNull()).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    stars = _centres(found.filter(F.col("b").isNull()).select("sig", F.col("a").alias("node")))
-    pairs = written(small.select("*", F.lit(False).alias("centred")).unionAll(stars.select("*", F.lit(True).alias("centred")))
-                    .groupBy("a", "b").agg(F.max("centred").alias("centred")))
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    bodies = _bodies(texts, nodes, width)
-    checked = _check(pairs, bodies, width, percent)
-    beside = _check(_beside_centres(checked.filter("centred"), percent).select("*", F.lit(False).alias("centred")),
-                    bodies, width, percent)
-    return checked.unionAll(beside).filter("linked").select("a", "b")
+    bodies = _bodies(texts, found.select(F.explode(F.array("a", "b")).alias("node")).filter("node is not null").distinct(), width)
+    pairs = found.filter(F.col("b").isNotNull()).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    groups = _groups(found.filter(F.col("b").isNull()).select("sig", F.col("a").alias("node")))
+    return _checked(pairs, bodies, width, percent).unionAll(_joined(written(groups), bodies, width, percent))
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
