@@ -5,16 +5,18 @@ from __future__ import annotations
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 _COMPONENTS = """both_ways as (select a as x, b as y from links union all select b, a from links),
-walk(id, at) as (select x, x from both_ways union select id, y from walk join both_ways on x = at),
-reached as (select id, min(at) as component_id from walk group by id)"""
+walk(id, here) as (select x, x from both_ways union select id, y from walk join both_ways on x = here),
+reached as (select id, min(here) as component_id from walk group by id)"""
 
 
 def all_oracles() -> dict[str, str]:
     return {
         "op1_suffix_dedup": """
 with texts as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
-starts as (select doc_id, h, unnest(range(0, len(h) // 2 - 99)) as i from texts),
-windows as (select doc_id, i, row_number() over (partition by md5_number(substr(h, 2 * i + 1, 200)) order by doc_id, i) as n from starts),
+parts as (select doc_id, h, unnest(range(0, len(h) // 2 - 99, 500)) as p from texts),
+shorter as (select doc_id, p, substr(h, 2 * p + 1, 1198) as s from parts),
+starts as (select doc_id, p, s, unnest(range(0, len(s) // 2 - 99)) as j from shorter),
+windows as (select doc_id, p + j as i, row_number() over (partition by md5_number(substr(s, 2 * j + 1, 200)) order by doc_id, p + j) as n from starts),
 repeated as (select doc_id, i, case when i > lag(i) over (partition by doc_id order by i) + 100 then 1 else 0 end as fresh
              from windows where n > 1),
 numbered as (select doc_id, i, sum(fresh) over (partition by doc_id order by i) as island from repeated),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import caps, counts, credentials, jaccard, passages, pieces, quality, seating, suffixes, tiling
+from .oracles import all_oracles  # noqa: F401 - the entry point takes queries and SQL from one place
 from .store import shared_folder
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -92,7 +93,3 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_suffix_dedup, op2_pieces, op3_token_counts, op4_ngram_join, op5_near_passages, op6_decontamination, op7_quality,
         op8_secrets, op9_pitman_yor, op10_near_vectors)}
-
-
-def all_oracles() -> dict[str, str]:
-    return {}
