@@ -34,12 +34,13 @@ def _stored(files: DataFrame) -> DataFrame:
 
 
 def _by_seed(expected: DataFrame, files: DataFrame, folders: DataFrame | None, log: DataFrame | None) -> DataFrame:
-    """Everything that is known of a seed or folder in one row, without a join.
+    """Everything that is known of a seed or folder in one row.
 
     Files are counted by kind first. The counts, expected seeds and log lines are then one table, summed by
     seed and claimed id and then by seed. Every step combines on the map side, so a folder with most of the
     files is no large task, and the files are read once. A report is the right one if it claims the id that
-    the expected seed has.
+    the expected seed has. Only counts are summed, which Spark does by hash; what else is known of an expected
+    seed is joined to its one row at the end.
     """
     def marked(df: DataFrame, seed: str, mark: str, *more: str) -> DataFrame:
         return df.select(F.col(seed).alias("seed_id"), F.lit(1).cast("long").alias(mark), *more)
@@ -47,26 +48,25 @@ def _by_seed(expected: DataFrame, files: DataFrame, folders: DataFrame | None, l
     # Nothing but counts here: with numbers only, Spark aggregates by hash in generated code.
     rows = _stored(files).groupBy("seed_id", "aip_id").agg(
         *[F.count_if(F.col("kind") == kind).alias(kind) for kind in (*_FILES, _STRAY)])
-    rows = rows.unionByName(marked(expected, "seed_id", _WANTED, "aip_id", "warcs", "ord"), allowMissingColumns=True)
+    rows = rows.unionByName(marked(expected, "seed_id", _WANTED, "aip_id"), allowMissingColumns=True)
     if folders is not None:
         rows = rows.unionByName(marked(folders, "folder", _FOLDER), allowMissingColumns=True)
     if log is not None:
         rows = rows.unionByName(marked(log, "Seed_ID", _LOGGED), allowMissingColumns=True)
 
     counts = [c for c in (*_FILES, _STRAY, _FOLDER, _WANTED, _LOGGED) if c in rows.columns]
-    shared = [*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts],
-              F.max("warcs").alias("warcs"), F.max("ord").alias("ord")]
+    shared = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts]
     by_id = rows.groupBy("seed_id", "aip_id").agg(*shared)
     # Only the once-per-seed reports have to be in the row of the wanted id.
     here = F.col(_WANTED) > 0
     by_seed = by_id.groupBy("seed_id").agg(
-        F.max(F.when(here, F.col("aip_id"))).alias("aip_id"),
         *[F.sum(F.when(here, F.col(k)).otherwise(0)).alias(f"right_{k}") for k in V.ONCE_PER_SEED], *shared)
     made = F.lit(False)
     for count in (*_FILES, _FOLDER):
         if count in counts:
             made = made | (F.col(count) > 0)
-    return by_seed.withColumn("folder_made", made)
+    known = expected.select(F.col("seed_id").alias("_seed"), "aip_id", "warcs", "ord")
+    return by_seed.withColumn("folder_made", made).join(known, F.col("seed_id") == F.col("_seed"), "left").drop("_seed")
 
 
 def _typed(by_seed: DataFrame) -> DataFrame:
