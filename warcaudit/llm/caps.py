@@ -106,7 +106,7 @@ def _listed(nodes: DataFrame, words: int, with_vectors: bool) -> DataFrame:
                     rows = [k for k, v in enumerate(vectors) if len(v) == length]
                     for k, f in zip(rows, filters(length, words).of(_unit(np.stack([vectors[k] for k in rows])))):
                         # Vectors of another length are never met.
-                        found[k] = f * 4096 + length % 4096
+                        found[k] = f + (length << 32)
                 counts = [len(f) for f in found]
                 at = pa.array(np.repeat(np.arange(len(vectors)), counts))
                 columns = {"filter": pa.array(np.concatenate(found))}
@@ -168,39 +168,46 @@ def _compare(filter_: int, sides: np.ndarray, same: bool, weight: np.ndarray, un
 
 def _within(rows: DataFrame, least: float) -> DataFrame:
     """``node, links, root`` for nodes that are linked within a pair of blocks; rows come sorted by pair of blocks."""
-    def work(group: list[dict]) -> Iterator[tuple]:
-        if len(group) < 2:
-            return
-        group.sort(key=lambda r: r["node"])
-        lists = [np.frombuffer(r["filters"], np.int64) for r in group]
-        padded = np.full((len(group), max(map(len, lists))), -1)
-        for k, f in enumerate(lists):
-            padded[k, : len(f)] = f
-        unit = _unit(np.array([r["vector"] for r in group], np.float64))
-        sides = np.array([r["side"] for r in group])
-        weight = np.array([r["weight"] for r in group])
-        first = group[0]
-        links, root = _compare(first["filter"], sides, first["x"] == first["y"], weight, unit, padded, least)
-        for k in np.flatnonzero((links > 0) | (root != np.arange(len(group)))):
-            yield group[k]["node"], int(links[k]), group[root[k]]["node"]
+    def work(table: pa.Table) -> Iterator[tuple[np.ndarray, ...]]:
+        """Results of all groups of a table of whole groups."""
+        batch = table.combine_chunks().to_batches()[0]
+        key = np.column_stack([batch.column(c).to_numpy() for c in ("filter", "x", "y")])
+        side, node, weight = (batch.column(c).to_numpy() for c in ("side", "node", "weight"))
+        vectors, filters_ = batch.column("vector"), batch.column("filters")
+        place, flat = vectors.offsets.to_numpy(), vectors.values.to_numpy(zero_copy_only=False)
+        lists = np.frombuffer(b"".join(filters_.to_pylist()), np.int64).reshape(len(node), -1)
+        edges = np.append(np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1))), len(node))
+        for a, b in zip(edges.tolist(), edges[1:].tolist()):
+            if b - a < 2:
+                continue
+            order = a + np.argsort(node[a:b])
+            matrix = flat[place[a]: place[b]].reshape(b - a, -1).astype(np.float64)[order - a]
+            links, root = _compare(key[a, 0], side[order], key[a, 1] == key[a, 2], weight[order], _unit(matrix), lists[order], least)
+            some = np.flatnonzero((links > 0) | (root != np.arange(b - a)))
+            if len(some):
+                yield node[order][some], links[some], node[order][root[some]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group = None, []
+        pending: list[pa.RecordBatch] = []
 
-        def out(found: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["node", "links", "root"])
+        def out(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=["node", "links", "root"])
 
         for batch in batches:
-            found: list[tuple] = []
-            for row in batch.to_pylist():
-                own = row["filter"], row["x"], row["y"]
-                if own != key:
-                    found += work(group)
-                    key, group = own, []
-                group.append(row)
-            if found:
-                yield out(found)
-        found = list(work(group))
+            if not batch.num_rows:
+                continue
+            key = np.column_stack([batch.column(c).to_numpy() for c in ("filter", "x", "y")])
+            last = int(np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1)))[-1])  # the last group may go on
+            goes_on = last == 0 and bool(pending) and all(
+                pending[-1].column(c)[-1].as_py() == v for c, v in zip(("filter", "x", "y"), key[0].tolist()))
+            if not goes_on:
+                whole = [*pending, batch.slice(0, last)]
+                found = list(work(pa.Table.from_batches(whole))) if sum(b.num_rows for b in whole) else []
+                if found:
+                    yield out(found)
+                pending = []
+            pending.append(batch.slice(last))
+        found = list(work(pa.Table.from_batches(pending))) if pending else []
         if found:
             yield out(found)
 
