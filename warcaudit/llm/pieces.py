@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 RESULT = "struct<ids: binary, n_tokens: bigint, decoded: string>"
@@ -176,9 +176,12 @@ class PieceModel:
 
     def encode_decode(self, text: str) -> tuple[bytes, str]:
         """The ids, and the text that the same ids decode to."""
-        found = [self.known[p] for p in self.parts.findall(" " + text)] if text else []
-        ids = b"".join([struct.pack("<I", self.begin), *[x[0] for x in found], struct.pack("<I", self.end)])
-        return ids, "".join([x[1] for x in found])[1:]
+        parts = self.parts.findall(" " + text) if text else []
+        known = self.known
+        ids = b"".join([struct.pack("<I", self.begin), *map(known.__getitem__, parts), struct.pack("<I", self.end)])
+        if SPACE not in text and known.faithful:
+            return ids, text
+        return ids, self.decode(struct.unpack(f"<{len(ids) // 4}I", ids))
 
 
 def _from_bytes(data: bytes) -> str:
@@ -196,22 +199,24 @@ def _from_bytes(data: bytes) -> str:
 
 
 class _Parts(dict):
-    """Parts of texts that were encoded before: their ids, and what those ids decode to behind other text.
+    """Ids of parts of texts that were encoded before.
 
-    When it is full it becomes the older half, and what is still in use moves over.
+    When it is full it becomes the older half, and what is still in use moves over. The ids of every new part are
+    decoded, and ``faithful`` says whether all of them gave the part back, but for piece spaces in it.
     """
 
     def __init__(self, model: PieceModel) -> None:
         super().__init__()
         self.model = model
         self.older: dict = {}
+        self.faithful = True
 
-    def __missing__(self, part: str) -> tuple[bytes, str]:
+    def __missing__(self, part: str) -> bytes:
         value = self.older.get(part)
         if value is None:
             ids = self.model.encode_part(part.replace(" ", SPACE))
-            text = self.model.decode_behind(ids)
-            value = struct.pack(f"<{len(ids)}I", *ids), part if text == part else text
+            self.faithful &= self.model.decode_behind(ids) == part.replace(SPACE, " ")
+            value = struct.pack(f"<{len(ids)}I", *ids)
             if len(part) > 64:
                 return value
         if len(self) >= REMEMBERED:

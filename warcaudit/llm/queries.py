@@ -17,7 +17,16 @@ WORD_TOKENS = public_tokenizers.path("word_bpe_49k.json")
 TOKEN_LIMIT = 2048
 
 
+ROWS_AT_ONCE = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand Python workers texts in batches of a few megabytes: Spark's default of 10,000 rows is for short rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
