@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from warcaudit.llm import credentials, jaccard, pieces, quality, tiling
-from warcaudit.llm.queries import PIECES, documents, table
+from warcaudit.llm.queries import PIECES, documents, small_batches, table
 from warcaudit.llm.store import shared_folder
 
 
@@ -21,6 +21,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    small_batches(spark)
     return jaccard.deduplicate(docs)
 
 
@@ -36,6 +37,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, and the digest of what they decode to."""
+    small_batches(spark)
     found = pieces.encode(docs, PIECES, out="_pieces")
     return found.select("doc_id", "lang", "source", F.col("_pieces.n_tokens").alias("n_tokens"), F.col("_pieces.ids").alias("ids"),
                         F.sha2(F.col("_pieces.decoded").cast("binary"), 256).alias("decoded_sha256"))
