@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 RESULT = "struct<ids: binary, n_tokens: bigint, decoded: string>"

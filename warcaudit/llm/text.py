@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 """Bytes of text that are worked on at once; a longer text is a slice of its own."""
 
 _U = np.uint64
@@ -44,7 +44,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, 0 to n."""
     if len(_powers[0]) <= n:
-        size = max(n + 1, 2 * len(_powers[0]), 1 << 16)
+        size = max(n + 1 + n // 8, 1 << 16)
         for k, base in enumerate((_BASE, _INVERSE)):
             out = np.full(size, _U(base), np.uint64)
             out[0] = 1
