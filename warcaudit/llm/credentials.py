@@ -8,15 +8,16 @@ between its spans.
 * ``identifier``, an upper-case identifier with a digit, and ``key``, a mixed run of 32 to 128 characters, need each
   other or the strong part they lack: an identifier needs a key, an assigned or a hexadecimal secret; a key needs an
   identifier, an access key id or an endpoint.
-* ``endpoint``, an address, needs both an identifier or access key id and a secret or key.
+* ``endpoint``, an address, needs both an identifier or access key id and a secret or key. Those may stand inside the
+  address itself, as in ``scheme://ID:KEY@host`` or ``?id=ID&key=KEY``, if they are not the same text.
+
+A weak part does not start inside a run, but may follow the ``=`` of a name: padding only ends a run.
 
 Offsets are code points, the end is exclusive. No row leaves its task: nothing is shuffled.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +34,8 @@ BASE = {
     "hex": (r"[0-9a-f]{16,}", 0, 16),
 }
 WEAK = {
-    "identifier": (r"(?<![A-Za-z0-9+/=_-])(?=[A-Z]*[0-9])[A-Z][A-Z0-9]{15,31}(?![A-Za-z0-9+/=_-])", 0, 16),
-    "key": (r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])"
+    "identifier": (r"(?:(?<![A-Za-z0-9+/_-])|(?<=://))(?=[A-Z]*[0-9])[A-Z][A-Z0-9]{15,31}(?![A-Za-z0-9+/=_-])", 0, 16),
+    "key": (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])"
             r"[A-Za-z0-9+/_-]{32,128}={0,2}(?![A-Za-z0-9+/=_-])", 0, 32),
     "endpoint": (r"(?<![A-Za-z0-9])(?:https?|ftp|jdbc|amqp|redis|mongodb|postgres(?:ql)?|mysql|s3)://[^\s\"'<>]{4,}", 0, 4),
 }
@@ -64,9 +65,26 @@ def _spans(text: Column, kind: str) -> Column:
                   .cast(SPAN)).otherwise(F.array().cast(SPAN))
 
 
+def _between(a: Column, b: Column) -> Column:
+    """Characters between two spans, below zero where they overlap."""
+    return F.greatest(a["start"], b["start"]) - F.least(a["end"], b["end"])
+
+
 def _near(span: Column, others: Column) -> Column:
     """Whether one of the other spans is within the scope of a span and is not the same text."""
-    return F.exists(others, lambda o: (F.greatest(o["start"], span["start"]) - F.least(o["end"], span["end"])).between(0, SCOPE))
+    return F.exists(others, lambda o: _between(o, span).between(0, SCOPE))
+
+
+def _complete(span: Column, who: Column, what: Column) -> Column:
+    """Whether both parts of an endpoint are in its scope; where one is inside it, they must not be the same text."""
+    def inside(o: Column) -> Column:
+        return (o["start"] >= span["start"]) & (o["end"] <= span["end"])
+
+    def scope(others: Column) -> Column:
+        return F.filter(others, lambda o: inside(o) | _between(o, span).between(0, SCOPE))
+
+    return (_near(span, who) & _near(span, what)) | F.exists(
+        scope(who), lambda w: F.exists(scope(what), lambda k: _between(w, k) >= 0))
 
 
 def _linked(found: Column) -> Column:
@@ -74,11 +92,9 @@ def _linked(found: Column) -> Column:
     of = {k: found[k] for k in KINDS}
     who = F.concat(of["access"], of["identifier"])
     what = F.concat(of["assign"], of["hex"], of["key"])
-    needed = {"identifier": [what], "key": [F.concat(who, of["endpoint"])], "endpoint": [who, what]}
-    def kept(kind: str) -> Column:
-        return F.filter(of[kind], lambda span: reduce(lambda a, b: a & b, [_near(span, o) for o in needed[kind]]))
-
-    return F.concat(*[kept(k) for k in needed])
+    return F.concat(F.filter(of["identifier"], lambda span: _near(span, what)),
+                    F.filter(of["key"], lambda span: _near(span, F.concat(who, of["endpoint"]))),
+                    F.filter(of["endpoint"], lambda span: _complete(span, who, what)))
 
 
 def scan(docs: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame:
