@@ -175,6 +175,39 @@ def test_planted_passages(spark):
     assert passages.near_passages(spark.createDataFrame([], TEXTS)).count() == 0
 
 
+def test_neighbouring_passages_do_not_hide_each_other():
+    a = np.arange(116, dtype=np.uint64)  # shingles of 120 words
+    b = a.copy()
+    for first, last in ((30, 30), (56, 63), (90, 90)):  # changed words
+        b[first - 4: last + 1] += np.uint64(1000)
+    found = passages.passages(a, b, 50, 0.8)
+    assert [(p, q) for p, q, *_ in found] and all(s >= 0.8 and q - p >= 46 for p, q, _, _, s in found)
+    assert {k for p, q, *_ in found for k in range(p, q)} >= set(range(52))
+
+
+@pytest.mark.parametrize("seed", range(150))
+def test_passages_cover_those_of_all_parts(seed):
+    """Every part of a stretch, from one shared place to another, that is long and similar enough is in a passage."""
+    rng = np.random.default_rng(seed)
+    a = np.arange(rng.integers(46, 160), dtype=np.uint64)
+    b = a.copy()
+    for _ in range(rng.integers(1, 7)):
+        at = int(rng.integers(0, len(b)))
+        size = len(b[at: at + int(rng.integers(1, passages.GAP + 1))])
+        b[at: at + size] = rng.integers(10_000, 2**40, size).astype(np.uint64)
+    same = np.flatnonzero(a == b)
+    pieces = np.split(same, np.flatnonzero(np.diff(same) > passages.GAP + 1) + 1)
+    want = set()
+    for piece in pieces:
+        for i, p in enumerate(piece):
+            for j in range(i, len(piece)):
+                n = int(piece[j] - p) + 1
+                if n >= 46 and (j - i + 1) / (2 * n - (j - i + 1)) >= 0.8:
+                    want |= set(range(p, p + n))
+    found = passages.passages(a, b, 50, 0.8)
+    assert {k for p, q, *_ in found for k in range(p, q)} == want and all(s >= 0.8 and q - p >= 46 for p, q, _, _, s in found)
+
+
 def test_exact_repeats_are_near_passages(spark, docs):
     """Of the documents that share fifty words in a row with another, nearly all are found; runs of one word may not be."""
     seen, repeated = {}, set()
