@@ -175,6 +175,23 @@ def test_planted_passages(spark):
     assert passages.near_passages(spark.createDataFrame([], TEXTS)).count() == 0
 
 
+def test_every_copy_of_a_passage_has_a_row(spark):
+    rnd = random.Random(6)
+    fill = lambda n: [f"w{rnd.random()}" for _ in range(n)]
+    rows, places = [], {}
+    for i in range(12):
+        passage = fill(60)
+        rows.append((2 * i, " ".join(fill(80) + passage + fill(80))))
+        words, places[2 * i + 1] = fill(70), []
+        for gap in (90, 700, 40):
+            places[2 * i + 1].append(len(words))
+            words += passage + fill(gap)
+        rows.append((2 * i + 1, " ".join(words)))
+    found = passages.near_passages(spark.createDataFrame(rows, TEXTS)).collect()
+    got = {(r.doc_id, r.start_word, r.end_word, r.of_doc_id) for r in found}
+    assert got == {(i, p, p + 60, i - 1) for i, starts in places.items() for p in starts}
+
+
 def test_neighbouring_passages_do_not_hide_each_other():
     a = np.arange(116, dtype=np.uint64)  # shingles of 120 words
     b = a.copy()
