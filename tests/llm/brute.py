@@ -96,3 +96,24 @@ def cosine_links(ids, vectors, least=0.9):
         n[j] += 1
     root = roots(ids, links)
     return {i: (n[i], root[i], root[i] == i) for i in ids}
+
+
+def plain_words(text):
+    return WORD.findall(text or "")
+
+
+def periodic_runs(words, exponent=4, least=6):
+    """Start, length and least period of every run, by start and period: all periods tried at all places."""
+    n, out = len(words), []
+    for q in range(1, n // exponent + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            size = j + q - i
+            if j > i and size >= max(least, exponent * q) and not any(
+                    all(words[k] == words[k + p] for k in range(i, i + size - p)) for p in range(1, q)):
+                out.append((i, size, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))

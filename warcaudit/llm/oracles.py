@@ -9,6 +9,26 @@ walk(id, here) as (select x, x from both_ways union select id, y from walk join
 reached as (select id, min(here) as component_id from walk group by id)"""
 
 
+def _clusters(k: int, rounds: int) -> str:
+    """Assignment and new centroids, round by round."""
+    steps = ["""vectors as (select vec_id, row_number() over () as n, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v
+    from embeddings where len(embedding) = 64 and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x::double))))""",
+             f"""c0 as (select (row_number() over (order by sha256('1:' || vec_id), v) - 1)::int as c, v as m from vectors
+    where vec_id is not null order by c limit {k})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""d{i} as (select vec_id, n, v, c, list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::bigint as d
+    from vectors, c{i}),
+a{i} as (select vec_id, n, v, c, d from d{i} qualify row_number() over (partition by n order by d, c) = 1)""")
+        if i < rounds:
+            steps.append(f"""s{i} as (select c, p, sum(x) as s, count(*) as m from (select c, unnest(v) as x, generate_subscripts(v, 1) as p from a{i}) group by c, p),
+n{i} as (select c, list(((s - ((s % m) + m) % m) // m)::bigint order by p) as m from s{i} group by c),
+c{i + 1} as (select c, coalesce(n{i}.m, c{i}.m) as m from c{i} left join n{i} using (c))""")
+    return f"""with {", ".join(steps)}
+select vec_id, c as cluster, d as distance, (sum(d) over (partition by c))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia,
+       sha256(array_to_string(c{rounds}.m, ',')) as centroid_sha256
+from a{rounds} join c{rounds} using (c)"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "op1_suffix_dedup": """
@@ -50,4 +70,6 @@ counted as (select x, count(*) as n_links from both_ways group by x)
 select vec_id, coalesce(n_links, 0) as n_links, coalesce(component_id, vec_id) as component_id,
        coalesce(component_id, vec_id) = vec_id as kept
 from embeddings left join counted on x = vec_id left join reached on id = vec_id""",
+
+        "op12_centroids": _clusters(16, 3),
     }

@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import caps, counts, credentials, jaccard, passages, pieces, quality, seating, suffixes, tiling
+from . import caps, centroids, counts, credentials, idfiles, jaccard, passages, pieces, quality, seating, suffixes, tandems, tiling
 from .oracles import all_oracles  # noqa: F401 - the entry point takes queries and SQL from one place
 from .store import shared_folder
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD_TOKENS = public_tokenizers.path("word_bpe_49k.json")
 TOKEN_LIMIT = 2048
+END_ID = 2
 
 
 ROWS_AT_ONCE = 1_000
@@ -98,7 +99,32 @@ def op10_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return caps.near(table(spark, folder, "embeddings"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of words that repeat a period four times or more, the longest of them, and every text with each period once."""
+    found = tandems.find_runs(tandems.with_periods(documents(spark, folder).select("doc_id", "text")))
+    runs, best = F.col("periodic.runs"), tandems.longest(F.col("periodic.runs"))
+    return found.select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), (-best["start"]).alias("start"), best["length"].alias("length"),
+        (-best["period"]).alias("period"), F.floor(best["length"] * 1000 / -best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(tandems.listed(runs).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("periodic.collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """The nearest of 16 centroids for every vector after three rounds, and the inertia of its cluster and of all."""
+    found = centroids.cluster(table(spark, folder, "embeddings"), k=16, rounds=3, dimensions=64, seed=1)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        centroids.digest(F.col("centroid")).alias("centroid_sha256"))
+
+
+def op13_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Where every document's ids lie in the written files, and their checksum, as read back from them."""
+    place = f"{shared_folder(spark)}/ids"
+    idfiles.write(documents(spark, folder), WORD_TOKENS, END_ID, place)
+    return idfiles.read(spark, place).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_suffix_dedup, op2_pieces, op3_token_counts, op4_ngram_join, op5_near_passages, op6_decontamination, op7_quality,
-        op8_secrets, op9_pitman_yor, op10_near_vectors)}
+        op8_secrets, op9_pitman_yor, op10_near_vectors, op11_periodic_runs, op12_centroids, op13_id_files)}
