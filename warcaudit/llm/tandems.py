@@ -10,6 +10,7 @@ Each such square, moved left as far as it remains one, is a run; runs with the s
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import compress
@@ -232,21 +233,23 @@ def with_periods(docs: DataFrame, ident: str = "doc_id", text: str = "text") ->
     With h the CRC-32 of the id in decimal and g = h div 10: where h ends in 0 and there are n words, word i from a = g mod n on
     becomes word a + (i - a) mod p, p = 1 + (n - a) div (3 + g mod 8). Rows without id stay as they are.
     """
-    h = F.crc32(F.col(ident).cast("string").cast("binary"))
-    g = F.floor(h / 10)
-    split = F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-
-    def repeated(words: Column) -> Column:
-        n = F.size(words).cast("long")
-        a = g % F.greatest(n, F.lit(1))
-        p = 1 + F.floor((n - a) / (3 + g % 8))
-        at = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(
-            words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
-        return F.when(n > 0, F.array_join(at, " "))
-
-    # As the variable of a lambda the words are split once a row, not once a word.
-    whole = F.element_at(F.transform(F.array(split), repeated), 1)
-    return docs.withColumn(text, F.when(h % 10 == 0, F.coalesce(whole, F.col(text))).otherwise(F.col(text)))
+    def run(idents: pa.Array, texts: pa.Array) -> pa.Array:
+        return pa.array([_repeated(i, t) for i, t in zip(idents.to_pylist(), texts.to_pylist())], pa.string())
+
+    return docs.withColumn(text, F.arrow_udf(run, "string")(F.col(ident), F.col(text)))
+
+
+def _repeated(ident: int | None, text: str | None) -> str | None:
+    h = zlib.crc32(str(ident).encode()) if ident is not None else 1
+    if h % 10 or not text:
+        return text
+    words, g = text.encode().split(), h // 10
+    n = len(words)
+    if not n:
+        return text
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return b" ".join(words[i if i < a else a + (i - a) % p] for i in range(n)).decode()
 
 
 def longest(found: Column) -> Column:
