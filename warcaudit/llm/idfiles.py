@@ -17,7 +17,9 @@ before it. Ids stream into a file; a task holds the boundaries of one file and n
 from __future__ import annotations
 
 import json
+import re
 import struct
+import unicodedata
 import uuid
 from collections.abc import Iterator
 from functools import cache
@@ -35,8 +37,8 @@ from .store import require, shared_folder
 MARK = b"TOKENIDS"
 _FOOTER = struct.Struct("<BxxxxxxxQQQqQQ8s")
 REMEMBERED = 400_000
-"""Parts of texts whose ids each Python worker keeps; twice as many at most."""
-LONG_PART = 64
+"""Pieces of texts whose ids each Python worker keeps; twice as many at most."""
+LONG_PIECE = 64
 FILE_IDS = 1 << 27
 """Ids after which a task begins another file; a longer document is still one file."""
 READ_IDS = 1 << 19
@@ -45,42 +47,66 @@ MANIFEST = "part int, number int, path string, n_docs bigint, n_ids bigint, n_by
 
 
 # ---- ids ----------------------------------------------------------------------------------------
+# Fixed value: how the tokenizer cuts its lower-case text; what follows spells out letters and numbers below U+0250.
+CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LOW = [chr(c) for c in range(0xA1, 0x250)]
+_LETTERS = "a-z" + "".join(sorted({x for c in _LOW if unicodedata.category(c)[0] == "L" for x in c.lower()}))
+_NUMBERS = "0-9" + "".join(c for c in _LOW if unicodedata.category(c)[0] == "N")
+_CUT = re.compile(CUTS.replace(r"[\p{L}]", f"[{_LETTERS}]").replace(r"[\p{N}]", f"[{_NUMBERS}]").replace(r"\p{L}\p{N}", _LETTERS + _NUMBERS))
+# Anything but printable ASCII, ASCII white space, and Latin letters and signs that normalisation leaves alone.
+_UNUSUAL = re.compile("[^\t-\r -~\u00a1-\u012f\u0131-\u024f]")
+
+
 class Encoder:
     """Ids of texts as the tokenizers library gives them, without truncation, padding or added special tokens.
 
-    The tokenizer drops white space and makes no token across it, so the ids of a text are those of its parts between
-    white space. Ids of parts are remembered; when full, the older half goes and what is still in use moves over.
+    The tokenizer drops white space, puts the text in lower case, cuts it by a pattern and encodes what lies between
+    the cuts, each by itself. Latin texts are cut here and the library is asked only for pieces it was not asked for
+    before; of other texts, and of those that may hold a special token, it gets each part between white space whole.
+    Ids are remembered; when full, the older half goes and what is still in use moves over.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         with open(path) as f:
-            if json.load(f)["pre_tokenizer"]["pretokenizers"][0].get("behavior") != "Removed":
-                raise ValueError("only tokenizers that drop white space are supported")
+            split = json.load(f)["pre_tokenizer"]["pretokenizers"][0]
+        if split.get("behavior") != "Removed" or split.get("pattern") != {"Regex": CUTS}:
+            raise ValueError("only tokenizers that drop white space and cut texts as this one does are supported")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kind = id_kind(self.tokenizer.get_vocab_size(with_added_tokens=True))
-        self.young: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes], end: int) -> list[bytes]:
+        self.young: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    @staticmethod
+    def cut(text: str) -> list[str]:
+        """Pieces of a text that are encoded by themselves."""
+        if not _UNUSUAL.search(text) and "<|" not in text:
+            return _CUT.findall(text.lower())
+        pieces = []
+        for part in text.encode().split():
+            part = part.decode()
+            pieces += [part] if _UNUSUAL.search(part) or "<|" in part else _CUT.findall(part.lower())
+        return pieces
+
+    def encode(self, texts: list[str], end: int) -> list[bytes]:
         """The ids of each text and the end id, little-endian."""
         if len(self.young) > REMEMBERED:
             self.older, self.young = self.young, {}
-        split = [t.split() for t in texts]
+        split = [self.cut(t) for t in texts]
         known, older, long = self.young, self.older, {}
-        missing = {p for parts in split for p in parts if p not in known}
+        missing = {p for pieces in split for p in pieces if p not in known}
         for p in [p for p in missing if p in older]:
             known[p] = older[p]
             missing.discard(p)
-        new = list(missing)
-        for p, found in zip(new, self.tokenizer.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)):
-            (known if len(p) <= LONG_PART else long)[p] = np.array(found.ids, self.kind).tobytes()
-        last = np.array([end], self.kind).tobytes()
-        get = known.__getitem__ if not long else lambda p: known.get(p) or long.get(p, b"")
-        return [b"".join([*map(get, parts), last]) for parts in split]
+        new, code = list(missing), "H" if self.kind == "<u2" else "I"
+        for p, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            (known if len(p) <= LONG_PIECE else long)[p] = struct.pack(f"<{len(found)}{code}", *found.ids)
+        last = struct.pack(f"<{code}", end)
+        get = known.__getitem__ if not long else lambda p: known[p] if p in known else long[p]
+        return [b"".join([*map(get, pieces), last]) for pieces in split]
 
 
 def id_kind(vocabulary: int) -> str:
@@ -97,7 +123,7 @@ def encoded(text: Column, path: str, end: int) -> Column:
     def run(column: pa.Array) -> pa.Array:
         parts = []
         for k in range(0, max(len(column), 1), 256):
-            texts = [t or b"" for t in column.slice(k, 256).cast(pa.binary()).to_pylist()]
+            texts = [t or "" for t in column.slice(k, 256).to_pylist()]
             parts.append(pa.array(encoder(path).encode(texts, end), pa.binary()))
         return pa.concat_arrays(parts)
 
@@ -221,7 +247,8 @@ def write(docs: DataFrame, path: str, end: int, folder: str, ident: str = "doc_i
      .write.option("compression", "zstd").parquet(place))
     rows = spark.read.schema("doc bigint, ids binary").parquet(place)
     total = rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
-    parts = max(spark.sparkContext.defaultParallelism, -(-total // (np.dtype(kind).itemsize * range_ids)))
+    least = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = max(least, -(-total // (np.dtype(kind).itemsize * range_ids)))
     # A digest in the order cuts also through an id that very many rows share.
     order = (F.col("doc").asc_nulls_last(), F.xxhash64("ids"))
     dealt = rows.repartitionByRange(int(parts), *order).sortWithinPartitions(*order, "ids")
