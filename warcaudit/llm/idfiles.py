@@ -16,6 +16,7 @@ before it. Ids stream into a file; a task holds the boundaries of one file and n
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 import struct
@@ -39,6 +40,8 @@ _FOOTER = struct.Struct("<BxxxxxxxQQQqQQ8s")
 REMEMBERED = 400_000
 """Pieces of texts whose ids each Python worker keeps; twice as many at most."""
 LONG_PIECE = 64
+TOGETHER = 1_000
+"""New pieces that the library gets in one text."""
 FILE_IDS = 1 << 27
 """Ids after which a task begins another file; a longer document is still one file."""
 READ_IDS = 1 << 19
@@ -52,7 +55,8 @@ CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LOW = [chr(c) for c in range(0xA1, 0x250)]
 _LETTERS = "a-z" + "".join(sorted({x for c in _LOW if unicodedata.category(c)[0] == "L" for x in c.lower()}))
 _NUMBERS = "0-9" + "".join(c for c in _LOW if unicodedata.category(c)[0] == "N")
-_CUT = re.compile(CUTS.replace(r"[\p{L}]", f"[{_LETTERS}]").replace(r"[\p{N}]", f"[{_NUMBERS}]").replace(r"\p{L}\p{N}", _LETTERS + _NUMBERS))
+# The same pattern, letters first: what the alternatives begin with differs, but for the last two kinds.
+_CUT = re.compile(f"[{_LETTERS}]+|[{_NUMBERS}]|'(?:[stmd]|re|ve|ll)|[^\\s{_LETTERS}{_NUMBERS}]+")
 # Anything but printable ASCII, ASCII white space, and Latin letters and signs that normalisation leaves alone.
 _UNUSUAL = re.compile("[^\t-\r -~\u00a1-\u012f\u0131-\u024f]")
 
@@ -76,7 +80,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.kind = id_kind(self.tokenizer.get_vocab_size(with_added_tokens=True))
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.kind = id_kind(size)
+        self.closing = np.zeros(size, bool)
+        self.closing[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
         self.young: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -91,22 +98,47 @@ class Encoder:
             pieces += [part] if _UNUSUAL.search(part) or "<|" in part else _CUT.findall(part.lower())
         return pieces
 
+    def _asked(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(found.ids, self.kind) for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Many at a time, with spaces between: the last token of each piece is one that closes a word."""
+        groups = [new[k: k + TOGETHER] for k in range(0, len(new), TOGETHER)]
+        for group, ids in zip(groups, self._asked([" ".join(g) for g in groups])):
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            if len(ends) == len(group):
+                data, at = ids.tobytes(), [0, *(ends * ids.itemsize).tolist()]
+                self.young.update(zip(group, (data[a:b] for a, b in zip(at, at[1:]))))
+            else:
+                self.young.update(zip(group, (x.tobytes() for x in self._asked(group))))
+
     def encode(self, texts: list[str], end: int) -> list[bytes]:
         """The ids of each text and the end id, little-endian."""
         if len(self.young) > REMEMBERED:
             self.older, self.young = self.young, {}
-        split = [self.cut(t) for t in texts]
-        known, older, long = self.young, self.older, {}
-        missing = {p for pieces in split for p in pieces if p not in known}
-        for p in [p for p in missing if p in older]:
-            known[p] = older[p]
-            missing.discard(p)
-        new, code = list(missing), "H" if self.kind == "<u2" else "I"
-        for p, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            (known if len(p) <= LONG_PIECE else long)[p] = struct.pack(f"<{len(found)}{code}", *found.ids)
-        last = struct.pack(f"<{code}", end)
-        get = known.__getitem__ if not long else lambda p: known[p] if p in known else long[p]
-        return [b"".join([*map(get, pieces), last]) for pieces in split]
+        # Millions of short strings in lists, none of them in a cycle: the collector would look at all again and again.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            split = [self.cut(t) for t in texts]
+            known = self.young
+            missing = set().union(*split).difference(known)
+            for p in missing & self.older.keys():
+                known[p] = self.older[p]
+            # What the library gets whole is asked for alone: it may hold several words, or a special token.
+            new = missing.difference(known)
+            whole = [p for p in new if _UNUSUAL.search(p) or "<|" in p]
+            self._learn(list(new.difference(whole)))
+            known.update(zip(whole, (x.tobytes() for x in self._asked(whole))))
+            last = np.array([end], self.kind).tobytes()
+            found = [b"".join(map(known.__getitem__, pieces)) + last for pieces in split]
+            for p in new:
+                if len(p) > LONG_PIECE:
+                    del known[p]
+            return found
+        finally:
+            if collecting:
+                gc.enable()
 
 
 def id_kind(vocabulary: int) -> str:
