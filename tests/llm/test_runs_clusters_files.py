@@ -240,6 +240,15 @@ def test_ids_of_odd_texts_are_those_of_the_library():
         assert np.frombuffer(ids, own.kind).tolist() == [*found.ids, 2], text
 
 
+def test_ranges_are_even_also_where_many_rows_share_an_id(spark, tmp_path):
+    rows = [(k, "x y " * (k % 50)) for k in range(2_000)] + [(700, f"text {k} of the same id") for k in range(3_000)] + [(None, "a b")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    manifest = idfiles.write(docs, queries.WORD_TOKENS, 2, str(tmp_path / "ids"), range_bytes=4_000).collect()
+    found = idfiles.read(spark, str(tmp_path / "ids")).orderBy("start").collect()
+    assert [r.doc_id for r in found] == sorted(r[0] for r in rows if r[0] is not None) + [None] * 5
+    assert len(manifest) > 30 and max(m.n_ids for m in manifest) < 3 * sum(m.n_ids for m in manifest) / len(manifest)
+
+
 def test_files_of_nothing_and_files_left_by_lost_tasks(spark, docs, tmp_path):
     folder = str(tmp_path / "none")
     assert idfiles.write(docs.limit(0), queries.WORD_TOKENS, 2, folder).count() == 0 and idfiles.read(spark, folder).count() == 0

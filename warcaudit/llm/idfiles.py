@@ -9,8 +9,8 @@ with a row for each file. A file is
 * the document ids less the least of them, as another; documents without id come last and are only counted
 * a footer of fixed size with counts and lengths, and ``TOKENIDS`` again
 
-Documents are encoded where they lie, then dealt out by ranges of their ids. Only the rows of the manifest that Spark
-commits count, so what a lost or repeated task wrote is never read. A file's place in the whole is the sum over the files
+Documents are encoded where they lie, and their ids dealt out by ranges of document ids. Only the rows of the manifest that
+Spark commits count, so what a lost or repeated task wrote is never read. A file's place in the whole is the sum over the files
 before it. Ids stream into a file; a task holds the boundaries of one file and never its ids.
 """
 
@@ -27,13 +27,12 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.streams import open_path
 from .boundaries import EliasFano
-from .store import require, shared_folder
+from .store import require
 
 MARK = b"TOKENIDS"
 _FOOTER = struct.Struct("<BxxxxxxxQQQqQQ8s")
@@ -44,6 +43,10 @@ TOGETHER = 1_000
 """New pieces that the library gets in one text."""
 FILE_IDS = 1 << 27
 """Ids after which a task begins another file; a longer document is still one file."""
+RANGE_BYTES = 1 << 28
+"""Text of the documents of a range, so about a quarter of a gigabyte; their ids are half of that."""
+SAMPLE = 100_000
+"""Documents, on average, whose ids and sizes reach the driver to cut the ranges."""
 READ_IDS = 1 << 19
 """Ids that a reader holds at once, but for longer documents."""
 MANIFEST = "part int, number int, path string, n_docs bigint, n_ids bigint, n_bytes bigint"
@@ -150,16 +153,53 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encoded(text: Column, path: str, end: int) -> Column:
-    """Ids of each whole text with the end id, in the file's width; null is an empty text."""
-    def run(column: pa.Array) -> pa.Array:
+class Ranges:
+    """Where the ranges of documents begin, by id and digest of the text; a document's range is the last that begins before it.
+
+    Documents without id are in the last range.
+    """
+
+    def __init__(self, begins: list[tuple[int, int]]) -> None:
+        self.ids = np.array([b[0] for b in begins], np.int64)
+        self.digests = np.array([b[1] for b in begins], np.int64)
+
+    def of(self, ids: pa.Array, digests: pa.Array) -> np.ndarray:
+        unnamed = ids.is_null().to_numpy(zero_copy_only=False)
+        ids, digests = ids.fill_null(0).to_numpy(), digests.to_numpy()
+        low, high = np.searchsorted(self.ids, ids, "left"), np.searchsorted(self.ids, ids, "right")
+        out = low.copy()
+        # Only ids that ranges begin with: there the digest decides.
+        for value in np.unique(ids[low < high]):
+            here = ids == value
+            first, last = low[here][0], high[here][0]
+            out[here] = first + np.searchsorted(self.digests[first:last], digests[here], "right")
+        out[unnamed] = len(self.ids)
+        return out
+
+
+def _ranges(rows: DataFrame, parts: int, count: int) -> Ranges:
+    """Begins of so many ranges with about as many bytes each, by a sample of documents chosen by hash.
+
+    The sample only decides how evenly the work is dealt, not what is written. Copies are counted, not collected.
+    """
+    chosen = F.pmod(F.xxhash64("doc", "digest"), F.lit(1 << 30)) < F.lit(int(min(1, SAMPLE / max(count, 1)) * (1 << 30)))
+    found = (rows.filter(F.col("doc").isNotNull() & chosen).groupBy("doc", "digest").agg(F.sum("size").alias("size")).collect())
+    found = sorted((r.doc, r.digest, r.size) for r in found)
+    upto = np.cumsum([r[2] for r in found])
+    begins = np.searchsorted(upto, np.arange(1, parts) * (upto[-1] if len(upto) else 0) / parts) if found else []
+    return Ranges([found[k][:2] for k in sorted(set(begins))])
+
+
+def encoded(doc: Column, digest: Column, text: Column, path: str, end: int, ranges: Ranges) -> Column:
+    """Range of each document, and ids of each whole text with the end id, in the file's width; null is an empty text."""
+    def run(docs: pa.Array, digests: pa.Array, column: pa.Array) -> pa.Array:
         parts = []
         for k in range(0, max(len(column), 1), 256):
             texts = [t or "" for t in column.slice(k, 256).to_pylist()]
             parts.append(pa.array(encoder(path).encode(texts, end), pa.binary()))
-        return pa.concat_arrays(parts)
+        return pa.StructArray.from_arrays([pa.array(ranges.of(docs, digests), pa.int32()), pa.concat_arrays(parts)], names=["part", "ids"])
 
-    return F.arrow_udf(run, "binary")(text)
+    return F.arrow_udf(run, "part int, ids binary")(doc, digest, text)
 
 
 # ---- files --------------------------------------------------------------------------------------
@@ -240,7 +280,7 @@ class IdFile:
 
 def _write_files(folder: str, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, writer = TaskContext.get().partitionId(), 0, None
+        part, number, writer = None, 0, None
 
         def row() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(
@@ -248,13 +288,14 @@ def _write_files(folder: str, kind: str):
                 names=["part", "number", "path", "n_docs", "n_ids", "n_bytes"])
 
         for batch in batches:
-            for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for here, doc, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if writer is not None and (here != part or writer.n_ids >= FILE_IDS):
+                    yield row()
+                    writer = None
                 if writer is None:
+                    part, number = here, number + 1 if here == part else 0
                     writer = _Writer(f"{folder}/{part:06d}-{number:04d}-{uuid.uuid4().hex}.ids", kind)
                 writer.add(doc, ids.as_py())
-                if writer.n_ids >= FILE_IDS:
-                    yield row()
-                    writer, number = None, number + 1
         if writer is not None:
             yield row()
 
@@ -262,29 +303,27 @@ def _write_files(folder: str, kind: str):
 
 
 def write(docs: DataFrame, path: str, end: int, folder: str, ident: str = "doc_id", text: str = "text",
-          range_ids: int = FILE_IDS // 2) -> DataFrame:
+          range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Encode every whole text, append the end id, and write the ids in ascending order of ``ident``; returns the manifest.
 
-    Null and empty texts are only the end id. Rows without id come last; rows with the same id follow each other, ordered by
-    their ids; repeated rows are all written. Other columns are not looked at, whatever their names. An empty table
-    gives a manifest without rows. ``ident`` has to be a whole number. ``range_ids`` is what a range of documents
-    should hold; Spark cuts ranges by rows, so that is a mean.
+    Null and empty texts are only the end id. Rows without id come last, written by one task as a stream; rows with the
+    same id follow each other in an order by their texts' digests; repeated rows are all written. Other columns are not
+    looked at, whatever their names. An empty table gives a manifest without rows. ``ident`` has to be a whole number.
+    ``range_bytes`` is what a range of documents should have of text; a single document is never cut.
     """
     require(docs, ident, text)
     spark = docs.sparkSession
-    kind = encoder(path).kind
-    # Written down: the ranges are cut in one pass and dealt in another, and texts should be encoded once.
-    place = f"{shared_folder(spark)}/encoded"
-    (docs.select(F.col(ident).cast("bigint").alias("doc"), encoded(F.col(text), path, end).alias("ids"))
-     .write.option("compression", "zstd").parquet(place))
-    rows = spark.read.schema("doc bigint, ids binary").parquet(place)
-    total = rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0
+    rows = docs.select(F.col(ident).cast("bigint").alias("doc"), F.col(text).alias("text")).select(
+        "doc", F.xxhash64("text").alias("digest"), (F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 1).alias("size"), "text")
+    count, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     least = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    parts = max(least, -(-total // (np.dtype(kind).itemsize * range_ids)))
-    # A digest in the order cuts also through an id that very many rows share.
-    order = (F.col("doc").asc_nulls_last(), F.xxhash64("ids"))
-    dealt = rows.repartitionByRange(int(parts), *order).sortWithinPartitions(*order, "ids")
-    dealt.mapInArrow(_write_files(folder, kind), MANIFEST).write.parquet(f"{folder}/manifest")
+    parts = max(least, -(-total // range_bytes))
+    ranges = _ranges(rows.drop("text"), parts, count)
+    # Only ids are dealt, and each text is encoded once, where it lies.
+    ids = rows.select("doc", "digest", encoded(F.col("doc"), F.col("digest"), F.col("text"), path, end, ranges).alias("found"))
+    dealt = ids.select("doc", "digest", "found.part", "found.ids").repartitionById(int(parts), F.col("part"))
+    dealt = dealt.sortWithinPartitions("part", F.col("doc").asc_nulls_last(), "digest").select("part", "doc", "ids")
+    dealt.mapInArrow(_write_files(folder, encoder(path).kind), MANIFEST).write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
 
 
