@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from warcaudit.functions import fixed_values as V
-from warcaudit.operators import grouping, inventory, status
+from warcaudit.operators import grouping, inventory, status, warcs
 
 START, END = "2020-01-01", "2020-02-01"
 
@@ -57,8 +57,77 @@ def test_one_row_for_each_seed_in_listing_order(spark):
     assert [(r.position, r.job_id) for r in sorted(places, key=lambda r: r.position)] == list(enumerate(want["7"][1]))
 
 
-def test_messages_fold_to_one_row(spark, monkeypatch):
-    monkeypatch.setattr(grouping, "STEP", 7)
+@pytest.mark.parametrize("piece_rows", [7, 100, 10_000])
+def test_a_large_seed_is_joined_in_pieces(spark, monkeypatch, piece_rows):
+    monkeypatch.setattr(grouping, "PIECE_ROWS", piece_rows)
+    test_one_row_for_each_seed_in_listing_order(spark)
+
+
+def test_pieces_are_alike_wherever_the_rows_are(spark):
+    """One page holds nine tenths of a seed, another place a third of all rows as copies of one row."""
+    rows = [("hot", "page-1", k, f"name {k}") for k in range(9_000)] + [("hot", f"page-{k}", 0, f"other {k}") for k in range(2, 1_002)]
+    rows += [("copies", "page-5", 5, "same")] * 5_000 + [("small", "page-1", k, "x") for k in range(100)]
+    random.Random(3).shuffle(rows)
+    frame = spark.createDataFrame(rows, "key string, page string, position int, text string").repartition(6)
+    small, large = grouping.in_pieces(frame, "key", ["page", "position"], "copies", 1_000)
+    assert small.groupBy("key").count().collect() == [("small", 100)]
+    sizes = {(r.key, r._piece): r.n for r in large.groupBy("key", "_piece").agg(F.sum("copies").alias("n"), F.count(F.lit(1))).collect()}
+    hot = [n for (key, _), n in sizes.items() if key == "hot"]
+    assert sum(hot) == 10_000 and len(hot) >= 8 and max(hot) <= 2 * sum(hot) / len(hot) and max(hot) <= 2 * sorted(hot)[1]
+    assert large.filter("key = 'copies'").collect()[0].copies == 5_000
+    items = frame.withColumn("cell", F.lit("c"))
+    order = lambda r: (r[1], r[2], r[3])
+    want = {key: "|".join(r[3] for r in sorted((r for r in rows if r[0] == key), key=order)) for key in ("hot", "copies", "small")}
+    for piece_rows in (1_000, 10**9):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(grouping, "PIECE_ROWS", piece_rows)
+            got = grouping.join_texts(items, "key", ["page", "position"], ["c"], "|")
+            assert {r.key: r.c for r in got.collect()} == want
+
+
+def test_a_shared_answer_is_copied_as_often_as_needed(spark):
+    """One definition for all seeds, a job for some, others for one each: joined rows, and copies of each body."""
+    wanted = [("crawldef", "9", f"s{k}") for k in range(100)] + [("crawljob", "5", f"s{k}") for k in range(25)]
+    wanted += [("seed", str(k), f"s{k}") for k in range(40)] + [("coll", "gone", f"s{k}") for k in range(30)] + [("seed", None, "s1")]
+    bodies = [("crawldef", "9", "d"), ("crawljob", "5", "j"), *[("seed", str(k), f"b{k}") for k in range(60)]]
+    rows = spark.createDataFrame(wanted, "kind string, entity string, seed string").repartition(5)
+    shared = spark.createDataFrame(bodies, "kind string, entity string, body string")
+    joined = grouping.dealt_join(rows, shared, ["kind", "entity"], "seed", 10)
+    known = {(k, e): b for k, e, b in bodies}
+    assert sorted(((r.kind, r.entity, r.seed, r.body) for r in joined.collect()), key=str) == sorted(((k, e, s, known.get((k, e))) for k, e, s in wanted), key=str)
+    hot = {(r.kind, r.entity): r._weight for r in grouping.large_groups(rows, ["kind", "entity"], F.lit(1), 10).collect()}
+    assert hot == {("crawldef", "9"): 100, ("crawljob", "5"): 25, ("coll", "gone"): 30}
+    text = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("Generate explode") == 1 and "_parts" in text
+    plain = grouping.dealt_join(rows, shared, ["kind", "entity"], "seed", 1_000)
+    assert "explode" not in plain._jdf.queryExecution().optimizedPlan().toString() and plain.count() == len(wanted)
+
+
+def test_running_totals_over_all_rows(spark):
+    rows = [(k % 13, f"p{k:04d}", k % 7 + 1) for k in range(2_000)]
+    frame = spark.createDataFrame(rows, "a int, path string, size long").repartition(9)
+    got = {r.path: r.total for r in grouping.running_total(frame, [F.col("a").desc(), F.col("path")], "size", "total").collect()}
+    total, want = 0, {}
+    for _, path, size in sorted(rows, key=lambda r: (-r[0], r[1])):
+        total += size
+        want[path] = total
+    assert got == want
+
+
+@pytest.mark.parametrize("sizes", [[100] * 50 + [1] * 500, [1] * 1_000, list(range(1, 400)), [1000] + [1] * 3_000])
+def test_files_are_dealt_by_size(spark, sizes):
+    files = spark.createDataFrame([(f"f{k}", n) for k, n in enumerate(sizes)], "path string, length long").repartition(4)
+    dealt = warcs.by_size(files, sum(sizes) // 10)
+    loads = [r.n for r in dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.sum("length").alias("n")).collect()]
+    assert sum(loads) == sum(sizes) and dealt.columns == files.columns
+    assert max(loads) <= max(1.5 * sum(sizes) / 10, max(sizes) + 1)
+    assert warcs.by_size(files.limit(0)).count() == 0
+    assert warcs.by_size(spark.createDataFrame([("a", None), ("b", 0), ("c", 5)], "path string, length long"), 1).count() == 3
+
+
+@pytest.mark.parametrize("piece_rows", [7, 10_000])
+def test_messages_fold_to_one_row(spark, monkeypatch, piece_rows):
+    monkeypatch.setattr(grouping, "PIECE_ROWS", piece_rows)
     events = [("1" if i % 4 else "2", i, V.STATUS_COLUMNS[i % 3], f"Error: {i}" if i == 77 else f"message {i}") for i in range(400)]
     events.append(("2", 500, V.STATUS_COLUMNS[0], None))
     seeds = spark.createDataFrame([("1",), ("2",), ("3",)], "seed_id string")

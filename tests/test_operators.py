@@ -29,9 +29,9 @@ def test_seed_id_and_date(spark):
 
 
 def test_gigabytes_round_half_to_even(spark):
-    sizes = [0, 499_999, 500_000, 500_001, 1_500_000, 2_500_000, 10_214_499_999, 7_434_000_000]
+    sizes = [0, 499_999, 500_000, 500_001, 1_500_000, 2_500_000, 3_055_499_999, 8_200_500_000]
     df = spark.createDataFrame([(s,) for s in sizes], "s long")
-    assert [r[0] for r in values(df, C.gigabytes(F.col("s")))] == [0.0, 0.0, 0.0, 0.001, 0.002, 0.002, 10.214, 7.434]
+    assert [r[0] for r in values(df, C.gigabytes(F.col("s")))] == [0.0, 0.0, 0.0, 0.001, 0.002, 0.002, 3.055, 8.2]
 
 
 def test_padding_never_cuts(spark):
@@ -312,6 +312,28 @@ def test_empty_folders_come_from_their_own_table(spark):
     assert (states["6"], states["empty-extra"], states["extra1"], "8" in states) == ("present", "unexpected", "unexpected", False)
 
 
+def test_only_what_changed_is_audited_again(spark):
+    expected, files, log = audit_tables(spark)
+    folders = spark.createDataFrame([("6",), ("empty-extra",)], "folder string")
+    states = audit.folder_states(expected, log, files, folders)
+    assert sorted(values(states)) == sorted(values(audit.folder_states(expected, log.repartition(4), files.orderBy("name").repartition(5), folders)))
+    before = audit.audit_store(expected, log, files, folders)
+    # A mark that only rows taken from the earlier audit can carry.
+    marked = before.withColumn("crawldef_count", F.lit(77).cast("long"))
+    added = spark.createDataFrame([("1", "aip-1_2_crawldef.csv"), ("new", "y.warc")], "folder string, name string")
+    later = files.filter("not (folder = '5' and name = 'sub/x.warc') and folder <> 'extra1'").unionByName(added)
+    wanted = expected.withColumn("warcs", F.when(F.col("seed_id") == "4", 1).otherwise(F.col("warcs")).cast("long"))
+    now = audit.folder_states(wanted, log, later, folders)
+    got = {r.seed_id: r for r in audit.audit_changes(wanted, log, later, folders, now, marked, states).collect()}
+    want = {r.seed_id: r for r in audit.audit_store(wanted, log, later, folders).collect()}
+    fresh = {"1", "4", "5", "new"}
+    assert got.keys() == want.keys() and "extra1" not in got and {s for s, r in got.items() if r.crawldef_count != 77} == fresh
+    for seed, row in got.items():
+        assert {**row.asDict(), "crawldef_count": 0} == {**want[seed].asDict(), "crawldef_count": 0}
+    none = audit.audit_changes(expected, log, files, folders, states, marked, states)
+    assert {r.crawldef_count for r in none.collect()} == {77}
+
+
 def test_qa_review(spark):
     expected, files, log = audit_tables(spark)
     typed = audit.audit_store(expected, log, files)

@@ -11,7 +11,7 @@ import pytest
 
 from warcaudit.operators import inventory, warcs
 from warcaudit.plans import runs
-from warcaudit.sources import readers
+from warcaudit.sources import readers, seedlog
 
 MAGIL = "Map and Government Information Library"
 RUSSELL = "Richard B. Russell Library for Political Research and Studies"
@@ -72,8 +72,8 @@ def landed(tmp_path):
     return root
 
 
-def by_seed(spark, place):
-    return {r.Seed_ID: r for r in readers.read_log(spark, place).collect()}
+def by_seed(spark, batch):
+    return {r.Seed_ID: r for r in seedlog.read(spark, batch.log).collect()}
 
 
 def stored(batch):
@@ -82,7 +82,7 @@ def stored(batch):
 
 
 def check_finished(spark, batch, run):
-    log = by_seed(spark, batch.place("seeds_log", run))
+    log = by_seed(spark, batch)
     eleven, two, three = log["11"], log["22"], log["33"]
     assert eleven.AIP_ID == "magil-ggp-11-2023-05" and eleven.Job_ID == "501|502" and eleven.Size_GB == 0.001
     assert eleven.Metadata_Report_Errors == "Successfully downloaded all metadata reports"
@@ -154,16 +154,43 @@ def test_nothing_is_kept_or_lost_silently(spark, landed, tmp_path):
     assert [(r.filename, r.reason) for r in table["rejects"]] == [("AIT-77-no-seed.warc.gz", "no seed id in file name")]
     assert table["reconcile"][0].rejected == 1 and {r.Seed_ID for r in table["success_tally"]} == {"11", "22", "33"}
     assert {r.seed_id for r in table["qa_review"]} >= {"22"}
-    log = sorted(by_seed(spark, batch.place("seeds_log", run)).items())
+    log = sorted(by_seed(spark, batch).items())
     again = runs.run_batch(spark, batch)
-    assert again != run and sorted(by_seed(spark, batch.place("seeds_log", again)).items()) == log
+    assert again != run and sorted(by_seed(spark, batch).items()) == log
 
 
-def test_a_damaged_landed_line_stops_the_run(spark, landed, tmp_path):
+def test_damaged_landed_data_is_set_aside(spark, landed, tmp_path):
+    """The run goes on without it, and the quarantine says which it was; a strict run stops."""
+    cut = '{"report_type": "seed", "entity'
     with open(f"{landed}/responses/part.json", "a") as lines:
-        lines.write('{"report_type": "seed", "entity')
+        lines.write(cut)
+    with open(f"{landed}/listing/page-0009.json", "w") as page:
+        page.write("<html>busy</html>")
     with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
-        runs.run_batch(spark, runs.Batch(landed, str(tmp_path / "out"), "2023-04-01", "2023-05-02"))
+        runs.run_batch(spark, runs.Batch(landed, str(tmp_path / "strict"), "2023-04-01", "2023-05-02", strict=True))
+    batch = runs.Batch(landed, str(tmp_path / "out"), "2023-04-01", "2023-05-02")
+    run = runs.run_batch(spark, batch)
+    check_finished(spark, batch, run)
+    rows = spark.read.parquet(batch.place("quarantine", run)).collect()
+    assert sorted((r.source, r.file, r.chars) for r in rows) == [("listing page", "page-0009.json", 17), ("response line", "part.json", len(cut))]
+    assert {r.sha256 for r in rows} == {hashlib.sha256(x.encode()).hexdigest() for x in (cut, "<html>busy</html>")}
+
+
+def test_seeds_that_are_reset_are_made_again(spark, landed, tmp_path):
+    batch = runs.Batch(landed, str(tmp_path / "out"), "2023-04-01", "2023-05-02")
+    runs.run_batch(spark, batch)
+    runs.reset_seeds(spark, batch, spark.createDataFrame([("22",)], "seed_id string"))
+    log = by_seed(spark, batch)
+    assert log["22"].Complete == "TBD" and log["22"].WARC_Unzip_Errors == "TBD" and log["11"].Complete == "Successfully completed"
+    before = os.stat(f"{batch.store}/11/{warc(11, 501, 1)[:-3]}").st_mtime_ns
+    os.makedirs(f"{batch.store}/empty")
+    run = runs.run_batch(spark, batch)
+    assert run == "run-0003" and spark.read.parquet(f"{batch.log}/000003-rows").count() == 1
+    assert os.stat(f"{batch.store}/11/{warc(11, 501, 1)[:-3]}").st_mtime_ns == before
+    report = {r[0]: r[1] for r in readers.read_report(spark, batch.place("completeness_check", run)).collect()}
+    assert report["empty"] == "Not expected"
+    os.rmdir(f"{batch.store}/empty")
+    check_finished(spark, batch, runs.run_batch(spark, batch))
 
 
 def test_a_run_reads_only_its_window(spark, landed, tmp_path):
@@ -179,7 +206,7 @@ def test_small_batches_and_interruption(spark, landed, tmp_path):
     """One seed at a time, with what an interrupted run left behind, ends like one run over everything."""
     batch = runs.Batch(landed, str(tmp_path / "out"), "2023-04-01", "2023-05-02")
     runs.run_batch(spark, batch, size=1)
-    log = by_seed(spark, batch.place("seeds_log", "run-0001"))
+    log = by_seed(spark, batch)
     assert log["11"].Complete == "Successfully completed" and log["22"].Complete == "TBD" and log["33"].WARC_Download_Errors == "TBD"
     os.makedirs(f"{batch.store}/22")
     with open(f"{batch.store}/22/left-over.txt", "w") as file:

@@ -101,6 +101,43 @@ def audit_store(expected: DataFrame, log: DataFrame, files: DataFrame, folders:
     return _typed(_by_seed(expected, files, folders, log).filter((F.col(_WANTED) > 0) | extra))
 
 
+def folder_states(expected: DataFrame, log: DataFrame, files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
+    """Everything that the audit of a seed or folder rests on as one digest: ``seed_id, digest``.
+
+    Of the names in a folder only numbers are summed, on the map side and in any order: how many there are, and sums
+    and exclusive ors of their hashes. Nothing is parsed or compared.
+    """
+    name = F.coalesce("name", F.lit("/"))
+    rows = files.select(F.col("folder").alias("seed_id"), F.xxhash64(name).alias("h"), F.xxhash64(F.lit(7), name).alias("x"))
+    low = F.col("h").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
+    names = rows.groupBy("seed_id").agg(F.count(F.lit(1)).alias("n"), F.sum(low).alias("low"),
+                                        F.sum(F.shiftrightunsigned("h", 32)).alias("high"), F.bit_xor("x").alias("x"))
+    seen = (names if folders is None else names.join(folders.select(F.col("folder").alias("seed_id"), F.lit(True).alias("made")).distinct(), "seed_id", "full"))
+    lines = log.groupBy(F.col("Seed_ID").alias("seed_id")).agg(F.count(F.lit(1)).alias("lines"))
+    wanted = expected.select("seed_id", F.col("aip_id").alias("aip"), "warcs", F.xxhash64("ord").alias("ord"))
+    known = seen.join(wanted, "seed_id", "full").join(lines, "seed_id", "left")
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in known.columns if c != "seed_id"]
+    return known.select("seed_id", F.md5(F.concat_ws("/", *fields).cast("binary")).alias("digest"))
+
+
+def audit_changes(expected: DataFrame, log: DataFrame, files: DataFrame, folders: DataFrame | None,
+                  states: DataFrame, before: DataFrame, states_before: DataFrame) -> DataFrame:
+    """What ``audit_store`` gives, with the rows of seeds and folders whose state is the same as before taken from ``before``.
+
+    ``before`` is an earlier result and ``states_before`` its states. Only files of seeds and folders whose names,
+    expectations or log lines have changed since are classified and compared again. The states are read several times
+    and should be a written table.
+    """
+    same = states.join(states_before, ["seed_id", "digest"], "left_semi").select("seed_id")
+    changed = states.join(states_before, ["seed_id", "digest"], "left_anti").select("seed_id")
+
+    def of(rows: DataFrame | None, column: str) -> DataFrame | None:
+        return None if rows is None else rows.join(changed.withColumnRenamed("seed_id", column), column, "left_semi")
+
+    again = audit_store(of(expected, "seed_id"), of(log, "Seed_ID"), of(files, "folder"), of(folders, "folder"))
+    return again.unionByName(before.join(same, "seed_id", "left_semi").select(*again.columns))
+
+
 def extra_folders(log: DataFrame, files: DataFrame, folders: DataFrame | None = None) -> DataFrame:
     """Folders that belong to no seed of the log."""
     names = files.select("folder")

@@ -76,32 +76,43 @@ def explode_list(df: DataFrame, column: str, value: str, position: str = "positi
 def seed_inventory(listing: DataFrame, start: str, end: str, order: Sequence[str] = LISTING_ORDER) -> DataFrame:
     """One row per seed: collections, jobs, GB, WARC count, WARC names and the status columns.
 
-    Lists keep the order in which entries are first listed. Rows are not sorted.
+    Lists keep the order in which entries are first listed. Rows are not sorted. The lists of a seed with very many
+    rows are made in pieces of its order first.
     """
-    rows = rows_in_window(listing, start, end)
     fields = [*order, *[c for c in ("filename", "crawl", "collection") if c not in order]]
-    step = grouping.coarse(rows, order).alias("_step")
-    pieces = rows.groupBy("seed_id", step).agg(
-        F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("warcs"),
-        F.sort_array(F.collect_list(F.struct(*fields))).alias("listed"))
+    rows = rows_in_window(listing, start, end).select("seed_id", "size", *fields)
+    small, large = grouping.in_pieces(rows, "seed_id", order, "copies")
 
-    def each(field: str) -> Column:
-        return F.transform("listed", lambda x: x[field])
+    def lists(rows: DataFrame, *keys: str, copied: bool) -> DataFrame:
+        listed = F.sort_array(F.collect_list(F.struct(*fields, *(["copies"] if copied else []))))
+        found = rows.groupBy(*keys).agg(
+            F.sum(F.col("size") * F.col("copies")).alias("bytes"), F.sum("copies").alias("warcs"), listed.alias("listed"))
 
-    runs = pieces.select("seed_id", "bytes", "warcs", F.struct(
-        "_step", grouping.joined(each("filename"), V.LIST_SEPARATOR, "a piece of the WARC names").alias("names"),
-        F.array_distinct(each("crawl")).alias("jobs"), F.array_distinct(each("collection")).alias("collections")).alias("run"))
-    seeds = runs.groupBy("seed_id").agg(
-        F.sum("bytes").alias("bytes"), F.sum("warcs").alias("WARCs"), F.sort_array(F.collect_list("run")).alias("runs"))
+        def each(field: str) -> Column:
+            return F.transform("listed", lambda x: x[field])
 
-    def distinct(field: str) -> Column:
-        values = F.array_distinct(F.flatten(F.transform("runs", lambda x: x[field])))
-        return grouping.joined(values, V.LIST_SEPARATOR, field)
+        names = grouping.joined(each("filename"), V.LIST_SEPARATOR, "WARC_Filenames", each("copies") if copied else None)
+        return found.select(*keys, "bytes", "warcs", names.alias("names"), F.array_distinct(each("crawl")).alias("jobs"),
+                            F.array_distinct(each("collection")).alias("collections"))
+
+    seeds = lists(small, "seed_id", copied=False)
+    if large is not None:
+        run = F.struct("_piece", "names", "jobs", "collections")
+        whole = lists(large, "seed_id", "_piece", copied=True).groupBy("seed_id").agg(
+            F.sum("bytes").alias("bytes"), F.sum("warcs").alias("warcs"), F.sort_array(F.collect_list(run)).alias("runs"))
+
+        def every(field: str) -> Column:
+            return F.array_distinct(F.flatten(F.transform("runs", lambda x: x[field]))).alias(field)
+
+        names = grouping.joined(F.transform("runs", lambda x: x["names"]), V.LIST_SEPARATOR, "WARC_Filenames")
+        seeds = seeds.unionByName(whole.select("seed_id", "bytes", "warcs", names.alias("names"), every("jobs"), every("collections")))
+
+    def text(field: str) -> Column:
+        return grouping.joined(F.col(field), V.LIST_SEPARATOR, field)
 
-    names = grouping.joined(F.transform("runs", lambda x: x["names"]), V.LIST_SEPARATOR, "WARC_Filenames")
     return seeds.select(
-        F.col("seed_id").alias("Seed_ID"), distinct("collections").alias("AIT_Collection"), distinct("jobs").alias("Job_ID"),
-        C.gigabytes(F.col("bytes")).alias("Size_GB"), "WARCs", names.alias("WARC_Filenames"),
+        F.col("seed_id").alias("Seed_ID"), text("collections").alias("AIT_Collection"), text("jobs").alias("Job_ID"),
+        C.gigabytes(F.col("bytes")).alias("Size_GB"), F.col("warcs").alias("WARCs"), F.col("names").alias("WARC_Filenames"),
         *[F.lit(V.TBD).alias(name) for name in V.STATUS_COLUMNS])
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import fixed_values as V
 from ..sources import streams
+from . import grouping
 
 # Bytes of files that one task of a file job should read.
 TASK_BYTES = 1024 * 1024 * 1024
@@ -57,11 +58,23 @@ def verify_fixity(locations: DataFrame, files: DataFrame, checked_at: Column | N
 _CHECKED = "path string, filename string, actual_md5 string, size long, unzipped_size long, reason string"
 
 
-def _spread(files: DataFrame, task_bytes: int) -> DataFrame:
-    """Files dealt out in turn to as many tasks as their total size needs. Files are never split."""
-    total, count = files.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.lit(1))).first()
-    wanted = max(-(-total // task_bytes), files.sparkSession.sparkContext.defaultParallelism)
-    return files.repartition(max(1, min(wanted, count)))
+def by_size(files: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Files dealt to as many tasks as their total size needs, each with about as many bytes. Files are never split.
+
+    The largest come first: each file goes to the task in whose share of the running total its middle lies, so no
+    task has more than the mean and one file.
+    """
+    total, count = files.agg(F.sum(F.greatest("length", F.lit(1))), F.count(F.lit(1))).first()
+    if not count:
+        return files
+    tasks = min(count, max(-(-total // task_bytes), files.sparkSession.sparkContext.defaultParallelism))
+    if tasks == 1:
+        return files.coalesce(1)
+    # A file costs something even if it is empty.
+    sized = files.withColumn("_bytes", F.greatest(F.coalesce("length", F.lit(0)), F.lit(1)))
+    placed = grouping.running_total(sized, [F.col("_bytes").desc(), F.col("path")], "_bytes", "_total")
+    task = F.floor((F.col("_total") - F.col("_bytes") / 2) * tasks / total).cast("int")
+    return placed.repartitionById(int(tasks), task).drop("_bytes", "_total")
 
 
 def hash_files(files: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
@@ -71,7 +84,7 @@ def hash_files(files: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
             for path, name in zip(batch["path"], batch["filename"]):
                 yield pd.DataFrame([(path, name, *streams.check_file(path))])
 
-    return (_spread(files.select("path", "filename", "length"), task_bytes)
+    return (by_size(files.select("path", "filename", "length"), task_bytes)
             .mapInPandas(run, _CHECKED).select("path", "filename", "actual_md5", "size"))
 
 
@@ -87,7 +100,7 @@ def verify_and_unzip(files: DataFrame, task_bytes: int = TASK_BYTES) -> DataFram
                 # Without a listed MD5 there is nothing to verify, so nothing is unzipped.
                 yield pd.DataFrame([(path, name, *streams.check_file(path, target if md5 else None, md5))])
 
-    return _spread(files.select("path", "filename", "length", "md5", "target"), task_bytes).mapInPandas(run, _CHECKED)
+    return by_size(files.select("path", "filename", "length", "md5", "target"), task_bytes).mapInPandas(run, _CHECKED)
 
 
 def with_unzip_message(files: DataFrame) -> DataFrame:

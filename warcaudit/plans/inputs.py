@@ -102,6 +102,12 @@ union all select cast(p_partkey as string), concat('aip-', p_partkey, '_', p_siz
 union all select cast(p_partkey as string), 'notes.txt' from {{part}} where p_size = 11 and p_partkey % 9 <> 0
 union all select concat('extra', p_partkey), 'x.warc' from {{part}} where p_size = 12""",
 
+    # What the same store held at an earlier audit: some files not there yet, some since gone.
+    "earlier_files": """
+select folder, name from (select *, try_cast(folder as bigint) % 10 as digit from {stored}) f where coalesce(digit, 0) <> 3 or name not like '%csv'
+union all select cast(p_partkey as string), 'old.txt' from {part} where p_partkey % 10 = 5
+union all select concat('gone', p_partkey), 'y.warc' from {part} where p_size = 13""",
+
     # The seed log that the audit reads: some seeds are missing from it, some are in it twice.
     "audit_log": """
 select concat('aip-', p_partkey) as AIP_ID, cast(p_partkey as string) as Seed_ID, 2 as WARCs,
@@ -141,12 +147,28 @@ select cast(c_custkey as string) as seed_id, concat('aip-', c_custkey) as aip_id
                         c_nationkey, chr(10)) end as body
 from {customer}""",
 
-    # Paths of a store: files of seeds, files deeper down, files beside the seeds.
+    # Landed answers as JSON lines: some cut off, some with a status that is no number, some that are no record.
+    "landed_lines": """
+select o_orderkey, o_custkey, case when o_orderkey % 13 = 0 then substr(whole, 1, length(whole) - 5)
+            when o_orderkey % 17 = 0 then replace(whole, ' 200,', ' "no",') when o_orderkey % 19 = 0 then 'null'
+            when o_orderkey % 23 = 0 then replace(whole, 'entity_id', 'other_id') else whole end as line,
+       o_orderkey % 13 <> 0 and o_orderkey % 17 <> 0 and o_orderkey % 19 <> 0 and o_orderkey % 23 <> 0 as good
+from (select o_orderkey, o_custkey, concat(chr(123), '"report_type": "seed", "entity_id": "', o_orderkey, '", "status": 200, "body": "id,', o_custkey, '"', chr(125))
+      as whole from {orders}) w""",
+
+    # Landed listing pages with one file each, some of them an error page instead.
+    "landed_pages": """
+select concat('page-', c_custkey, '.json') as name, c_custkey % 7 <> 0 as good, concat('A-SEED', c_custkey, '-1.warc.gz') as filename,
+       case when c_custkey % 7 = 0 then concat('<html>', c_name, '</html>')
+            else concat(chr(123), '"count": 1,', chr(10), ' "files": [', chr(123), '"filename": "A-SEED', c_custkey, '-1.warc.gz", "size": ', c_custkey, chr(125), ']', chr(125)) end as body
+from {customer} where c_custkey <= 500""",
+
+    # What a store holds: files of seeds, files in folders deeper down, and folders without files, which have no name here.
     "store_paths": """
-select concat('file:/stores/2001/', folder, '/', name) as path, folder, name from (
-    select cast(p_partkey as string) as folder, concat('aip-', p_partkey, case when p_size % 2 = 0 then '_coll.csv' else ' #1%.csv' end) as name from {part}
-    union all select cast(p_partkey as string), concat('more/', p_partkey, '.txt') from {part} where p_size = 3) f
-union all select concat('file:/stores/2001/', p_partkey, '.csv'), concat(p_partkey, '.csv'), null from {part} where p_size = 5""",
+select cast(p_partkey as string) as folder, concat('aip-', p_partkey, case when p_size % 2 = 0 then '_coll.csv' else ' #1%.csv' end) as name,
+       repeat('x', p_size) as body from {part} where p_size <> 9
+union all select cast(p_partkey as string), concat('more/', p_partkey, '.txt'), p_name from {part} where p_size = 3
+union all select cast(p_partkey as string), null, null from {part} where p_size = 9""",
 }
 
 
@@ -162,6 +184,9 @@ def derive(spark: SparkSession, folder: str, text: str, **given: DataFrame) -> D
     return spark.sql(text, **used)
 
 
+INPUTS["earlier_files"] = INPUTS["earlier_files"].replace("{stored}", f"({INPUTS['stored_files']})")
+
+
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the derived inputs."""
     return derive(spark, folder, INPUTS[name])

@@ -65,6 +65,9 @@ _FOLD = "folded as (select seed_id as Seed_ID, 'TBD' as Seed_Report_Redaction, "
 _FOLD_OUT = ("Seed_ID, Metadata_Report_Errors, Metadata_Report_Empty, Seed_Report_Redaction, WARC_Download_Errors, "
              "WARC_Fixity_Errors, WARC_Unzip_Errors")
 
+_STATUSES = ("Metadata_Report_Errors", "Metadata_Report_Empty", "Seed_Report_Redaction", "WARC_Download_Errors",
+             "WARC_Fixity_Errors", "WARC_Unzip_Errors", "Complete")
+
 _FOUND = "concat_ws('; ', " + ", ".join(
     f"case when contains({c}, 'Error') then '{c}' end"
     for c in ("Metadata_Report_Errors", "WARC_Download_Errors", "WARC_Fixity_Errors", "WARC_Unzip_Errors")) + ")"
@@ -158,7 +161,19 @@ from orders where o_orderkey % 2 = 1""",
         "log_sink": f"""{with_clause('seed_events')}, {_EVENT_LOG}
 select * replace (Size_GB::varchar as Size_GB, WARCs::varchar as WARCs) from log""",
 
-        "file_listing": f"{with_clause('store_paths')} select folder, name from store_paths",
+        "log_segments": f"""{with_clause('seed_events')}, {_EVENT_LOG},
+states as (select *, ((Seed_ID::bigint % 2 = 0 or Seed_ID::bigint % 3 = 0) and Seed_ID::bigint % 10 <> 0) or Seed_ID::bigint % 20 = 0 as done from log)
+select AIP_ID, Seed_ID, AIT_Collection, Job_ID, Size_GB::varchar as Size_GB, WARCs::varchar as WARCs, WARC_Filenames,
+       {", ".join(f"case when done then {c} else 'TBD' end as {c}" for c in _STATUSES)} from states""",
+        "quarantine": f"""{with_clause('landed_lines', 'landed_pages')}
+select 'answer' as source, o_orderkey::varchar as name, length('id,' || o_custkey) as chars, sha256('id,' || o_custkey) as sha256 from landed_lines where good
+union all select 'listed', filename, substr(name, 6, length(name) - 10)::bigint, null from landed_pages where good
+union all select 'response line', null, length(line), sha256(line) from landed_lines where not good
+union all select 'listing page', name, length(body), sha256(body) from landed_pages where not good""",
+        "file_listing": f"""{with_clause('store_paths')}
+select folder, name, strlen(body) as length, false as is_folder from store_paths where name is not null
+union all select distinct folder, null, null::bigint, true from store_paths
+union all select folder, 'more', null, true from store_paths where name like 'more/%'""",
         "metadata_sink": f"{with_clause('seed_reports')}, {_METADATA} select * from meta",
         "report_sink": f"""{with_clause('report_responses')}
 select seed_id as folder, {_REPORT_NAME} as name, strlen(body) as length from report_responses where status = 200 and body <> ''""",
@@ -275,6 +290,8 @@ select Seed_ID, WARCs, {", ".join(f"{_successes(c)} as {c}_Successes" for c in _
        {_ALL_SUCCESSFUL} as All_WARCs_Successful from log""",
 
         "audit": f"{with_clause('warc_listing', 'audit_log', 'stored_files')}, {_AUDIT} select * from audit",
+        "audit_again": f"""{with_clause('warc_listing', 'audit_log', 'stored_files')}, {_AUDIT}
+select * from audit union all by name select folder as seed_id, 'unexpected' as state from extras""",
         "extra_folders": f"""{with_clause('audit_log', 'stored_files')}
 select distinct folder from stored_files where folder <> 'metadata.csv' and folder not in (select Seed_ID from audit_log)""",
         "audit_csv": f"""{with_clause('warc_listing', 'audit_log', 'stored_files')}, {_AUDIT}

@@ -14,7 +14,7 @@ from pyspark.sql.types import BinaryType
 from ..functions import columns as C
 from ..functions import fixed_values as V
 from ..operators import audit, grouping, identifiers, inventory, reports, status, warcs
-from ..sources import readers, streams, writers
+from ..sources import readers, seedlog, stores, streams, writers
 from .inputs import CHECKED_AT, END, INPUTS, LISTING_ORDER, START, derive, listing_between, load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,10 +103,59 @@ def log_scan(spark, folder):
     return readers.read_log(spark, _saved_log(spark, folder))
 
 
+@_query
+def log_segments(spark, folder):
+    """A first log, two runs, a reset, compaction and a third run, each adding only its own lines."""
+    log, number = _place(spark, "segments"), F.col("Seed_ID").cast("long")
+    _event_log(spark, folder).write.parquet(f"{log}-lines")
+    done = spark.read.parquet(f"{log}-lines")
+    seedlog.append(done.withColumns({name: F.lit(V.TBD) for name in V.STATUS_COLUMNS}), log)
+    seedlog.append(done.filter(number % 2 == 0), log)
+    seedlog.append(done.filter(number % 3 == 0), log)
+    again = seedlog.read(spark, log).filter(number % 10 == 0)
+    seedlog.append(status.reset_seeds(again, again.select(F.col("Seed_ID").alias("seed_id"))).withColumn(V.COMPLETE, F.lit(V.TBD)), log)
+    seedlog.compact(spark, log)
+    seedlog.append(done.filter(number % 20 == 0), log)
+    return readers.as_saved(seedlog.read(spark, log))
+
+
+@_query
+def quarantine(spark, folder):
+    """Landed lines and pages: what could be read, and what could not with its digest."""
+    landed = _place(spark, "landed")
+    load(spark, folder, "landed_lines").select("line").write.text(f"{landed}/responses")
+    stores.write_files(load(spark, folder, "landed_pages").withColumn("folder", F.lit("listing")), landed)
+    schema, keys = "report_type string, entity_id string, status int, body string", ["report_type", "entity_id"]
+    answers = readers.read_answers(spark, f"{landed}/responses", schema, keys)
+    pages = readers.read_landed_listing(spark, f"{landed}/listing")
+    kept = answers.select(F.lit("answer").alias("source"), F.col("entity_id").alias("name"), F.length("body").cast("bigint").alias("chars"),
+                          F.sha2(F.col("body").cast("binary"), 256).alias("sha256"))
+    listed = readers.listed_rows(pages).select(F.lit("listed").alias("source"), F.col("filename").alias("name"), F.col("size").alias("chars"),
+                                               F.lit(None).cast("string").alias("sha256"))
+    lines = readers.broken_lines(spark, f"{landed}/responses", schema, keys, "response line")
+    broken = readers.broken_pages(pages).withColumn("name", F.col("file")).unionByName(lines)
+    return kept.unionByName(listed).unionByName(broken.select(*kept.columns))
+
+
+def _empty_folders(names: DataFrame, root: str) -> None:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name in batch["folder"]:
+                place, inner = streams.open_path(f"{root}/{name}")
+                place.create_dir(inner, recursive=True)
+            yield batch
+
+    names.mapInPandas(run, "folder string").write.format("noop").mode("overwrite").save()
+
+
 @_query
 def file_listing(spark, folder):
-    paths = load(spark, folder, "store_paths").select("path")
-    return readers.below_root(paths, "file:///stores/2001/").select("folder", "name")
+    root = _place(spark, "store #1%")
+    files = load(spark, folder, "store_paths").select("folder", "name", "body")
+    stores.write_files(files.filter("name is not null"), root)
+    _empty_folders(files.filter("name is null").select("folder"), root)
+    return readers.below_root(stores.list_store(spark, root).select("path", "length", "is_folder"), root).select(
+        "folder", "name", "length", "is_folder")
 
 
 @_query
@@ -128,7 +177,7 @@ def report_sink(spark, folder):
     place = _place(spark, "store")
     saved = reports.saved_reports(reports.classify_reports(load(spark, folder, "report_responses")))
     writers.write_report_files(saved.withColumnRenamed("report_name", "kept").withColumn(
-        "report_name", F.concat("ord", F.lit(" #"), "kept")), place).write.format("noop").mode("overwrite").save()
+        "report_name", F.concat("ord", F.lit(" #"), "kept")), place)
     files = readers.list_files(spark, place)
     return files.select("folder", F.substring_index("name", "#", -1).alias("name"), "length")
 
@@ -401,6 +450,23 @@ def _audited_store(spark, folder) -> DataFrame:
                              load(spark, folder, "stored_files"))
 
 
+@_query
+def audit_again(spark, folder):
+    """A second audit that takes from the first what has not changed since."""
+    place, log = _place(spark, "audit"), load(spark, folder, "audit_log")
+
+    def once(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{place}/{name}")
+        return spark.read.parquet(f"{place}/{name}")
+
+    expected = once(_expected(spark, folder), "expected")
+    first, second = load(spark, folder, "earlier_files"), load(spark, folder, "stored_files")
+    before = once(audit.audit_store(expected, log, first), "first")
+    states_before = once(audit.folder_states(expected, log, first), "first-states")
+    states = once(audit.folder_states(expected, log, second), "states")
+    return audit.audit_changes(expected, log, second, None, states, before, states_before).drop("ord")
+
+
 @_query
 def audit_csv(spark, folder):
     return audit.completeness_report(_audited_store(spark, folder))

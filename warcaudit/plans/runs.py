@@ -8,9 +8,10 @@ Landed data, below one folder:
   the collection, the job or the crawl definition that the report is about
 * ``warcs/`` the gzip WARC files
 
-Results, below another: ``preservation_download/<seed>/…``, ``listing`` (the pages as one table), and
-``metadata``, ``seeds_log``, ``pending``, ``reports``, ``events``, ``warc_work``, ``warc_results``,
-``completeness_check``, ``rejects``, ``reconcile``, ``success_tally`` and ``qa_review`` with one folder per run.
+Results, below another: ``preservation_download/<seed>/…``, ``listing`` (the pages as one table), ``seeds_log`` (the
+segments of the log), and ``metadata``, ``pending``, ``reports``, ``events``, ``warc_work``, ``warc_results``,
+``audit_listing``, ``stored``, ``expected``, ``states``, ``audit``, ``completeness_check``, ``quarantine``, ``rejects``, ``reconcile``, ``success_tally`` and ``qa_review`` with
+one folder per run.
 """
 
 from __future__ import annotations
@@ -23,22 +24,23 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import fixed_values as V
-from ..operators import audit, identifiers, inventory, reports, status, warcs
-from ..sources import readers, streams, writers
+from ..operators import audit, grouping, identifiers, inventory, reports, status, warcs
+from ..sources import readers, seedlog, stores, streams, writers
 
 RESPONSE = "report_type string, entity_id string, status int, body string"
-# Over how many tasks the answers of one collection are dealt.
-DEALS = 16
+# Seeds that may ask for the same answer in one task; an answer that more seeds share is copied once for so many.
+SEEDS_AN_ANSWER = 5_000
 
 
 @dataclass(frozen=True)
 class Batch:
-    """Where a batch is, and its store window."""
+    """Where a batch is, its store window, and whether landed data that cannot be read stop it (``strict``)."""
 
     landed: str
     results: str
     start: str
     end: str
+    strict: bool = False
 
     def __post_init__(self) -> None:
         C.check_window(self.start, self.end)
@@ -51,14 +53,13 @@ class Batch:
     def listing(self) -> str:
         return f"{self.results}/listing"
 
+    @property
+    def log(self) -> str:
+        return f"{self.results}/seeds_log"
+
     def place(self, table: str, run: str) -> str:
         return f"{self.results}/{table}/{run}"
 
-    def saved_logs(self) -> list[str]:
-        """Runs whose seed log was written to its end, oldest first."""
-        logs = f"{self.results}/seeds_log"
-        return [name for name in streams.child_names(logs) if "_SUCCESS" in streams.child_names(f"{logs}/{name}")]
-
 
 def _place(step: int, page="", position=0, part: int = 0):
     """Where a message goes in its cell: by step, then by listing place."""
@@ -68,26 +69,33 @@ def _place(step: int, page="", position=0, part: int = 0):
 
 def prepare_log(spark: SparkSession, batch: Batch, run: str) -> None:
     """Write the metadata file and the first seed log, with AIP ids and nothing done yet."""
-    writers.write_listing(readers.read_listing(spark, f"{batch.landed}/listing"), batch.listing)
+    writers.write_listing(readers.read_landed_listing(spark, f"{batch.landed}/listing", batch.strict), batch.listing)
     listing = readers.read_listing_table(spark, batch.listing)
     names = inventory.rows_in_window(listing, batch.start, batch.end).select("seed_id").distinct()
-    landed = readers.read_seed_reports(spark, f"{batch.landed}/seed_reports")
+    landed = readers.read_seed_reports(spark, f"{batch.landed}/seed_reports", batch.strict)
     answers = names.join(landed, "seed_id", "left").withColumn("status", F.coalesce("status", F.lit(404)))
     writers.write_metadata(identifiers.aip_metadata(answers, batch.end), batch.place("metadata", run))
     ids = readers.read_report(spark, batch.place("metadata", run))
     seeds = inventory.seed_inventory(listing, batch.start, batch.end)
-    writers.write_log(inventory.enrich(seeds, ids).orderBy("Seed_ID"), batch.place("seeds_log", run))
+    seedlog.append(inventory.enrich(seeds, ids), batch.log)
+
+
+def quarantine(spark: SparkSession, batch: Batch, landed_listing: DataFrame) -> DataFrame:
+    """What of the landed data could not be read: pages, lines and seed reports, with file and digest but without content."""
+    seeds = readers.read_answers(spark, f"{batch.landed}/seed_reports", readers.SEED_RESPONSE, ["seed_id"])
+    return (readers.broken_pages(landed_listing)
+            .unionByName(readers.broken_lines(spark, f"{batch.landed}/seed_reports", readers.SEED_RESPONSE, ["seed_id"], "seed report line"))
+            .unionByName(readers.broken_lines(spark, f"{batch.landed}/responses", RESPONSE, ["report_type", "entity_id"], "response line"))
+            .unionByName(readers.broken_seed_reports(seeds)))
 
 
 def process_reports(spark: SparkSession, batch: Batch, seeds: DataFrame, rows: DataFrame, run: str) -> DataFrame:
     """Save and redact the metadata reports of seeds (``seed_id, aip_id``); returns the log events.
 
     The classified responses are written down once, seed reports already redacted; files and events are both made
-    from that table. A collection is shared by many seeds, so its answers are dealt out by seed as well.
+    from that table. Answers that very many seeds share, be it those of a collection, a job or a definition, are dealt out by seed.
     """
-    landed = readers.read_answers(spark, f"{batch.landed}/responses", RESPONSE, ["report_type", "entity_id"])
-    shared = F.col("report_type").isin("coll", "collscope")
-    dealt = landed.withColumn("deal", F.explode(F.when(shared, F.sequence(F.lit(0), F.lit(DEALS - 1))).otherwise(F.array(F.lit(0)))))
+    landed = readers.read_answers(spark, f"{batch.landed}/responses", RESPONSE, ["report_type", "entity_id"], batch.strict)
     columns = ["seed_id", "aip_id", "report_type", "entity_id", "ord"]
     table = batch.place("reports", run)
 
@@ -96,9 +104,7 @@ def process_reports(spark: SparkSession, batch: Batch, seeds: DataFrame, rows: D
                          F.col(entity).alias("entity_id"), place.alias("ord"))
 
     def answered(wanted: DataFrame) -> DataFrame:
-        deal = F.when(shared, F.pmod(F.xxhash64("seed_id"), F.lit(DEALS)).cast("int")).otherwise(0)
-        joined = wanted.select(*columns, deal.alias("deal")).join(
-            dealt, ["report_type", "entity_id", "deal"], "left").drop("deal")
+        joined = grouping.dealt_join(wanted.select(*columns), landed, ["report_type", "entity_id"], "seed_id", SEEDS_AN_ANSWER)
         return reports.classify_reports(joined.withColumn("status", F.coalesce("status", F.lit(404))))
 
     collections = inventory.seed_collections(rows).join(seeds, "seed_id")
@@ -124,7 +130,7 @@ def process_reports(spark: SparkSession, batch: Batch, seeds: DataFrame, rows: D
 
     reports.redact_seed_reports(classified.unionByName(definitions)).write.mode("overwrite").parquet(table)
     everything = spark.read.parquet(table)
-    writers.write_report_files(reports.saved_reports(everything), batch.store).write.mode("overwrite").format("noop").save()
+    writers.write_report_files(reports.saved_reports(everything), batch.store)
     redaction = reports.redaction_events(seeds, everything).select("seed_id", _place(4, part=1).alias("ord"), "log_column", "message")
     return reports.report_events(everything).unionByName(no_report).unionByName(redaction)
 
@@ -158,16 +164,17 @@ def process_warcs(spark: SparkSession, batch: Batch, rows: DataFrame, run: str)
 def run_batch(spark: SparkSession, batch: Batch, size: int | None = None) -> str:
     """Process the seeds that are still pending, at most ``size`` of them, and audit the store.
 
-    Starts from the last saved seed log, or makes the first one. What an interrupted run left of a pending
-    seed is dropped and made again; finished seeds are left alone, also those that finished with errors.
-    Returns the name of the run.
+    Starts from the seed log, or makes the first one. What an interrupted run left of a pending seed is dropped and made
+    again; finished seeds are left alone, also those that finished with errors. The run adds the lines of its own
+    seeds to the log. Returns the name of the run.
     """
     batch = _qualified(spark, batch)
-    if not batch.saved_logs():
+    # Report files of an earlier run that were committed but not all moved yet.
+    stores.finish_writes(spark, batch.store)
+    if seedlog.newest(batch.log) is None:
         prepare_log(spark, batch, "run-0000")
-    earlier = batch.saved_logs()
-    run = f"run-{int(earlier[-1][4:]) + 1:04d}"
-    log = readers.read_log(spark, batch.place("seeds_log", earlier[-1]))
+    run = f"run-{seedlog.newest(batch.log) + 1:04d}"
+    log = seedlog.read(spark, batch.log)
     chosen = status.pending_seeds(log) if size is None else status.pending_batch(log, size)
     # Written down: the choice is used many times, and the log it comes from can be large.
     chosen.select(F.col("Seed_ID").alias("seed_id"), F.coalesce("AIP_ID", F.lit(V.TBD)).alias("aip_id")).write.mode(
@@ -189,8 +196,7 @@ def run_batch(spark: SparkSession, batch: Batch, size: int | None = None) -> str
     done = (facts.join(folded, "Seed_ID", "full").join(judged, "Seed_ID", "left")
             .withColumn(V.COMPLETE, F.coalesce(V.COMPLETE, F.lit(V.COMPLETED)))
             .join(seeds.select(F.col("seed_id").alias("Seed_ID"), F.col("aip_id").alias("AIP_ID")), "Seed_ID", "left"))
-    others = log.join(seeds.select(F.col("seed_id").alias("Seed_ID")), "Seed_ID", "left_anti")
-    writers.write_log(others.unionByName(done).orderBy("Seed_ID"), batch.place("seeds_log", run))
+    seedlog.append(done, batch.log)
     write_audit(spark, batch, run)
     return run
 
@@ -207,20 +213,49 @@ def _qualified(spark: SparkSession, batch: Batch) -> Batch:
     return replace(batch, landed=place(batch.landed), results=place(batch.results))
 
 
+def reset_seeds(spark: SparkSession, batch: Batch, seeds: DataFrame) -> None:
+    """Put seeds (``seed_id``) back to where nothing was done for them: the next run makes them again.
+
+    Only their lines are added to the log. Their folders are dropped by that run, which is what makes it repeatable.
+    """
+    batch = _qualified(spark, batch)
+    again = seeds.select(F.col("seed_id").alias("Seed_ID")).distinct()
+    lines = seedlog.read(spark, batch.log).join(again, "Seed_ID", "left_semi").withColumn(V.COMPLETE, F.lit(V.TBD))
+    seedlog.append(status.reset_seeds(lines, seeds), batch.log)
+
+
 def write_audit(spark: SparkSession, batch: Batch, run: str) -> DataFrame:
     """Compare the store with the whole listing, write what was found and return the typed completeness table.
 
-    Reads the landed pages themselves, so that the check does not rest on what the run made of them. Also written, one
-    folder per run: rows that could not be placed (``rejects``), whether the listing's own total is met
-    (``reconcile``), successes by WARC (``success_tally``) and seeds to look at (``qa_review``).
+    Reads the landed pages themselves, so that the check does not rest on what the run made of them; they, the store's
+    files and folders, and the typed table are each worked out once and written down. What has not changed since the
+    last run's audit is taken from there. Also written, one folder per run:
+    landed data that could not be read (``quarantine``), rows that could not be placed (``rejects``), whether the
+    listing's own total is met (``reconcile``), successes by WARC (``success_tally``) and seeds to look at (``qa_review``).
     """
-    log = readers.read_log(spark, batch.place("seeds_log", run))
-    listing = readers.read_listing(spark, f"{batch.landed}/listing")
-    files = readers.list_files(spark, batch.store)
+    def once(rows: DataFrame, table: str) -> DataFrame:
+        rows.write.mode("overwrite").parquet(batch.place(table, run))
+        return spark.read.parquet(batch.place(table, run))
+
+    log = seedlog.read(spark, batch.log)
+    landed = readers.read_landed_listing(spark, f"{batch.landed}/listing", batch.strict)
+    landed = once(landed.drop("url", "md5", "collection", "crawl"), "audit_listing")
+    listing = readers.listed_rows(landed)
+    files = once(stores.list_store(spark, batch.store), "stored")
     expected = inventory.expected_seeds(listing, log, batch.start, batch.end)
-    store = audit.audit_store(expected, log, files)
+    stored, made = readers.files_of(files), readers.folders_of(files)
+    expected = once(expected, "expected")
+    states = once(audit.folder_states(expected, log, stored, made), "states")
+    earlier = [r for r in streams.child_names(f"{batch.results}/audit") if r < run and "_SUCCESS" in streams.child_names(batch.place("audit", r))]
+    if earlier:
+        before, states_before = (spark.read.parquet(batch.place(table, earlier[-1])) for table in ("audit", "states"))
+        store = audit.audit_changes(expected, log, stored, made, states, before, states_before)
+    else:
+        store = audit.audit_store(expected, log, stored, made)
+    store = once(store, "audit")
     writers.write_completeness(audit.completeness_report(store), batch.place("completeness_check", run))
-    for table, rows in (("rejects", inventory.rejected_rows(listing)),
+    for table, rows in (("quarantine", quarantine(spark, batch, landed)),
+                        ("rejects", inventory.rejected_rows(listing)),
                         ("reconcile", inventory.reconcile(listing, log, batch.start, batch.end)),
                         ("success_tally", status.success_tally(log).drop("WARC_Filenames", *V.PROGRESS_COLUMNS)),
                         ("qa_review", audit.qa_failures(audit.qa_review(log, store)))):

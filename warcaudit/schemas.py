@@ -30,8 +30,6 @@ SEED_REPORT = T.ArrayType(T.StructType([
         T.StringType(), T.ArrayType(T.StructType([T.StructField("value", T.StringType())])))),
 ]))
 
-REPORT_FIELDS = T.MapType(T.StringType(), T.StringType())
-
 # One line of the seed log.
 SEED_LOG = T.StructType([
     *_texts(["AIP_ID", "Seed_ID", "AIT_Collection", "Job_ID"]),
