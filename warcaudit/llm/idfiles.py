@@ -36,7 +36,7 @@ from .store import require
 
 MARK = b"TOKENIDS"
 _FOOTER = struct.Struct("<BxxxxxxxQQQqQQ8s")
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 """Pieces of texts whose ids each Python worker keeps; twice as many at most."""
 LONG_PIECE = 64
 TOGETHER = 1_000
@@ -91,14 +91,19 @@ class Encoder:
         self.older: dict[str, bytes] = {}
 
     @staticmethod
-    def cut(text: str) -> list[str]:
-        """Pieces of a text that are encoded by themselves."""
+    def cut(text: str, whole: set[str]) -> list[str]:
+        """Pieces of a text that are encoded by themselves; those that the library has to get alone also go to ``whole``."""
         if not _UNUSUAL.search(text) and "<|" not in text:
             return _CUT.findall(text.lower())
         pieces = []
         for part in text.encode().split():
             part = part.decode()
-            pieces += [part] if _UNUSUAL.search(part) or "<|" in part else _CUT.findall(part.lower())
+            if _UNUSUAL.search(part) or "<|" in part:
+                # It may hold several words, or a special token.
+                pieces.append(part)
+                whole.add(part)
+            else:
+                pieces += _CUT.findall(part.lower())
         return pieces
 
     def _asked(self, texts: list[str]) -> list[np.ndarray]:
@@ -123,16 +128,17 @@ class Encoder:
         collecting = gc.isenabled()
         gc.disable()
         try:
-            split = [self.cut(t) for t in texts]
+            whole: set[str] = set()
+            split = [self.cut(t, whole) for t in texts]
             known = self.young
             missing = set().union(*split).difference(known)
-            for p in missing & self.older.keys():
+            again = missing & self.older.keys()
+            for p in again:
                 known[p] = self.older[p]
-            # What the library gets whole is asked for alone: it may hold several words, or a special token.
-            new = missing.difference(known)
-            whole = [p for p in new if _UNUSUAL.search(p) or "<|" in p]
-            self._learn(list(new.difference(whole)))
-            known.update(zip(whole, (x.tobytes() for x in self._asked(whole))))
+            new = missing - again
+            self._learn(list(new - whole))
+            alone = list(new & whole)
+            known.update(zip(alone, (x.tobytes() for x in self._asked(alone))))
             last = np.array([end], self.kind).tobytes()
             found = [b"".join(map(known.__getitem__, pieces)) + last for pieces in split]
             for p in new:
@@ -177,17 +183,21 @@ class Ranges:
         return out
 
 
-def _ranges(rows: DataFrame, parts: int, count: int) -> Ranges:
-    """Begins of so many ranges with about as many bytes each, by a sample of documents chosen by hash.
+def _ranges(rows: DataFrame, least: int, range_bytes: int) -> tuple[Ranges, int]:
+    """Begins of ranges with about as many bytes each, and how many ranges, by a sample of documents chosen by hash.
 
     The sample only decides how evenly the work is dealt, not what is written. Copies are counted, not collected.
     """
-    chosen = F.pmod(F.xxhash64("doc", "digest"), F.lit(1 << 30)) < F.lit(int(min(1, SAMPLE / max(count, 1)) * (1 << 30)))
-    found = (rows.filter(F.col("doc").isNotNull() & chosen).groupBy("doc", "digest").agg(F.sum("size").alias("size")).collect())
+    steps = 1 << 30
+    share = min(steps, max(1, SAMPLE * steps // max(rows.count(), 1)))
+    chosen = F.pmod(F.xxhash64("doc", "digest"), F.lit(steps)) < F.lit(share)
+    found = rows.filter(F.col("doc").isNotNull() & chosen).groupBy("doc", "digest").agg(F.sum("size").alias("size")).collect()
     found = sorted((r.doc, r.digest, r.size) for r in found)
-    upto = np.cumsum([r[2] for r in found])
-    begins = np.searchsorted(upto, np.arange(1, parts) * (upto[-1] if len(upto) else 0) / parts) if found else []
-    return Ranges([found[k][:2] for k in sorted(set(begins))])
+    upto = np.cumsum([r[2] for r in found], dtype=np.int64)
+    total = int(upto[-1]) if found else 0
+    parts = max(least, -(-total * steps // (share * range_bytes)))
+    begins = np.searchsorted(upto, np.arange(1, parts) * total / parts) if found else []
+    return Ranges([found[k][:2] for k in sorted(set(begins))]), parts
 
 
 def encoded(doc: Column, digest: Column, text: Column, path: str, end: int, ranges: Ranges) -> Column:
@@ -315,13 +325,11 @@ def write(docs: DataFrame, path: str, end: int, folder: str, ident: str = "doc_i
     spark = docs.sparkSession
     rows = docs.select(F.col(ident).cast("bigint").alias("doc"), F.col(text).alias("text")).select(
         "doc", F.xxhash64("text").alias("digest"), (F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 1).alias("size"), "text")
-    count, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     least = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    parts = max(least, -(-total // range_bytes))
-    ranges = _ranges(rows.drop("text"), parts, count)
+    ranges, parts = _ranges(rows.drop("text"), least, range_bytes)
     # Only ids are dealt, and each text is encoded once, where it lies.
     ids = rows.select("doc", "digest", encoded(F.col("doc"), F.col("digest"), F.col("text"), path, end, ranges).alias("found"))
-    dealt = ids.select("doc", "digest", "found.part", "found.ids").repartitionById(int(parts), F.col("part"))
+    dealt = ids.select("doc", "digest", "found.part", "found.ids").repartitionById(parts, F.col("part"))
     dealt = dealt.sortWithinPartitions("part", F.col("doc").asc_nulls_last(), "digest").select("part", "doc", "ids")
     dealt.mapInArrow(_write_files(folder, encoder(path).kind), MANIFEST).write.parquet(f"{folder}/manifest")
     return read_manifest(spark, folder)
