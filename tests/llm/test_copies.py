@@ -113,6 +113,39 @@ def test_repeats_in_crowds_segments_and_odd_rows(spark, monkeypatch):
     assert suffixes.remove_repeats(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("crowd", [3, 40])
+def test_a_passage_with_many_variants_and_surroundings(spark, monkeypatch, crowd):
+    """Its anchors are crowded, and stay so for several rounds of splitting."""
+    rnd = random.Random(4)
+    line = "".join(rnd.choice("abcdefgh ") for _ in range(260))
+    rows = []
+    for k in range(250):
+        copy = list(line)
+        for _ in range(rnd.randrange(4)):
+            copy[rnd.randrange(260)] = rnd.choice("XYZ")
+        a, b = sorted((rnd.randrange(261), rnd.randrange(261)))
+        part = copy[a if rnd.random() < 0.5 else 0: b if rnd.random() < 0.3 else 260]
+        rows.append((k, "".join(rnd.choice("ijklmnop") for _ in range(rnd.randrange(120))) + "".join(part) + "".join(rnd.choice("qrstuv") for _ in range(rnd.randrange(120)))))
+    monkeypatch.setattr(suffixes, "CROWD", crowd)
+    assert digests(suffixes.remove_repeats(spark.createDataFrame(rows, TEXTS).repartition(6))) == brute.without_repeats(rows)
+
+
+@pytest.mark.parametrize("known", [(0, 0), (38, 0), (19, 37), (0, 75), (76, 0)])
+def test_parts_of_a_run_hold_all_its_windows_once(known):
+    rnd = random.Random(2)
+    before, behind = known
+    for _ in range(50):
+        place = rnd.randint(before, suffixes.LENGTH)
+        last = place - before
+        first = max(0, place - (suffixes.LENGTH - suffixes.GRAM - behind))
+        body = bytes(rnd.choice(b"abc") for _ in range(last + suffixes.LENGTH))[first:]
+        parts = list(suffixes._split(1, body, before, behind, place - first, suffixes.LENGTH, suffixes.GRAM))
+        assert sorted(s for _, start, size, _, _ in parts for s in range(start, start + size)) == list(range(last - first + 1))
+        for _, start, size, b, a in parts:
+            assert before + behind + (b > before or a > behind) <= b + a or before + behind == suffixes.LENGTH - suffixes.GRAM
+            assert all(b <= place - first - s and a <= suffixes.LENGTH - suffixes.GRAM - (place - first - s) for s in range(start, start + size))
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_interval_expansion(seed):
     rnd = random.Random(seed)
