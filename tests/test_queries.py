@@ -41,9 +41,20 @@ def test_window_reaches_the_scan(spark):
     assert "l_extendedprice" not in text.split("ReadSchema")[1].split("\n")[0]
 
 
-def test_inventory_shuffles_twice_and_does_not_sort_the_whole(spark):
+def test_inventory_shuffles_once_and_does_not_sort_the_whole(spark):
     text = plan(registry.seed_inventory(spark, FOLDER))
-    assert text.count("Exchange hashpartitioning(seed_id") == 2 and text.count("Exchange") == 2
+    assert text.count("Exchange hashpartitioning(seed_id") == 1 and text.count("Exchange") == 1
+
+
+def test_messages_are_folded_in_one_shuffle(spark):
+    text = plan(registry.fold_log(spark, FOLDER))
+    assert text.count("Exchange hashpartitioning(seed_id") == 1 and text.count("Exchange") == 1
+
+
+def test_reports_are_read_and_redacted_without_python(spark):
+    for name in ("report_scan", "redact", "crawl_definitions", "listing_scan"):
+        text = plan(registry.all_queries()[name](spark, FOLDER))
+        assert "Python" not in text and "Pandas" not in text and "Arrow" not in text, name
 
 
 def test_nothing_is_broadcast_by_order(spark):

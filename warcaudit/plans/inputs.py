@@ -163,6 +163,28 @@ select concat('page-', c_custkey, '.json') as name, c_custkey % 7 <> 0 as good,
             else concat(chr(123), '"count": 1,', chr(10), ' "files": [', chr(123), '"filename": "A-SEED', c_custkey, '-1.warc.gz", "size": ', c_custkey, chr(125), ']', chr(125)) end as body
 from {customer} where c_custkey <= 500""",
 
+    # A landed batch: its WARCs. Some are outside the window, not landed, not gzip, or listed with another MD5.
+    "batch_warcs": """
+select page_id, seed, collection, job, concat('page-', seed % 10, '.json') as page,
+       concat('AIT-', collection, '-TEST-JOB', job, '-SEED', seed, '-20230410000000-', page_id, '-h3.warc.gz') as filename,
+       length(html) * 1000 as size, case when page_id % 31 = 0 then '2023-07-01T00:00:00Z' else '2023-04-20T00:00:00Z' end as store_time,
+       html as content, page_id % 31 <> 0 as inside, page_id % 13 <> 0 as landed, page_id % 17 <> 0 as zipped, page_id % 19 <> 0 as same
+from (select page_id, html, page_id - page_id % 5 as seed, page_id - page_id % 3 as job, (page_id - page_id % 5) % 7 as collection from {pages}) p""",
+
+    # Answers to the report calls of that batch: none for some jobs, failed and empty ones for some seeds and collections.
+    "batch_answers": """
+select 'seed' as report_type, cast(seed as string) as entity_id, case when seed % 3 = 2 then 404 else 200 end as status,
+       case seed % 3 when 0 then concat('url,login_password', chr(10), 'x,PASS', chr(10)) when 1 then concat('url', chr(10), 'x', chr(10)) else '' end as body
+from (select distinct page_id - page_id % 5 as seed from {pages}) s
+union all select 'seedscope', cast(seed as string), 200, case when seed % 2 = 0 then '' else concat('scope', chr(10), 'a', chr(10)) end
+from (select distinct page_id - page_id % 5 as seed from {pages}) s
+union all select 'coll', cast(c as string), 200, concat('id', chr(10), c, chr(10)) from (select distinct (page_id - page_id % 5) % 7 as c from {pages}) c
+union all select 'collscope', cast(c as string), 200, case when c in (1, 3) then '' else concat('scope', chr(10), 'all', chr(10)) end
+from (select distinct (page_id - page_id % 5) % 7 as c from {pages}) c
+union all select 'crawljob', cast(job as string), 200, concat('id,crawl_definition', chr(10), job, ',', 9000 + job % 11, chr(10))
+from (select distinct page_id - page_id % 3 as job from {pages}) j where job % 14 <> 0
+union all select distinct 'crawldef', cast(9000 + (page_id - page_id % 3) % 11 as string), 200, concat('id', chr(10), '9', chr(10)) from {pages}""",
+
     # What a store holds: files of seeds, files in folders deeper down, and folders without files, which have no name here.
     "store_paths": """
 select cast(p_partkey as string) as folder, concat('aip-', p_partkey, case when p_size % 2 = 0 then '_coll.csv' else ' #1%.csv' end) as name,

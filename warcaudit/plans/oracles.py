@@ -174,7 +174,9 @@ union all select 'listing page', name, length(body), sha256(body) from landed_pa
 select folder, name, strlen(body) as length, false as is_folder from store_paths where name is not null
 union all select distinct folder, null, null::bigint, true from store_paths
 union all select folder, 'more', null, true from store_paths where name like 'more/%'""",
-        "metadata_sink": f"{with_clause('seed_reports')}, {_METADATA} select * from meta",
+        "metadata_sink": f"""{with_clause('seed_reports')}, {_METADATA}
+select *, row_number() over (order by case when Department = 'magil' then 1 when Department in ('hargrett', 'russell') then 2 else 3 end,
+                                      Folder)::integer as line from meta""",
         "report_sink": f"""{with_clause('report_responses')}
 select seed_id as folder, {_REPORT_NAME} as name, strlen(body) as length from report_responses where status = 200 and body <> ''""",
 
@@ -252,6 +254,30 @@ select filename, case when same and reason is null then md5(content) end as unzi
        case when same and reason is null then strlen(content) end as unzipped_size,
        case when same and reason is null then 'Successfully unzipped ' || filename
             when same then 'Error unzipping ' || filename || ': ' || reason end as message from tried""",
+        "whole_run": f"""{with_clause('batch_warcs')},
+listed as (select *, seed % 4 <> 0 as known, case when seed % 4 = 0 then 'TBD' else 'magil-ggp-' || seed || '-2023-05' end as aip from batch_warcs where inside),
+jobs as (select seed, aip, job, min(page_id) as o from listed group by all),
+job_errors as (select seed, string_agg(aip || '_' || job || '_crawljob.csv API Error 404; Error: crawl job ' || job
+                   || ' was not downloaded so can''t get crawl definition id', '; ' order by o) as text from jobs where job % 14 = 0 group by seed),
+files as (select *, 'Successfully downloaded ' || filename as got, 'API Error 404: can''t download ' || filename as missed,
+                 case when landed and same then case when zipped then 'Successfully unzipped ' || filename
+                      else 'Error unzipping ' || filename || ': not in gzip format' end end as unzip from listed),
+seeds as (select f.seed, aip, known, collection, sum(size)::bigint as b, count(*) as n, string_agg(filename, '|' order by page_id) as names,
+                 (select string_agg(job::varchar, '|' order by o) from jobs j where j.seed = f.seed) as job_list,
+                 concat_ws('; ', case when f.seed % 3 = 2 then aip || '_seed.csv API Error 404' end, any_value(e.text)) as report_errors,
+                 concat_ws('; ', case when f.seed % 2 = 0 then aip || '_seedscope.csv' end, case when collection in (1, 3) then aip || '_collscope.csv' end) as empties,
+                 string_agg(case when landed then got else missed end, '; ' order by page_id) as downloads,
+                 bool_or(not landed) as download_error, bool_or(landed and not same) as fixity_error,
+                 string_agg(unzip, '; ' order by page_id) as unzips, bool_or(landed and same and not zipped) as unzip_error
+          from files f left join job_errors e on e.seed = f.seed group by f.seed, aip, known, collection),
+judged as (select *, concat_ws('; ', case when report_errors <> '' then 'Metadata_Report_Errors' end, case when download_error then 'WARC_Download_Errors' end,
+                  case when fixity_error then 'WARC_Fixity_Errors' end, case when unzip_error then 'WARC_Unzip_Errors' end) as found from seeds)
+select aip as AIP_ID, seed::varchar as Seed_ID, collection::varchar as AIT_Collection, job_list as Job_ID, ({_gb('b')})::varchar as Size_GB, n::varchar as WARCs,
+       names as WARC_Filenames, case when report_errors = '' then 'Successfully downloaded all metadata reports' else report_errors end as Metadata_Report_Errors,
+       case when empties = '' then 'No empty reports' else empties end as Metadata_Report_Empty,
+       case seed % 3 when 0 then 'Successfully redacted' when 1 then 'No login columns to redact' else 'No seeds.csv to redact' end as Seed_Report_Redaction,
+       downloads as WARC_Download_Errors, coalesce(unzips, 'TBD') as WARC_Unzip_Errors,
+       case when found = '' then 'Successfully completed' else found end as Complete from judged""",
         "warc_stage_outcomes": f"""{with_clause('payloads')},
 a as (select *, md5(content) as actual, case when page_id % 23 = 0 then 'not located' when listed_md5 is null then 'not located'
         when page_id % 13 = 0 then 'not downloaded' when page_id % 17 = 0 then 'fixity unknown'
@@ -299,9 +325,10 @@ select seed_id as "Seed", aip_id as "AIP", {", ".join(f'{_word(c)} as "{h}"' for
 union all
 select folder, {", ".join(["'Not expected'"] * 10)} from extras""",
         "completeness_sink": f"""{with_clause('warc_listing', 'audit_log', 'stored_files')}, {_AUDIT}
-select seed_id as "Seed", aip_id as "AIP", {", ".join(f'{_word(c)} as "{h}"' for h, c in _HEADERS)} from audit
+select seed_id as "Seed", aip_id as "AIP", {", ".join(f'{_word(c)} as "{h}"' for h, c in _HEADERS)},
+       row_number() over (order by o)::integer as line from (select audit.*, o from audit join tested using (seed_id))
 union all
-select folder, {", ".join(["'Not expected'"] * 10)} from extras""",
+select folder, {", ".join(["'Not expected'"] * 10)}, ((select count(*) from audit) + row_number() over (order by folder))::integer from extras""",
         "qa_review": f"""{with_clause('warc_listing', 'audit_log', 'stored_files')}, {_AUDIT},
 both_kinds as (select * from audit union all by name select folder as seed_id, 'unexpected' as state from extras),
 logged as (select Seed_ID as seed_id, WARCs, Metadata_Report_Errors, Seed_Report_Redaction, AIP_ID as log_aip,

@@ -15,6 +15,7 @@ from ..functions import columns as C
 from ..functions import fixed_values as V
 from ..operators import audit, grouping, identifiers, inventory, reports, status, warcs
 from ..sources import readers, seedlog, stores, streams, writers
+from . import runs
 from .inputs import CHECKED_AT, END, INPUTS, LISTING_ORDER, START, derive, listing_between, load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,14 +163,14 @@ def file_listing(spark, folder):
 def metadata_sink(spark, folder):
     place = _place(spark, "metadata")
     writers.write_metadata(aip_metadata(spark, folder), place)
-    return readers.read_report(spark, place)
+    return readers.read_report_lines(spark, place)
 
 
 @_query
 def completeness_sink(spark, folder):
     place = _place(spark, "completeness")
     writers.write_completeness(audit_csv(spark, folder), place)
-    return readers.read_report(spark, place)
+    return readers.read_report_lines(spark, place)
 
 
 @_query
@@ -366,6 +367,33 @@ def decompress(spark, folder):
             .select("filename", "unzipped_md5", "unzipped_size", "message"))
 
 
+@_query
+def whole_run(spark, folder):
+    """A batch landed as files, run from its listing to its audit: the seed log without the column that tells the time."""
+    landed = _place(spark, "landed")
+    listed, zipped = load(spark, folder, "batch_warcs"), F.col("zipped")
+    content = F.when(zipped, _zipped(F.col("content").cast("binary"))).otherwise(F.col("content").cast("binary"))
+    warc_rows = listed.withColumn("content", content).withColumn(
+        "md5", F.when(F.col("same"), F.md5("content")).otherwise(F.repeat(F.lit("x"), F.lit(32))))
+    _files(warc_rows.filter("landed").select("filename", "content"), f"{landed}/warcs")
+    entry = F.struct("page_id", "filename", F.col("collection").cast("int").alias("collection"), F.col("job").cast("string").alias("crawl"), "size",
+                     F.col("store_time").alias("store-time"), F.array(F.concat(F.lit("https://example.org/"), "filename")).alias("locations"),
+                     F.create_map(F.lit("md5"), F.col("md5")).alias("checksums"))
+    pages = warc_rows.groupBy(F.lit("listing").alias("folder"), F.col("page").alias("name")).agg(F.array_agg(entry).alias("files"))
+    ordered = F.array_sort("files", lambda a, b: F.signum(a["page_id"] - b["page_id"]).cast("int"))
+    total = F.lit(listed.count()).alias("count")
+    stores.write_files(pages.withColumn("body", F.to_json(F.struct(total, ordered.alias("files")))), landed)
+    report = F.to_json(F.array(F.struct(F.struct(
+        F.array(F.struct(F.when(F.col("seed") % 4 == 0, "Other").otherwise(V.DEPARTMENTS[0].collector).alias("value"))).alias("Collector"),
+        F.array(F.struct(F.concat(F.lit("Title "), "seed").alias("value"))).alias("Title")).alias("metadata"))))
+    seeds = listed.select("seed").distinct().select(F.col("seed").cast("string").alias("seed_id"), F.lit(200).alias("status"), report.alias("body"))
+    seeds.write.json(f"{landed}/seed_reports")
+    load(spark, folder, "batch_answers").write.json(f"{landed}/responses")
+    batch = runs.Batch(landed, f"{landed}-results", "2023-04-01", "2023-05-02")
+    runs.run_batch(spark, batch)
+    return readers.as_saved(seedlog.read(spark, batch.log)).drop(V.FIXITY_ERRORS)
+
+
 @_query
 def warc_stage_outcomes(spark, folder):
     rows = load(spark, folder, "payloads").select(
