@@ -199,6 +199,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """The same dealt out by a key: a small file is one split, and one core would make all texts of a derived input."""
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return table(spark, folder, name).repartition(tasks, key)
+
+
 def derive(spark: SparkSession, folder: str, text: str, **given: DataFrame) -> DataFrame:
     """Run a text with table names in braces over the given tables."""
     used = {name: given.get(name) if name in given else table(spark, folder, name)
@@ -209,9 +215,9 @@ def derive(spark: SparkSession, folder: str, text: str, **given: DataFrame) -> D
 INPUTS["earlier_files"] = INPUTS["earlier_files"].replace("{stored}", f"({INPUTS['stored_files']})")
 
 
-def load(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def load(spark: SparkSession, folder: str, name: str, **given: DataFrame) -> DataFrame:
     """One of the derived inputs."""
-    return derive(spark, folder, INPUTS[name])
+    return derive(spark, folder, INPUTS[name], **given)
 
 
 def listing_between(spark: SparkSession, folder: str, start: str, end: str) -> DataFrame:

@@ -16,7 +16,7 @@ from ..functions import fixed_values as V
 from ..operators import audit, grouping, identifiers, inventory, reports, status, warcs
 from ..sources import readers, seedlog, stores, streams, writers
 from . import runs
-from .inputs import CHECKED_AT, END, INPUTS, LISTING_ORDER, START, derive, listing_between, load
+from .inputs import CHECKED_AT, END, INPUTS, LISTING_ORDER, START, dealt, derive, listing_between, load
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -42,7 +42,7 @@ def listing_scan(spark, folder):
             named_struct('filename', concat('second-', filename), 'collection', cast(collection as int), 'crawl', crawl,
                          'size', size + 1, 'store-time', store_time, 'locations', cast(array() as array<string>),
                          'checksums', map('sha1', crawl, 'md5', cast(null as string)))))) as body
-        from (""" + INPUTS["warc_listing"] + ") w")
+        from (""" + INPUTS["warc_listing"] + ") w", lineitem=dealt(spark, folder, "lineitem", "l_orderkey"))
     return readers.parse_listing(pages)
 
 
@@ -64,7 +64,7 @@ def report_scan(spark, folder):
         select o_orderkey, case when o_orderkey % 2 = 0
             then concat('id,crawl_definition,note\n', o_orderkey, ',', o_custkey, ',"a, ""b""\nnext"\n', o_orderkey + 1, ',,plain\n')
             else concat('id,login_password\r\n', o_orderkey, ',', o_orderpriority, '\r\n') end as body
-        from {orders}""")
+        from {orders}""", orders=dealt(spark, folder, "orders", "o_orderkey"))
     rows = readers.parse_reports(bodies, ["o_orderkey"])
     return rows.select("o_orderkey", "row", F.explode("fields").alias("name", "value"))
 
@@ -293,7 +293,7 @@ def crawl_definitions(spark, folder):
 
 @_query
 def redact(spark, folder):
-    responses = load(spark, folder, "seed_responses")
+    responses = load(spark, folder, "seed_responses", customer=dealt(spark, folder, "customer", "c_custkey"))
     safe = reports.redact_seed_reports(reports.classify_reports(responses))
     events = reports.redaction_events(responses, safe)
     return events.join(safe.select("seed_id", "report_name", "body"), "seed_id").select("seed_id", "report_name", "body", "message")
@@ -327,7 +327,7 @@ def _files(rows: DataFrame, root: str) -> DataFrame:
 
 @_query
 def fixity(spark, folder):
-    payloads = load(spark, folder, "payloads")
+    payloads = load(spark, folder, "payloads", pages=dealt(spark, folder, "pages", "page_id"))
     content = F.when(F.col("page_id") % 10 != 3, F.col("content").cast("binary"))
     stored = _files(payloads.select("filename", content.alias("content")), _place(spark, "payloads"))
     listed = payloads.select("filename", F.col("listed_md5").alias("md5"))
@@ -348,7 +348,7 @@ def _zipped(content: pd.Series) -> pd.Series:
 @_query
 def decompress(spark, folder):
     root, number = _place(spark, "warcs"), F.col("page_id")
-    rows = load(spark, folder, "payloads").select("filename", "page_id", F.col("content").cast("binary").alias("content"))
+    rows = load(spark, folder, "payloads", pages=dealt(spark, folder, "pages", "page_id")).select("filename", "page_id", F.col("content").cast("binary").alias("content"))
     zipped = rows.withColumn("zipped", _zipped("content"))
     stored = (F.when(number % 19 == 0, F.lit(None))
               .when(number % 13 == 0, F.col("zipped").substr(F.lit(1), F.length("zipped") - 5))
@@ -371,7 +371,7 @@ def decompress(spark, folder):
 def whole_run(spark, folder):
     """A batch landed as files, run from its listing to its audit: the seed log without the column that tells the time."""
     landed = _place(spark, "landed")
-    listed, zipped = load(spark, folder, "batch_warcs"), F.col("zipped")
+    listed, zipped = load(spark, folder, "batch_warcs", pages=dealt(spark, folder, "pages", "page_id")), F.col("zipped")
     content = F.when(zipped, _zipped(F.col("content").cast("binary"))).otherwise(F.col("content").cast("binary"))
     warc_rows = listed.withColumn("content", content).withColumn(
         "md5", F.when(F.col("same"), F.md5("content")).otherwise(F.repeat(F.lit("x"), F.lit(32))))
