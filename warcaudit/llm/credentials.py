@@ -2,8 +2,8 @@
 
 Three kinds stand for themselves: ``assign`` (a value given to a password-like name), ``access`` (an access key id)
 and ``hex`` (a long lower-case hexadecimal run). Parts that prove nothing alone are reported only beside what they
-belong to: the candidates of a text are interval-joined, and a pair is linked when at most ``SCOPE`` characters lie
-between its spans.
+belong to: the candidates of a text are interval-joined, each finding its neighbours by halving in the others' sorted
+places, and a pair is linked when at most ``SCOPE`` characters lie between its spans.
 
 * ``identifier``, an upper-case identifier with a digit, and ``key``, a mixed run of 32 to 128 characters, need each
   other or the strong part they lack: an identifier needs a key, an assigned or a hexadecimal secret; a key needs an
@@ -21,10 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.csvtext import let
 from .store import free_name, require
 
 SCOPE = 200
 MASK = "[REDACTED]"
+BITS = 8
+PIECE = 1 << BITS
 
 # The patterns of the base kinds, the group that is measured, and its least length.
 BASE = {
@@ -43,58 +46,106 @@ KINDS = [*BASE, *WEAK]
 SPAN = "array<struct<start: int, rank: int, end: int>>"
 
 
+def _running(values: Column, join) -> Column:
+    """Running sums or maxima of an array, worked out in blocks of about the root of its size.
+
+    Arrays can only be added to by copying them, so one pass over many values would take the square of their number.
+    """
+    def grown(done: Column, x: Column) -> Column:
+        now = join(done["last"], x)
+        return F.struct(now.alias("last"), F.concat(done["all"], F.array(now)).alias("all"))
+
+    def plain(part: Column) -> Column:
+        return F.aggregate(part, F.struct(F.lit(0).alias("last"), F.array().cast("array<int>").alias("all")), grown, lambda done: done["all"])
+
+    def whole(values: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(values).cast("double"))), F.lit(1)).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(values) / width).cast("int") - 1), lambda k: plain(F.slice(values, k * width + 1, width)))
+        return let(blocks, lambda blocks: let(plain(F.transform(blocks, lambda block: F.element_at(block, -1))), lambda upto: F.flatten(
+            F.transform(blocks, lambda block, k: F.transform(block, lambda x: F.when(k == 0, x).otherwise(join(F.get(upto, k - 1), x)))))))
+
+    return F.when(F.size(values) > 0, let(values, whole)).otherwise(F.array().cast("array<int>"))
+
+
 def _spans(text: Column, kind: str) -> Column:
     """Spans of all matches of a kind, left to right: matches and the pieces between them, summed up by length."""
     pattern, group, least = {**BASE, **WEAK}[kind]
     zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"),
                           F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("whole"),
                           F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("part"))
-    none = F.array().cast("array<struct<start: int, rank: int, end: int, size: int>>")
+    sizes = F.transform(F.filter(zipped, lambda x: x["whole"].isNotNull()), lambda x: F.struct(
+        (F.length(x["gap"]) + F.length(x["whole"])).alias("step"), F.length(x["whole"]).alias("whole"), F.length(x["part"]).alias("part")))
 
-    def step(done: Column, x: Column) -> Column:
-        start = done["at"] + F.length(x["gap"])
-        end = start + F.length(x["whole"])
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"),
-                        F.length(x["part"]).alias("size"))
-        return F.when(x["whole"].isNull(), done).otherwise(
-            F.struct(end.alias("at"), F.concat(done["found"], F.array(span)).alias("found")))
+    def placed(sizes: Column) -> Column:
+        ends = _running(F.transform(sizes, lambda x: x["step"]), lambda a, x: a + x)
+        spans = F.zip_with(sizes, ends, lambda x, end: F.when(x["part"] >= least, F.struct(
+            (end - x["whole"]).alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"))))
+        return F.filter(spans, lambda s: s.isNotNull())
 
-    found = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda done: done["found"])
-    kept = F.filter(found, lambda s: s["size"] >= least)
-    return F.when(text.rlike(pattern), F.transform(kept, lambda s: F.struct(s["start"], s["rank"], s["end"]))
-                  .cast(SPAN)).otherwise(F.array().cast(SPAN))
+    return F.when(text.rlike(pattern), let(sizes, placed).cast(SPAN)).otherwise(F.array().cast(SPAN))
 
 
-def _between(a: Column, b: Column) -> Column:
-    """Characters between two spans, below zero where they overlap."""
-    return F.greatest(a["start"], b["start"]) - F.least(a["end"], b["end"])
+def _below(ordered: Column, value: Column) -> Column:
+    """How many numbers of an ordered array are below a value, by halving."""
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(ordered) + F.lit(1.0))).cast("int"))
+    start = F.struct(F.lit(0).alias("low"), F.size(ordered).alias("high"))
 
+    def halved(done: Column, _: Column) -> Column:
+        middle = F.shiftright(done["low"] + done["high"], 1)
+        less = F.get(ordered, middle) < value
+        narrow = F.struct(F.when(less, middle + 1).otherwise(done["low"]).alias("low"), F.when(less, done["high"]).otherwise(middle).alias("high"))
+        return F.when(done["low"] < done["high"], narrow).otherwise(done)
 
-def _near(span: Column, others: Column) -> Column:
-    """Whether one of the other spans is within the scope of a span and is not the same text."""
-    return F.exists(others, lambda o: _between(o, span).between(0, SCOPE))
+    return F.when(F.size(ordered) > 0, F.aggregate(steps, start, halved, lambda done: done["low"])).otherwise(0)
 
 
-def _complete(span: Column, who: Column, what: Column) -> Column:
-    """Whether both parts of an endpoint are in its scope; where one is inside it, they must not be the same text."""
-    def inside(o: Column) -> Column:
-        return (o["start"] >= span["start"]) & (o["end"] <= span["end"])
+def _table(spans: Column) -> Column:
+    """Spans by start and by end, and those starts and ends alone, so that neighbours are found by halving."""
+    by_end = F.array_sort(F.transform(spans, lambda s: F.struct(s["end"], s["start"])))
+    return let(F.struct(F.array_sort(spans).alias("by_start"), by_end.alias("by_end")), lambda t: F.struct(
+        t["by_start"].alias("by_start"), t["by_end"].alias("by_end"), F.transform(t["by_start"], lambda s: s["start"]).alias("starts"),
+        F.transform(t["by_end"], lambda s: s["end"]).alias("ends")))
+
+
+def _near(span: Column, table: Column) -> Column:
+    """Whether a span of a table ends or starts within the scope of a span without overlapping it."""
+    def some(ordered: Column, low: Column, high: Column) -> Column:
+        return F.coalesce(let(_below(ordered, low), lambda k: F.get(ordered, k) <= high), F.lit(False))
 
-    def scope(others: Column) -> Column:
-        return F.filter(others, lambda o: inside(o) | _between(o, span).between(0, SCOPE))
+    return some(table["ends"], span["start"] - SCOPE, span["start"]) | some(table["starts"], span["end"], span["end"] + SCOPE)
 
-    return (_near(span, who) & _near(span, what)) | F.exists(
-        scope(who), lambda w: F.exists(scope(what), lambda k: _between(w, k) >= 0))
+
+def _scope(span: Column, table: Column) -> Column:
+    """Least end and greatest start of the spans of a table that are inside a span or near it; null without any."""
+    def some(rows: Column, ordered: Column, low: Column, high: Column) -> Column:
+        return let(_below(ordered, low), lambda k: F.slice(rows, k + 1, F.greatest(_below(ordered, high + 1) - k, F.lit(0))))
+
+    before = F.transform(some(table["by_end"], table["ends"], span["start"] - SCOPE, span["start"]), lambda o: F.struct(o["start"], o["end"]))
+    later = F.filter(some(table["by_start"], table["starts"], span["start"], span["end"] + SCOPE),
+                     lambda o: (o["end"] <= span["end"]) | (o["start"] >= span["end"]))
+    both = F.concat(before, F.transform(later, lambda o: F.struct(o["start"], o["end"])))
+    return let(both, lambda both: F.struct(F.array_min(F.transform(both, lambda o: o["end"])).alias("end"),
+                                           F.array_max(F.transform(both, lambda o: o["start"])).alias("start")))
+
+
+def _complete(span: Column, who: Column, what: Column) -> Column:
+    """Whether both parts of an endpoint are in its scope; where one is inside it, they must not be the same text."""
+    # Two spans that do not overlap are there if the least end is not behind the greatest start.
+    apart = let(F.struct(_scope(span, who).alias("who"), _scope(span, what).alias("what")), lambda s: (
+        (s["who"]["end"] <= s["what"]["start"]) | (s["what"]["end"] <= s["who"]["start"])))
+    return (_near(span, who) & _near(span, what)) | F.coalesce(apart, F.lit(False))
 
 
 def _linked(found: Column) -> Column:
-    """Weak spans that have their other parts in scope, as a struct of arrays by kind."""
+    """Weak spans that have their other parts in scope."""
     of = {k: found[k] for k in KINDS}
     who = F.concat(of["access"], of["identifier"])
     what = F.concat(of["assign"], of["hex"], of["key"])
-    return F.concat(F.filter(of["identifier"], lambda span: _near(span, what)),
-                    F.filter(of["key"], lambda span: _near(span, F.concat(who, of["endpoint"]))),
-                    F.filter(of["endpoint"], lambda span: _complete(span, who, what)))
+    tables = F.struct(_table(who).alias("who"), _table(what).alias("what"), _table(F.concat(who, of["endpoint"])).alias("partner"))
+    weak = let(tables, lambda t: F.concat(F.filter(of["identifier"], lambda span: _near(span, t["what"])),
+                                          F.filter(of["key"], lambda span: _near(span, t["partner"])),
+                                          F.filter(of["endpoint"], lambda span: _complete(span, t["who"], t["what"]))))
+    return F.when(F.size(of["identifier"]) + F.size(of["key"]) + F.size(of["endpoint"]) > 0, weak).otherwise(F.array().cast(SPAN))
 
 
 def scan(docs: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame:
@@ -124,17 +175,30 @@ def listed(spans: Column) -> Column:
         ":", F.get(names, s["rank"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _cut(pieces: Column, low: Column, high: Column) -> Column:
+    """Characters of a text from one place to another, from its pieces of ``PIECE`` characters.
+
+    Characters of a text are counted from its beginning; in a short piece that takes no time.
+    """
+    first, last = F.shiftright(low, BITS), F.shiftright(high - 1, BITS)
+    skipped, size = low.bitwiseAND(F.lit(PIECE - 1)), high - low
+    ends = F.substring(F.get(pieces, last), F.lit(1), (high - 1).bitwiseAND(F.lit(PIECE - 1)) + 1)
+    several = F.concat(F.substring(F.get(pieces, first), skipped + 1, F.lit(PIECE)),
+                       F.array_join(F.slice(pieces, first + 2, F.greatest(last - first - 1, F.lit(0))), ""), ends)
+    return F.when(size <= 0, F.lit("")).when(first == last, F.substring(F.get(pieces, first), skipped + 1, size)).otherwise(several)
+
+
 def redacted(text: Column, spans: Column) -> Column:
     """The text with a mask in place of every run of spans; a text without spans, or null, as it is."""
-    def step(done: Column, s: Column) -> Column:
-        fresh = s["start"] >= done["at"]
-        between = F.when(fresh & ((s["start"] > done["at"]) | (done["at"] == 0)), F.concat(
-            F.substring(text, done["at"] + 1, s["start"] - done["at"]), F.lit(MASK))).otherwise(F.lit(""))
-        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), F.concat(done["out"], between).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, step, rest)).otherwise(text)
+    def masked(t: Column) -> Column:
+        reach = _running(F.transform(t["spans"], lambda s: s["end"]), lambda a, x: F.greatest(a, x))
+        return let(F.struct(reach.alias("reach"), t["spans"].alias("spans"), t["pieces"].alias("pieces")), lambda t: F.concat(F.array_join(F.transform(
+            t["spans"], lambda s, k: let(F.when(k == 0, 0).otherwise(F.get(t["reach"], k - 1)), lambda before: F.when(
+                (k == 0) | (s["start"] > before), F.concat(_cut(t["pieces"], before, s["start"]), F.lit(MASK))).otherwise(F.lit("")))), ""),
+            _cut(t["pieces"], F.element_at(t["reach"], -1), F.length(text))))
+
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    return F.when(F.size(spans) > 0, let(F.struct(pieces.alias("pieces"), spans.alias("spans")), masked)).otherwise(text)
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
