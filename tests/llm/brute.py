@@ -117,3 +117,43 @@ def periodic_runs(words, exponent=4, least=6):
                 out.append((i, size, q))
             i = j + 1
     return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def linked_spans(text, base, weak, scope):
+    """Spans of weak parts that have what they lack in scope: every pair of parts is compared."""
+    found = {kind: [(m.start(), m.end()) for m in re.finditer(pattern, text or "", re.A) if len(m[group]) >= least]
+             for kind, (pattern, group, least) in {**base, **weak}.items()}
+
+    def between(a, b):
+        return max(a[0], b[0]) - min(a[1], b[1])
+
+    def near(a, others):
+        return [o for o in others if 0 <= between(a, o) <= scope]
+
+    who, what = found["access"] + found["identifier"], found["assign"] + found["hex"] + found["key"]
+    out = [("identifier", s) for s in found["identifier"] if near(s, what)]
+    out += [("key", s) for s in found["key"] if near(s, who + found["endpoint"])]
+    for s in found["endpoint"]:
+        inner = [[o for o in some if s[0] <= o[0] and o[1] <= s[1] or o in near(s, some)] for some in (who, what)]
+        if near(s, who) and near(s, what) or any(between(w, k) >= 0 for w in inner[0] for k in inner[1]):
+            out.append(("endpoint", s))
+    return {f"{kind}:{a}:{b}" for kind, (a, b) in out}
+
+
+def greedy_tiles(doc, item, least):
+    """Of all pairs of places the longest match of unmarked words, then the first, until none has so many words."""
+    used_doc, used_item, out = set(), set(), []
+    while True:
+        best = None
+        for a in range(len(doc)):
+            for i in range(len(item)):
+                n = 0
+                while (a + n < len(doc) and i + n < len(item) and doc[a + n] == item[i + n] and a + n not in used_doc and i + n not in used_item):
+                    n += 1
+                if n >= least and (best is None or n > best[2]):
+                    best = (a, i, n)
+        if best is None:
+            return out
+        out.append(best)
+        used_doc.update(range(best[0], best[0] + best[2]))
+        used_item.update(range(best[1], best[1] + best[2]))

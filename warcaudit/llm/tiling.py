@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import free_name, require, written
@@ -60,48 +60,117 @@ def item_windows(benchmark: DataFrame, item: str, text: str, least: int) -> Data
         F.sort_array(F.collect_list("at")).alias("places"))
 
 
+def _by_window(seeds: list[tuple[list[int], list[int]]]) -> list[tuple[list[int], list[int]]]:
+    """Seeds that share a place, which are the same window, as one; most often there are none."""
+    counts = [(sum(len(s[k]) for s in seeds), len({p for s in seeds for p in s[k]})) for k in (0, 1)]
+    if all(n == distinct for n, distinct in counts):
+        return seeds
+    root = list(range(len(seeds)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    seen: dict[tuple[int, int], int] = {}
+    for number, seed in enumerate(seeds):
+        for side in (0, 1):
+            for place in seed[side]:
+                root[find(seen.setdefault((side, place), number))] = find(number)
+    merged: dict[int, tuple[set[int], set[int]]] = {}
+    for number, seed in enumerate(seeds):
+        both = merged.setdefault(find(number), (set(), set()))
+        for side in (0, 1):
+            both[side].update(seed[side])
+    return [(sorted(d), sorted(i)) for d, i in merged.values()]
+
+
+def _sequence(places: list[list[int]]) -> tuple[np.ndarray, int]:
+    """Which window begins at each word from the first place on, numbered from 1 and 0 for none, and that place."""
+    sizes = [len(p) for p in places]
+    at = np.concatenate([np.asarray(p, np.int64) for p in places])
+    first = int(at.min())
+    # One place more at either end, where nothing begins.
+    line = np.zeros(int(at.max()) - first + 3, np.int64)
+    line[at - first + 1] = np.repeat(np.arange(1, len(places) + 1), sizes)
+    return line, first - 1
+
+
+def _matches(seeds: list[tuple[list[int], list[int]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document word, item word and windows of every match: windows next to each other that cannot be extended.
+
+    A match begins where the windows before it differ, so places are paired only across different windows before
+    them: of a text that repeats itself, one match for each diagonal and not one for each of its words.
+    """
+    doc, doc_first = _sequence([d for d, _ in seeds])
+    item, item_first = _sequence([i for _, i in seeds])
+    before_doc = before_item = None
+    starts = []
+    for d, i in seeds:
+        d, i = np.unique(np.asarray(d, np.int64)) - doc_first, np.unique(np.asarray(i, np.int64)) - item_first
+        before_doc, before_item = doc[d - 1], item[i - 1]
+        for value in np.unique(before_doc):
+            # No window before both is two different ends.
+            other = i if value == 0 else i[before_item != value]
+            mine = d[before_doc == value]
+            starts.append((np.repeat(mine, len(other)), np.tile(other, len(mine))))
+    at, of = (np.concatenate(x) for x in zip(*starts))
+    values = np.concatenate([doc, item]).astype(np.uint64)
+    # A place of the document where nothing begins is like no place of the item.
+    values[: len(doc)][doc == 0] = np.uint64(len(seeds) + 1)
+    hashes = Hashes((values + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    length = np.ones(len(at), np.int64)
+    for step in 1 << np.arange(int(min(len(doc), len(item))).bit_length())[::-1]:
+        inside = (at + length + step <= len(doc)) & (of + length + step <= len(item))
+        x, y = np.where(inside, at + length, 0), np.where(inside, of + length, 0) + len(doc)
+        same = inside & (hashes.of(x, x + np.where(inside, step, 0)) == hashes.of(y, y + np.where(inside, step, 0)))
+        length[same] += step
+    return at + doc_first, of + item_first, length
+
+
 def tiles(seeds: list[tuple[list[int], list[int]]], size: int) -> list[tuple[int, int, int]]:
     """Greedy tiling: ``(document word, item word, words)`` of the tiles, longest first, then by place.
 
     ``seeds`` has for each shared window its places in the document and in the item. Seeds next to each other on a
     diagonal are one match; a match that has lost words to longer tiles is cut to its unmarked stretches, which stay
-    candidates while a whole window fits.
+    candidates while a whole window fits. It ends when no window fits into what is left of the item.
     """
-    at = np.concatenate([np.repeat(np.asarray(d, np.int64), len(i)) for d, i in seeds])
-    of = np.concatenate([np.tile(np.asarray(i, np.int64), len(d)) for d, i in seeds])
-    order = np.lexsort((at, at - of))
-    at, of = at[order], of[order]
-    new = np.ones(len(at), bool)
-    new[1:] = (np.diff(at) != 1) | (np.diff(at - of) != 0)
-    begin = np.flatnonzero(new)
-    lengths = np.diff(np.append(begin, len(at))) + size - 1
-    matches = {}
-    for a, i, n in zip(at[begin].tolist(), of[begin].tolist(), lengths.tolist()):
-        matches.setdefault(n, []).append((a, i))
-    used_at, used_of, out = set(), set(), []
-    while matches:
+    at, of, windows = _matches(_by_window(seeds))
+    words = windows + size - 1
+    first_at, first_of = int(at.min()), int(of.min())
+    used_at = np.zeros(int((at + words).max()) - first_at, bool)
+    used_of = np.zeros(int((of + words).max()) - first_of, bool)
+    matches: dict[int, list[tuple[int, int]]] = {}
+    for n in np.unique(words).tolist():
+        here = words == n
+        matches[n] = list(zip((at[here] - first_at).tolist(), (of[here] - first_of).tolist()))
+    out = []
+    room = True
+    while matches and room:
         n = max(matches)
         for a, i in sorted(matches.pop(n)):
-            free = [a + k not in used_at and i + k not in used_of for k in range(n)]
-            if all(free):
-                out.append((a, i, n))
-                used_at.update(range(a, a + n))
-                used_of.update(range(i, i + n))
+            taken = used_at[a: a + n] | used_of[i: i + n]
+            if not taken.any():
+                out.append((a + first_at, i + first_of, n))
+                used_at[a: a + n] = used_of[i: i + n] = True
+                if not _fits(used_of, size):
+                    room = False
+                    break
                 continue
-            k = 0
-            while k < n:
-                if not free[k]:
-                    k += 1
-                    continue
-                end = k
-                while end < n and free[end]:
-                    end += 1
+            edges = np.flatnonzero(np.diff(np.concatenate([[True], taken, [True]])))
+            for k, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
                 if end - k >= size:
                     matches.setdefault(end - k, []).append((a + k, i + k))
-                k = end
     return out
 
 
+def _fits(used: np.ndarray, size: int) -> bool:
+    """Whether so many words next to each other are unmarked."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], used, [True]])))
+    return bool(len(edges)) and int((edges[1::2] - edges[::2]).max()) >= size
+
+
 FOUND = "n_tiles long, n_covered long, coverage double, tiles array<struct<doc_word: long, item_word: long, words: long>>"
 
 
@@ -155,7 +224,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                          "tiles": pa.array([rows], pa.list_(pa.struct([(c, pa.int64()) for c in ("doc_word", "item_word", "words")])))})
 
     item_kind = benchmark.schema[item].dataType.simpleString()
-    # Windows of one item that together cannot reach the share need no tiling: a window covers at most `size` words.
+    # Windows that together cannot reach the share need no tiling: each place of one covers at most `size` words of the
+    # item. The sum needs no shuffle of its own, and most pairs share only a common phrase.
+    reach = F.sum(F.size("places") * F.col("size")).over(Window.partitionBy("doc", "item_id", "n_words"))
+    shared = shared.withColumn("reach", reach).filter(F.col("reach") >= share * F.col("n_words")).drop("reach")
     pairs = shared.groupBy("doc", "item_id", "n_words").applyInArrow(
         tile, f"doc {kind}, item_id {item_kind}, n_words long, {FOUND}")
     return (pairs.filter(F.col("coverage") >= share).withColumnRenamed("doc", id_col)
