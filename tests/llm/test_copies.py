@@ -225,6 +225,45 @@ def test_every_copy_of_a_passage_has_a_row(spark):
     assert got == {(i, p, p + 60, i - 1) for i, starts in places.items() for p in starts}
 
 
+def variant_rows(seed, variants, copies, length=60, slots=(0.45, 0.55)):
+    """A passage whose words at some places differ by variant, each variant in several documents of other words."""
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    base, texts = [word() for _ in range(length)], []
+    for _ in range(variants):
+        passage = list(base)
+        for slot in slots:
+            passage[int(slot * length)] = word()
+        texts += [" ".join([*[word() for _ in range(50)], *passage, *[word() for _ in range(50)]]) for _ in range(copies)]
+    ids = list(range(len(texts)))
+    rnd.shuffle(ids)
+    return list(zip(ids, texts))
+
+
+@pytest.mark.parametrize(("variants", "copies", "more"), [
+    (10, 20, {}), (50, 10, {}), (10, 20, {"slots": (0.2, 0.8)}), (30, 3, {}), (10, 20, {"length": 100}), (10, 20, {"slots": (0.05, 0.5)})])
+def test_variants_of_a_passage_do_not_hide_each_other(spark, variants, copies, more):
+    """Every document holds an exact copy of another's passage, but most that share its shingles have another variant."""
+    rows = variant_rows(variants, variants, copies, **more)
+    found = passages.near_passages(spark.createDataFrame(rows, TEXTS).repartition(4)).collect()
+    caught = {i for r in found for i in (r.doc_id, r.of_doc_id)}
+    assert len(rows) - len(caught) <= 0.01 * len(rows)
+    assert all(r.similarity >= 0.8 for r in found)
+
+
+def test_documents_with_passages_are_those_of_all_pairs(spark):
+    """All pairs of documents compared in full: the query finds the same documents, and pairs that are among those."""
+    rows = variant_rows(3, 6, 4, slots=(0.3, 0.6)) + [(100 + i, t) for i, t in variant_rows(4, 12, 1, slots=(0.5,))]
+    rows += [(200 + i, t) for i, t in variant_rows(5, 1, 5, length=48)] + [(300, "a b c"), (301, None)]
+    texts = {i: t.encode() for i, t in rows if t}
+    shingles = {}
+    for i, t in texts.items():
+        shingles[i] = passages._sequence(np.array([0, len(t)]), np.frombuffer(t, np.uint8))[0]
+    want = {(b, a) for a in shingles for b in shingles if a < b and passages.passages(shingles[a], shingles[b], 50, 0.8)}
+    found = {(r.doc_id, r.of_doc_id) for r in passages.near_passages(spark.createDataFrame(rows, TEXTS)).collect()}
+    assert found <= want and {i for pair in found for i in pair} == {i for pair in want for i in pair} and len(want) > 50
+
+
 def test_neighbouring_passages_do_not_hide_each_other():
     a = np.arange(116, dtype=np.uint64)  # shingles of 120 words
     b = a.copy()
