@@ -11,7 +11,7 @@ import pytest
 
 from warcaudit.operators import inventory, warcs
 from warcaudit.plans import runs
-from warcaudit.sources import readers, seedlog
+from warcaudit.sources import readers, seedlog, tables
 
 MAGIL = "Map and Government Information Library"
 RUSSELL = "Richard B. Russell Library for Political Research and Studies"
@@ -179,12 +179,17 @@ def test_damaged_landed_data_is_set_aside(spark, landed, tmp_path):
 def test_seeds_that_are_reset_are_made_again(spark, landed, tmp_path):
     batch = runs.Batch(landed, str(tmp_path / "out"), "2023-04-01", "2023-05-02")
     runs.run_batch(spark, batch)
+    state = lambda: {(r.seed_id, r.report_name.rsplit("_", 1)[1], r.outcome) for r in tables.read(spark, batch.reports_now, runs.REPORT_STATE).collect()}
+    before_reset = state()
+    assert ("11", "seed.csv", "saved") in before_reset and ("22", "crawljob.csv", "error") in before_reset and ("33", "seedscope.csv", "empty") in before_reset
     runs.reset_seeds(spark, batch, spark.createDataFrame([("22",)], "seed_id string"))
+    assert state() == {r for r in before_reset if r[0] != "22"}
     log = by_seed(spark, batch)
     assert log["22"].Complete == "TBD" and log["22"].WARC_Unzip_Errors == "TBD" and log["11"].Complete == "Successfully completed"
     before = os.stat(f"{batch.store}/11/{warc(11, 501, 1)[:-3]}").st_mtime_ns
     os.makedirs(f"{batch.store}/empty")
     run = runs.run_batch(spark, batch)
+    assert state() == before_reset
     assert run == "run-0003" and spark.read.parquet(f"{batch.log}/000003-rows").count() == 1
     assert os.stat(f"{batch.store}/11/{warc(11, 501, 1)[:-3]}").st_mtime_ns == before
     report = {r[0]: r[1] for r in readers.read_report(spark, batch.place("completeness_check", run)).collect()}

@@ -217,6 +217,9 @@ select seed_id, report_name, case when status <> 200 then 'error' when body = ''
 from named""",
         "report_names": f"""{with_clause('report_responses')}
 select entity_id, report_type, {_REPORT_NAME} as report_name from report_responses""",
+        "reports_by_seed": f"""{with_clause('report_responses')}
+select seed_id, {_REPORT_NAME} as report_name, case when status <> 200 then 'error' when body = '' then 'empty' else 'saved' end as outcome,
+       case when seed_id::bigint % 7 = 0 then 'again' end as redaction from report_responses where seed_id::bigint % 11 <> 0""",
         "crawl_definitions": f"""{with_clause('warc_listing', 'crawl_jobs', 'held_definitions')}, {_LISTED},
 needed as (select distinct seed_id, crawl as job_id from placed),
 linked as (select n.seed_id, n.job_id, j.crawl_definition from needed n

@@ -14,7 +14,7 @@ from pyspark.sql.types import BinaryType
 from ..functions import columns as C
 from ..functions import fixed_values as V
 from ..operators import audit, grouping, identifiers, inventory, reports, status, warcs
-from ..sources import readers, seedlog, stores, streams, writers
+from ..sources import readers, seedlog, stores, streams, tables, writers
 from . import runs
 from .inputs import CHECKED_AT, END, INPUTS, LISTING_ORDER, START, dealt, derive, listing_between, load
 
@@ -283,6 +283,19 @@ def report_names(spark, folder):
     return rows.select("entity_id", "report_type", "report_name")
 
 
+@_query
+def reports_by_seed(spark, folder):
+    """Outcomes of all reports by seed, then some seeds made again and some reset without rows."""
+    place, number = _place(spark, "reports-now"), F.col("seed_id").cast("long")
+    found = reports.classify_reports(load(spark, folder, "report_responses")).withColumn("redaction", F.lit(None).cast("string"))
+    tables.replace_seeds(spark, place, found, found.select("seed_id"), runs.REPORT_STATE, buckets=32)
+    again = found.filter(number % 7 == 0).withColumn("redaction", F.lit("again"))
+    tables.replace_seeds(spark, place, again, again.select("seed_id"), runs.REPORT_STATE, buckets=32)
+    dropped = found.filter(number % 11 == 0)
+    tables.replace_seeds(spark, place, dropped.limit(0), dropped.select("seed_id"), runs.REPORT_STATE, buckets=32)
+    return tables.read(spark, place, runs.REPORT_STATE)
+
+
 @_query
 def crawl_definitions(spark, folder):
     listed = inventory.accepted_rows(load(spark, folder, "warc_listing"))

@@ -9,7 +9,7 @@ Landed data, below one folder:
 * ``warcs/`` the gzip WARC files
 
 Results, below another: ``preservation_download/<seed>/…``, ``listing`` (the pages as one table), ``seeds_log`` (the
-segments of the log), and ``metadata``, ``pending``, ``reports``, ``events``, ``warc_work``, ``warc_results``,
+segments of the log), ``reports_now`` (what became of each report, by seed), and ``metadata``, ``pending``, ``reports``, ``events``, ``warc_work``, ``warc_results``,
 ``audit_listing``, ``stored``, ``expected``, ``states``, ``audit``, ``completeness_check``, ``quarantine``, ``rejects``, ``reconcile``, ``success_tally`` and ``qa_review`` with
 one folder per run.
 """
@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import fixed_values as V
 from ..operators import audit, grouping, identifiers, inventory, reports, status, warcs
-from ..sources import readers, seedlog, stores, streams, writers
+from ..sources import readers, seedlog, stores, streams, tables, writers
 
 RESPONSE = "report_type string, entity_id string, status int, body string"
+REPORT_STATE = "seed_id string, report_name string, outcome string, redaction string"
 # Seeds that may ask for the same answer in one task; an answer that more seeds share is copied once for so many.
 SEEDS_AN_ANSWER = 5_000
 
@@ -57,6 +58,11 @@ class Batch:
     def log(self) -> str:
         return f"{self.results}/seeds_log"
 
+    @property
+    def reports_now(self) -> str:
+        """What became of every report of every seed, as of its last run: a table by seed."""
+        return f"{self.results}/reports_now"
+
     def place(self, table: str, run: str) -> str:
         return f"{self.results}/{table}/{run}"
 
@@ -131,6 +137,7 @@ def process_reports(spark: SparkSession, batch: Batch, seeds: DataFrame, rows: D
     reports.redact_seed_reports(classified.unionByName(definitions)).write.mode("overwrite").parquet(table)
     everything = spark.read.parquet(table)
     writers.write_report_files(reports.saved_reports(everything), batch.store)
+    tables.replace_seeds(spark, batch.reports_now, everything, seeds, REPORT_STATE)
     redaction = reports.redaction_events(seeds, everything).select("seed_id", _place(4, part=1).alias("ord"), "log_column", "message")
     return reports.report_events(everything).unionByName(no_report).unionByName(redaction)
 
@@ -216,11 +223,13 @@ def _qualified(spark: SparkSession, batch: Batch) -> Batch:
 def reset_seeds(spark: SparkSession, batch: Batch, seeds: DataFrame) -> None:
     """Put seeds (``seed_id``) back to where nothing was done for them: the next run makes them again.
 
-    Only their lines are added to the log. Their folders are dropped by that run, which is what makes it repeatable.
+    Only their lines are added to the log, and only their buckets of the report table are rewritten. Their folders are
+    dropped by that run, which is what makes it repeatable.
     """
     batch = _qualified(spark, batch)
     again = seeds.select(F.col("seed_id").alias("Seed_ID")).distinct()
     lines = seedlog.read(spark, batch.log).join(again, "Seed_ID", "left_semi").withColumn(V.COMPLETE, F.lit(V.TBD))
+    tables.replace_seeds(spark, batch.reports_now, spark.createDataFrame([], REPORT_STATE), seeds, REPORT_STATE)
     seedlog.append(status.reset_seeds(lines, seeds), batch.log)
 
 
