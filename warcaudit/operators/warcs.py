@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -58,6 +58,12 @@ def verify_fixity(locations: DataFrame, files: DataFrame, checked_at: Column | N
 _CHECKED = "path string, filename string, actual_md5 string, size long, unzipped_size long, reason string"
 
 
+def _results(rows: Iterable[tuple]) -> pd.DataFrame:
+    """What was found of the files of a batch, as one table: one for each file costs more than a small file itself."""
+    table = pd.DataFrame(rows, columns=["path", "filename", "actual_md5", "size", "unzipped_size", "reason"])
+    return table.astype({"size": "Int64", "unzipped_size": "Int64"})
+
+
 def by_size(files: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Files dealt to as many tasks as their total size needs, each with about as many bytes. Files are never split.
 
@@ -81,8 +87,7 @@ def hash_files(files: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
     """MD5 of files of any size (``path, filename, length``), streamed in chunks; null if it cannot be read."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, name in zip(batch["path"], batch["filename"]):
-                yield pd.DataFrame([(path, name, *streams.check_file(path))])
+            yield _results((path, name, *streams.check_file(path)) for path, name in zip(batch["path"], batch["filename"]))
 
     return (by_size(files.select("path", "filename", "length"), task_bytes)
             .mapInPandas(run, _CHECKED).select("path", "filename", "actual_md5", "size"))
@@ -96,9 +101,9 @@ def verify_and_unzip(files: DataFrame, task_bytes: int = TASK_BYTES) -> DataFram
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, name, md5, target in zip(batch["path"], batch["filename"], batch["md5"], batch["target"]):
-                # Without a listed MD5 there is nothing to verify, so nothing is unzipped.
-                yield pd.DataFrame([(path, name, *streams.check_file(path, target if md5 else None, md5))])
+            # Without a listed MD5 there is nothing to verify, so nothing is unzipped.
+            yield _results((path, name, *streams.check_file(path, target if md5 else None, md5)) for path, name, md5, target in
+                           zip(batch["path"], batch["filename"], batch["md5"], batch["target"]))
 
     return by_size(files.select("path", "filename", "length", "md5", "target"), task_bytes).mapInPandas(run, _CHECKED)
 
