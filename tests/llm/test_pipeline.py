@@ -47,6 +47,14 @@ def test_stages(spark, tmp_path):
         docs = after
 
 
+def test_a_text_goes_to_one_worker_of_a_task(spark):
+    """A filter on a worked-out column made Spark work it out twice, in two Python workers of the same task."""
+    docs = queries.documents(spark, FOLDER)
+    for number, most in ((0, 1), (1, 2)):
+        plan = corpus_pipeline.STAGES[number][1](spark, docs, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+        assert 1 <= plan.count("ArrowEvalPython") <= most
+
+
 def test_run_takes_odd_tables(spark, tmp_path):
     odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0), (2, "token=abcdefghijklmnop", None, "s", 22)],
                                 "doc_id long, text string, lang string, source string, n_chars long")

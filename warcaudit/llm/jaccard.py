@@ -132,7 +132,8 @@ def sets(docs: DataFrame, width: int, text: str = "text", out: str = "set") -> D
             _, _, sizes[a:b], nodes[a:b] = _sets(offsets[a: b + 1] - offsets[a], data[offsets[a]: offsets[b]], width)
         return pa.StructArray.from_arrays([pa.array(signed(nodes), mask=sizes == 0), pa.array(sizes)], names=["node", "n"])
 
-    return docs.withColumn(out, F.arrow_udf(run, "struct<node: bigint, n: bigint>")(F.col(f"`{text}`")))
+    # Called nondeterministic so that a filter on the result does not work it out again in a second Python worker.
+    return docs.withColumn(out, F.arrow_udf(run, "struct<node: bigint, n: bigint>").asNondeterministic()(F.col(f"`{text}`")))
 
 
 def _buckets(texts: DataFrame, width: int, percent: int) -> DataFrame:

@@ -105,7 +105,8 @@ class Model:
         def run(column: pa.Array) -> pa.Array:
             return pa.StructArray.from_arrays([pa.array(x) for x in self.log_odds(column)], names=list(CLASSES))
 
-        return F.arrow_udf(run, "struct<low: double, toxic: double>")(text)
+        # Called nondeterministic so that a filter on the result does not work it out again in a second Python worker.
+        return F.arrow_udf(run, "struct<low: double, toxic: double>").asNondeterministic()(text)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
