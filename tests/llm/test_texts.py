@@ -265,5 +265,41 @@ def test_predictions_of_a_context_add_up():
     assert math.isclose(fine[context == 1].sum() + totals.back[1] * totals.back[257] * totals.unseen, 1, abs_tol=0.05)
 
 
+def test_every_word_before_is_a_context_of_its_own(spark):
+    """Each of 1,500 words is always followed by its own: with contexts of several words, that could not be known."""
+    texts = [(k, f"u{k % 1500} w{k % 1500}") for k in range(30_000)] + [(30_000 + k, f"u{k} w{k}") for k in range(1500)] + [
+        (40_000 + k, f"u{k} w{(k + 1) % 1500}") for k in range(1500)]
+    rows = seating.score(spark.createDataFrame(texts, "doc_id long, text string").repartition(8), F.col("doc_id") >= 30_000).collect()
+    right = [r.score for r in rows if 30_000 <= r.doc_id < 40_000]
+    wrong = [r.score for r in rows if r.doc_id >= 40_000]
+    assert len(right) == len(wrong) == 1500 and min(right) > -3.8 and max(wrong) < -5
+
+
+def test_places_of_a_common_word_wait_on_disk(monkeypatch):
+    rng = np.random.default_rng(3)
+    word, context, text = np.array([5, 9], np.uint64), rng.integers(0, 50, 4000).astype(np.uint64), rng.integers(0, 900, 4000)
+    bodies = []
+    for k in range(0, 4000, 400):
+        packed = context[k: k + 400] << np.uint64(16) | (text[k: k + 400] % 3 == 0) * seating.HELD | text[k: k + 400].astype(np.uint64)
+        bodies.append(np.concatenate([np.array([2], np.uint64), word, np.array([100, 300], np.uint64), packed]))
+    found = []
+    for chunk in (500, 10**6):
+        monkeypatch.setattr(seating, "CHUNK", chunk)
+        bucket = seating.Bucket()
+        for k, body in enumerate(bodies):
+            bucket.add(body, k * seating.TEXTS)
+        bucket.pack()
+        assert (bucket.waiting > 0) == (chunk == 500)
+        _, w, c, n = bucket.pairs
+        found.append((sorted(zip(w.tolist(), c.tolist(), n.tolist())),
+                      sorted((int(x), int(w[i]), int(c[i])) for at, t in bucket.places() for i, x in zip(at, t))))
+        bucket.close()
+    of = np.tile(np.repeat(word, [100, 300]), 10)
+    want = Counter(zip(of.tolist(), context.tolist()))
+    held = Counter((int(w), int(c)) for w, c, t in zip(of, context, text) if t % 3 == 0)
+    assert found[0] == found[1] and found[0][0] == sorted((*p, n - held[p]) for p, n in want.items())
+    assert found[0][1] == sorted((int(t) + k // 400 * seating.TEXTS, int(w), int(c)) for k, (w, c, t) in enumerate(zip(of, context, text)))
+
+
 def test_paths_come_from_the_public_package():
     assert queries.PIECES == public_tokenizers.path("piece_bpe_32k.model")
