@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
 import __spark_entry__ as entry_points
@@ -61,3 +63,11 @@ def test_nothing_is_broadcast_by_order(spark):
     """Only the one-row total is broadcast by a hint; everything else is left to Spark's own size check."""
     for name in ("audit", "enrich", "crawl_definitions", "warc_locations", "expected_seeds"):
         assert "strategy=broadcast" not in registry.all_queries()[name](spark, FOLDER)._jdf.queryExecution().logical().toString()
+
+
+def test_landed_files_are_dealt_over_folders(spark, tmp_path):
+    rows = [(f"f{k}.gz", k, None if k % 7 == 0 else bytearray(b"x" * k)) for k in range(300)] + [(None, 300, None)]
+    files = registry._files(spark.createDataFrame(rows, "filename string, k int, content binary"), str(tmp_path)).collect()
+    assert {(r.filename, r.k, r.length) for r in files} == {(name, k, len(body or b"")) for name, k, body in rows}
+    assert {r.k for r in files if os.path.exists(r.path)} == {k for _, k, body in rows if body is not None}
+    assert len({os.path.dirname(r.path) for r in files}) > 30

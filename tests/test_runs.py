@@ -129,6 +129,21 @@ def test_whole_run(spark, landed, tmp_path):
     assert [tuple(r)[2:4] for r in metadata] == [("11", "magil-ggp-11-2023-05"), ("22", "rbrl-123-web-202305-0001"), ("33", "TBD")]
 
 
+def test_pages_are_parsed_once_for_the_listing(spark, landed, tmp_path, monkeypatch):
+    """What is cut into ranges is read twice, once for a sample: that must not be the pages."""
+    plans, write = [], runs.writers.write_listing
+
+    def spy(listing, path):
+        plans.append(listing._jdf.queryExecution().executedPlan().toString())
+        write(listing, path)
+
+    monkeypatch.setattr(runs.writers, "write_listing", spy)
+    batch = runs.Batch(landed, str(tmp_path / "out"), "2023-04-01", "2023-05-02")
+    runs.prepare_log(spark, batch, "run-0000")
+    assert len(plans) == 1 and "json" not in plans[0].lower()
+    assert readers.read_listing_table(spark, batch.listing).count() == readers.read_listing(spark, f"{landed}/listing").count() > 0
+
+
 def test_nothing_is_kept_or_lost_silently(spark, landed, tmp_path):
     """No password in any result; doubled answers and listing rows change nothing; unplaceable rows are a table."""
     with open(f"{landed}/responses/part.json") as lines:

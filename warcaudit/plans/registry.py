@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -319,14 +320,20 @@ def warc_locations(spark, folder):
     return warcs.warc_locations(names, load(spark, folder, "warc_index"), ("url",))
 
 
+LANDED_FOLDERS = 64
+
+
 def _files(rows: DataFrame, root: str) -> DataFrame:
-    """Write ``content`` (bytes) of each ``filename`` below the root; adds ``path`` and ``length``. Null is no file."""
+    """Write ``content`` (bytes) of each ``filename`` below the root; adds ``path`` and ``length``. Null is no file.
+
+    Files are dealt out over ``LANDED_FOLDERS`` folders: tasks that make files in the same folder wait for each other, and one task lists it.
+    """
     kept = [f for f in rows.schema if f.name != "content"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            paths = [f"{root}/some files #1/{name}" for name in batch["filename"]]
+            paths = [f"{root}/some files #{zlib.crc32(str(name).encode()) % LANDED_FOLDERS}/{name}" for name in batch["filename"]]
             for path, content in zip(paths, batch["content"]):
                 if content is not None:
                     streams.write_file(path, bytes(content))
@@ -388,11 +395,12 @@ def whole_run(spark, folder):
     content = F.when(zipped, _zipped(F.col("content").cast("binary"))).otherwise(F.col("content").cast("binary"))
     warc_rows = listed.withColumn("content", content).withColumn(
         "md5", F.when(F.col("same"), F.md5("content")).otherwise(F.repeat(F.lit("x"), F.lit(32))))
-    _files(warc_rows.filter("landed").select("filename", "content"), f"{landed}/warcs")
+    # Zipped once: what follows takes the rows as written with the files.
+    listed = _files(warc_rows.withColumn("content", F.expr("case when landed then content end")), f"{landed}/warcs")
     entry = F.struct("page_id", "filename", F.col("collection").cast("int").alias("collection"), F.col("job").cast("string").alias("crawl"), "size",
                      F.col("store_time").alias("store-time"), F.array(F.concat(F.lit("https://example.org/"), "filename")).alias("locations"),
                      F.create_map(F.lit("md5"), F.col("md5")).alias("checksums"))
-    pages = warc_rows.groupBy(F.lit("listing").alias("folder"), F.col("page").alias("name")).agg(F.array_agg(entry).alias("files"))
+    pages = listed.groupBy(F.lit("listing").alias("folder"), F.col("page").alias("name")).agg(F.array_agg(entry).alias("files"))
     ordered = F.array_sort("files", lambda a, b: F.signum(a["page_id"] - b["page_id"]).cast("int"))
     total = F.lit(listed.count()).alias("count")
     stores.write_files(pages.withColumn("body", F.to_json(F.struct(total, ordered.alias("files")))), landed)

@@ -75,7 +75,9 @@ def _place(step: int, page="", position=0, part: int = 0):
 
 def prepare_log(spark: SparkSession, batch: Batch, run: str) -> None:
     """Write the metadata file and the first seed log, with AIP ids and nothing done yet."""
-    writers.write_listing(readers.read_landed_listing(spark, f"{batch.landed}/listing", batch.strict), batch.listing)
+    grouping.use_checkpoints(spark)
+    # Pages are parsed once: the ranges of store time are cut from a sample, which would read them all before.
+    writers.write_listing(readers.read_landed_listing(spark, f"{batch.landed}/listing", batch.strict).checkpoint(), batch.listing)
     listing = readers.read_listing_table(spark, batch.listing)
     names = inventory.rows_in_window(listing, batch.start, batch.end).select("seed_id").distinct()
     landed = readers.read_seed_reports(spark, f"{batch.landed}/seed_reports", batch.strict)
