@@ -264,6 +264,69 @@ def test_documents_with_passages_are_those_of_all_pairs(spark):
     assert found <= want and {i for pair in found for i in pair} == {i for pair in want for i in pair} and len(want) > 50
 
 
+def planted_windows(seed):
+    """Sequences around one shingle, as windows of a key: variants with changed, added and left out places, and repeats."""
+    rng = np.random.default_rng(seed)
+    base = np.arange(1, 1 + int(rng.integers(50, 110)), dtype=np.uint64)
+    rows = []
+    for k in range(int(rng.integers(9, 26))):
+        row = base[int(rng.integers(0, 30)): len(base) - int(rng.integers(0, 15))].copy()
+        for _ in range(int(rng.integers(0, 5))):
+            at = int(rng.integers(0, len(row)))
+            row[at: at + 5] = rng.integers(500, 510 if k % 3 else 2**40, len(row[at: at + 5])).astype(np.uint64)
+        if k % 4 == 1:
+            row = np.delete(row, slice(20, 20 + int(rng.integers(1, 9))))
+        if k % 4 == 2:
+            row = np.insert(row, min(25, len(row)), rng.integers(2**41, 2**42, int(rng.integers(1, 20))).astype(np.uint64))
+        if k % 5 == 3:
+            row = np.concatenate([row, row[: int(rng.integers(1, len(row)))]])
+        if k % 7 == 6:
+            row = np.repeat(row[:4], int(rng.integers(1, 30)))
+        rows.append(np.concatenate([rng.integers(2**43, 2**44, int(rng.integers(0, 30))).astype(np.uint64), row]))
+    return rows + [rows[0].copy(), np.append(rows[1], np.uint64(7))]
+
+
+def roots(n, pairs):
+    root = list(range(n))
+    for _ in range(n):
+        for a, b in pairs:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_windows_of_a_crowd_are_joined_like_all_pairs(seed):
+    rows = planted_windows(seed)
+    docs = np.arange(len(rows))
+    want = {(a, b) for a in docs for b in docs if a < b and passages.passages(rows[a], rows[b], 50, 0.8)}
+    first = np.append(0, np.cumsum([len(r) for r in rows]))
+    got = passages.joined(np.concatenate(rows), first, docs, 50, 0.8)
+    assert set(got) <= want and roots(len(rows), got) == roots(len(rows), want)
+
+
+@pytest.mark.parametrize("block", [4, 1024])
+def test_variants_of_a_passage_are_joined_like_all_pairs(spark, monkeypatch, block):
+    """Each document has its own variant of a passage that many have; the first of them and the one before are mostly not similar."""
+    monkeypatch.setattr(passages, "BLOCK", block)
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
+    base, texts = [word() for _ in range(80)], []
+    for k in range(40):
+        passage = list(base)
+        for slot in rnd.sample(range(4, 76), 1 + k % 2):
+            passage[slot] = word()
+        texts.append(" ".join([*[word() for _ in range(40)], *passage, *[word() for _ in range(40)]]))
+    texts += [texts[5], texts[5]]
+    order = list(range(len(texts)))
+    rnd.shuffle(order)
+    texts = [texts[k] for k in order]
+    shingles = [passages._sequence(np.array([0, len(t)]), np.frombuffer(t.encode(), np.uint8))[0] for t in texts]
+    n = len(texts)
+    want = {(a, b) for a in range(n) for b in range(n) if a < b and passages.passages(shingles[a], shingles[b], 50, 0.8)}
+    found = {(r.of_doc_id, r.doc_id) for r in passages.near_passages(spark.createDataFrame(list(enumerate(texts)), TEXTS).repartition(3)).collect()}
+    assert found <= want and roots(n, found) == roots(n, want) and len(want) > 100
+
+
 def test_neighbouring_passages_do_not_hide_each_other():
     a = np.arange(116, dtype=np.uint64)  # shingles of 120 words
     b = a.copy()
