@@ -304,27 +304,28 @@ def test_windows_of_a_crowd_are_joined_like_all_pairs(seed):
     assert set(got) <= want and roots(len(rows), got) == roots(len(rows), want)
 
 
-@pytest.mark.parametrize("block", [4, 1024])
-def test_variants_of_a_passage_are_joined_like_all_pairs(spark, monkeypatch, block):
-    """Each document has its own variant of a passage that many have; the first of them and the one before are mostly not similar."""
-    monkeypatch.setattr(passages, "BLOCK", block)
-    rnd = random.Random(11)
+@pytest.mark.parametrize(("block", "length", "slots"), [(8, 60, 1), (1024, 80, 2)])
+def test_variants_of_a_passage_are_joined_like_all_pairs(spark, monkeypatch, block, length, slots):
+    """Twelve passages of which every document has its own variant: rows join the documents that all pairs join."""
+    monkeypatch.setattr(passages, "BLOCK", block, raising=False)
+    rnd = random.Random(slots)
     word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6))
-    base, texts = [word() for _ in range(80)], []
-    for k in range(40):
-        passage = list(base)
-        for slot in rnd.sample(range(4, 76), 1 + k % 2):
-            passage[slot] = word()
-        texts.append(" ".join([*[word() for _ in range(40)], *passage, *[word() for _ in range(40)]]))
-    texts += [texts[5], texts[5]]
-    order = list(range(len(texts)))
-    rnd.shuffle(order)
-    texts = [texts[k] for k in order]
-    shingles = [passages._sequence(np.array([0, len(t)]), np.frombuffer(t.encode(), np.uint8))[0] for t in texts]
+    texts = []
+    for _ in range(12):
+        base = [word() for _ in range(length)]
+        for _ in range(24):
+            passage = list(base)
+            for slot in rnd.sample(range(4, length - 4), slots):
+                passage[slot] = word()
+            texts.append(" ".join([*[word() for _ in range(40)], *passage, *[word() for _ in range(40)]]))
+    texts += texts[:2]
+    rnd.shuffle(texts)
     n = len(texts)
-    want = {(a, b) for a in range(n) for b in range(n) if a < b and passages.passages(shingles[a], shingles[b], 50, 0.8)}
+    shingles = [passages._sequence(np.array([0, len(t)]), np.frombuffer(t.encode(), np.uint8))[0] for t in texts]
+    sets = [set(x.tolist()) for x in shingles]
+    want = {(a, b) for a in range(n) for b in range(a + 1, n) if sets[a] & sets[b] and passages.passages(shingles[a], shingles[b], 50, 0.8)}
     found = {(r.of_doc_id, r.doc_id) for r in passages.near_passages(spark.createDataFrame(list(enumerate(texts)), TEXTS).repartition(3)).collect()}
-    assert found <= want and roots(n, found) == roots(n, want) and len(want) > 100
+    assert found <= want and roots(n, found) == roots(n, want) and len(want) > 1000
 
 
 def test_neighbouring_passages_do_not_hide_each_other():
