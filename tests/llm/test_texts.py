@@ -265,6 +265,86 @@ def test_predictions_of_a_context_add_up():
     assert math.isclose(fine[context == 1].sum() + totals.back[1] * totals.back[257] * totals.unseen, 1, abs_tol=0.05)
 
 
+def one_by_one(rng, sizes, customers, mass, d):
+    """Tables of one word in one restaurant when every customer, or who is new, has been seated again for itself."""
+    while sum(sizes) > customers:
+        sizes[rng.choice(len(sizes), p=np.array(sizes) / sum(sizes))] -= 1
+        sizes = [s for s in sizes if s]
+    for k in range(max(customers, 1)):
+        if sum(sizes) == customers:
+            sizes[rng.choice(len(sizes), p=np.array(sizes) / sum(sizes))] -= 1
+        sizes = [s for s in sizes if s]
+        weight = np.array([*(s - d for s in sizes), mass])
+        at = rng.choice(len(weight), p=weight / weight.sum())
+        sizes = sizes + [1] if at == len(sizes) else [s + (j == at) for j, s in enumerate(sizes)]
+    return sizes
+
+
+def test_a_sweep_seats_every_customer_again():
+    """Tables of three levels as a sampler has them that takes one customer after another; a few moves of each word are not enough."""
+    words, n = 12, 40
+    totals = seating.Totals(np.array([900.0, *[700.0] * 16, 2000.0]), np.array([300.0, *[250.0] * 16, 600.0]), 12)
+    rng = np.random.default_rng(4)
+    found = []
+    for _ in range(60):
+        *_, c, t = seating.sample(rng, np.arange(words), np.zeros(words, np.int64), np.full(words, n), words, totals)
+        found.append((t[0] / words, t[1] / words, t[-1] / words))
+    seats = [[[] for _ in range(words)] for _ in range(3)]
+    root, want = np.full(words, 1 / 13), []
+    middle = totals.back[1] * root
+    for sweep in range(60):
+        counts = np.full(words, n)
+        made = []
+        for level, mass in enumerate((totals.new[0] * middle, totals.new[1] * root, np.full(words, totals.new[-1] / 13))):
+            seats[level] = [one_by_one(rng, s, int(c), m, 0.75) for s, c, m in zip(seats[level], counts, mass)]
+            made.append((counts, np.array([len(s) for s in seats[level]])))
+            counts = made[-1][1]
+        root = totals.probability(np.full(words, 17), *made[2], np.full(words, 1 / 13))
+        middle = totals.probability(np.full(words, 1), *made[1], root)
+        if sweep >= 10:
+            want.append([t.mean() for _, t in made])
+    for have, right in zip(np.mean(found, 0), np.mean(want, 0)):
+        assert math.isclose(have, right, rel_tol=0.06)
+
+
+def test_moves_in_groups_draw_as_moves_of_one(monkeypatch):
+    """Numbers of tables from moves in groups, with few customers at once, and jointly: m^t times the ways to seat n at t tables."""
+    ways, d = [1.0], 0.75
+    for k in range(1, 30):
+        ways = [(ways[t - 1] if t else 0) + (k - d * (t + 1)) * (ways[t] if t < k else 0) for t in range(k + 1)]
+    p = np.array([w * 2.5 ** (t + 1) for t, w in enumerate(ways)])
+    p /= p.sum()
+    rng = np.random.default_rng(5)
+    assert abs(np.bincount(seating.tables_of(rng, np.full(4000, 30), np.full(4000, 2.5), d), minlength=31)[1:31] / 4000 - p).sum() < 0.1
+    monkeypatch.setattr(seating, "JOINTLY", 1)
+    monkeypatch.setattr(seating, "AT_ONCE", 900)
+    level = seating.Seating(rng, 400, d)
+    seen = []
+    for k in range(120):
+        level.sweep(rng.integers(0, 40, 400) if k < 20 else np.full(400, 30), np.full(400, 2.5))
+        assert (np.bincount(level.owner, level.sizes, 400) == level.customers).all() and (level.sizes > 0).all()
+        seen += level.tables.tolist() if k > 60 else []
+    assert abs(np.bincount(seen, minlength=31)[1:31] / len(seen) - p).sum() < 0.1
+
+
+def test_counts_of_blocks_are_those_of_their_places(spark, monkeypatch):
+    """The totals' rounds see words and contexts as often as the places say, also where a number does not fit."""
+    rows = [(k, k % 3 == 0, "a b c a b") for k in range(400)] + [(None, None, "x y"), (7, True, None), (8, True, "only here")]
+    docs = spark.createDataFrame(rows, "id long, held boolean, text string").repartition(3)
+
+    def pairs(table):
+        buckets = {}
+        for r in table.filter(F.col("kind") != seating.TEXT).collect():
+            buckets.setdefault(r.bucket, seating.Bucket(r.kind == seating.COUNTS)).add(np.frombuffer(r.body, np.uint64), r.number)
+        for b in buckets.values():
+            b.pack()
+        return sorted(zip(*(np.concatenate([b.pairs[k] for b in buckets.values()]).tolist() for k in range(4))))
+
+    monkeypatch.setattr(seating, "MOST", 2**3 - 1)
+    few = pairs(seating._counts(docs, 5))
+    assert few == pairs(seating._places(docs, 5)) and max(n for *_, n in few) > 7 and min(n for *_, n in few) == 0
+
+
 def test_every_word_before_is_a_context_of_its_own(spark):
     """Each of 1,500 words is always followed by its own: with contexts of several words, that could not be known."""
     texts = [(k, f"u{k % 1500} w{k % 1500}") for k in range(30_000)] + [(30_000 + k, f"u{k} w{k}") for k in range(1500)] + [
