@@ -181,6 +181,30 @@ def test_compact_windows_are_the_cartesian_tree(seed):
     assert sorted(zip(*(x.tolist() for x in passages.compact_windows(hashes, first, width)))) == sorted(want)
 
 
+def test_passages_that_meet_under_one_function(spark):
+    """One word in 50 is another: some of these pairs have the same least shingle under one of the six functions only."""
+    rnd = random.Random(11)
+    fill = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for _ in range(9000):
+        passage = fill(50)
+        copy = list(passage)
+        copy[rnd.randrange(5, 45)] = "edited"
+        texts += [" ".join(fill(20) + p + fill(20)).encode() for p in (passage, copy)]
+    shingles, first, _ = passages._sequence(np.append(0, np.cumsum([len(t) for t in texts])), np.frombuffer(b"".join(texts), np.uint8))
+    met = np.zeros(9000, np.int64)
+    for seed in passages._SEEDS[: passages.FUNCTIONS]:
+        at, _, _, row = passages.compact_windows(passages.mix(shingles ^ seed), first, passages.LEAST - passages.WIDTH + 1)
+        keys = [set() for _ in texts]
+        for r, s in zip(row.tolist(), shingles[at].tolist()):
+            keys[r].add(s)
+        met += [bool(keys[2 * k] & keys[2 * k + 1]) for k in range(9000)]
+    rows = [(j, texts[j].decode()) for k in np.flatnonzero(met == 1).tolist() for j in (2 * k, 2 * k + 1)]
+    assert rows
+    found = passages.near_passages(spark.createDataFrame(rows, TEXTS)).collect()
+    assert {(r.of_doc_id, r.doc_id) for r in found} == {(j, j + 1) for j, _ in rows[::2]}
+
+
 def test_planted_passages(spark):
     rnd = random.Random(2)
     fill = lambda n: [f"w{rnd.randrange(3000)}" for _ in range(n)]
