@@ -328,6 +328,22 @@ def test_windows_of_a_crowd_are_joined_like_all_pairs(seed):
     assert set(got) <= want and roots(len(rows), got) == roots(len(rows), want)
 
 
+def test_rows_that_share_a_line_only_are_not_compared():
+    """Of 400 rows with the same ten shingles, only two that share a passage are; and those with a row that repeats the line all may be."""
+    rng = np.random.default_rng(8)
+    fresh = lambda n: rng.integers(1, 2**63, n).astype(np.uint64)
+    line, passage = fresh(10), fresh(60)
+    rows = [np.concatenate([fresh(60), line, passage if k in (7, 9) else fresh(60)]) for k in range(400)]
+    first = np.append(0, np.cumsum([len(r) for r in rows]))
+    alive, usual, low = passages._may_join(np.concatenate(rows), first, 50, 0.8)
+    assert np.flatnonzero(alive).tolist() == np.flatnonzero(usual).tolist() == [7, 9] and not low.any()
+    assert passages.joined(np.concatenate(rows), first, np.arange(400), 50, 0.8) == [(7, 9)]
+    rows.append(np.tile(line, 9))
+    first = np.append(first, first[-1] + 90)
+    alive, usual, low = passages._may_join(np.concatenate(rows), first, 50, 0.8)
+    assert alive.all() and np.flatnonzero(usual).tolist() == [7, 9] and np.flatnonzero(low).tolist() == [400]
+
+
 @pytest.mark.parametrize(("block", "length", "slots"), [(8, 60, 1), (1024, 80, 2)])
 def test_variants_of_a_passage_are_joined_like_all_pairs(spark, monkeypatch, block, length, slots):
     """Twelve passages of which every document has its own variant: rows join the documents that all pairs join."""
